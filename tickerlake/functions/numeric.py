@@ -22,9 +22,17 @@ def round_half_up(c, n: int) -> Column:
     return F.round(_col(c), n)
 
 
+# Operands of a quotient are narrowed to this type: with 18 integer digits on
+# both sides Spark keeps 12 fractional digits in the quotient (instead of
+# falling back to 6 for wide sums), so a later round to <= 4 places is not
+# double-rounded.  Values beyond 1e18 raise (ANSI) rather than lose digits.
+QUOTIENT_OPERAND = DecimalType(26, 8)
+
+
 def ratio(num, den) -> Column:
-    """num / den, NULL when den is 0 or NULL (never raises under ANSI)."""
-    return F.try_divide(_col(num), F.nullif(_col(den), F.lit(0)))
+    """num / den as DECIMAL(38,12); NULL when den is 0 or NULL (never raises)."""
+    d = F.nullif(_col(den), F.lit(0)).cast(QUOTIENT_OPERAND)
+    return F.try_divide(_col(num).cast(QUOTIENT_OPERAND), d)
 
 
 def pct_of(num, den, n: int | None = 2) -> Column:

@@ -52,7 +52,7 @@ def exclusion_predicate(exclusions: Iterable[tuple[str, str, str]]) -> Column |
     for sym, ldcp, cur in exclusions:
         term = ~((F.col("symbol") == F.lit(sym))
                  & (F.col("ldcp_clean") == F.lit(ldcp))
-                 & (F.col("current_clean") == F.lit(cur)))
+                 & (F.col("current_price_clean") == F.lit(cur)))
         pred = term if pred is None else pred & term
     return pred
 

@@ -52,3 +52,152 @@ def _stg_bars(f: Feeds) -> DataFrame:
 @query("technical_indicators")
 def _technical_indicators(f: Feeds) -> DataFrame:
     return ind.technical_indicators(stg.stage_bars(f.bars()))
+
+
+# --- raw scans and cleaning -----------------------------------------------------
+
+from tickerlake.functions.cleaning import clean_text, strip_token  # noqa: E402
+from tickerlake.operators import market as mkt  # noqa: E402
+from tickerlake.operators import portfolio as pf  # noqa: E402
+
+
+@query("scan_board")
+def _scan_board(f: Feeds) -> DataFrame:
+    return f.board()
+
+
+@query("scan_bars")
+def _scan_bars(f: Feeds) -> DataFrame:
+    return f.bars()
+
+
+@query("clean_strings")
+def _clean_strings(f: Feeds) -> DataFrame:
+    b = f.board()
+    return b.select(
+        "id",
+        F.trim(strip_token("symbol", stg.XD_MARKER)).alias("symbol"),
+        clean_text("ldcp").alias("ldcp_clean"),
+        clean_text("current").alias("current_clean"),
+        clean_text("change_1", ("%", ",")).alias("change_pct_clean"),
+        clean_text("idx_wtg", ("%", ",")).alias("idx_weight_clean"),
+        clean_text("market_cap_m").alias("market_cap_clean"),
+    )
+
+
+@query("stg_board")
+def _stg_board(f: Feeds) -> DataFrame:
+    return stg.stage_board(f.board())
+
+
+@query("stg_board_dedupe")
+def _stg_board_dedupe(f: Feeds) -> DataFrame:
+    return stg.stage_board(f.board(), exclusions=(), grain="day")
+
+
+# Exclusion entries built by rule: every 7th symbol with blank ldcp and
+# current text.  They hit rows whose fields are both blank (dropped: TRUE)
+# and rows whose ldcp is NULL with a blank current (dropped: NULL).
+TEST_EXCLUSIONS = tuple((f"C{k}", "", "") for k in range(0, 100, 7))
+
+
+@query("stg_board_exclusions")
+def _stg_board_exclusions(f: Feeds) -> DataFrame:
+    return stg.stage_board(f.board(), exclusions=stg.DEFAULT_EXCLUSIONS + TEST_EXCLUSIONS)
+
+
+def _board(f: Feeds) -> DataFrame:
+    return stg.stage_board(f.board())
+
+
+# --- market marts -----------------------------------------------------------------
+
+@query("top_movers")
+def _top_movers(f: Feeds) -> DataFrame:
+    return mkt.top_movers(_board(f))
+
+
+@query("top_movers_k")
+def _top_movers_k(f: Feeds) -> DataFrame:
+    return mkt.top_movers(_board(f), k=3, per="fetched_at")
+
+
+@query("volume_leaders_k")
+def _volume_leaders_k(f: Feeds) -> DataFrame:
+    return mkt.volume_leaders(_board(f), k=5)
+
+
+@query("market_trend")
+def _market_trend(f: Feeds) -> DataFrame:
+    return mkt.market_trend(_board(f))
+
+
+@query("sector_summary")
+def _sector_summary(f: Feeds) -> DataFrame:
+    return mkt.sector_summary(_board(f), f.sector_map())
+
+
+@query("sector_market_cap")
+def _sector_market_cap(f: Feeds) -> DataFrame:
+    return mkt.sector_market_cap(mkt.sector_summary(_board(f), f.sector_map(), ordered=False))
+
+
+# --- portfolio marts ----------------------------------------------------------------
+
+@query("latest_board")
+def _latest_board(f: Feeds) -> DataFrame:
+    return pf.latest_board(_board(f))
+
+
+@query("holdings_active")
+def _holdings_active(f: Feeds) -> DataFrame:
+    return pf.holdings_active(f.holdings())
+
+
+def _snapshot(f: Feeds) -> DataFrame:
+    return pf.portfolio_snapshot(f.holdings(), _board(f))
+
+
+@query("portfolio_snapshot")
+def _portfolio_snapshot(f: Feeds) -> DataFrame:
+    return _snapshot(f)
+
+
+@query("portfolio_summary")
+def _portfolio_summary(f: Feeds) -> DataFrame:
+    return pf.portfolio_summary(_snapshot(f))
+
+
+@query("portfolio_weights")
+def _portfolio_weights(f: Feeds) -> DataFrame:
+    return pf.portfolio_weights(_snapshot(f))
+
+
+@query("portfolio_weighted_change")
+def _portfolio_weighted_change(f: Feeds) -> DataFrame:
+    return pf.portfolio_weighted_change(_snapshot(f))
+
+
+@query("trade_charges")
+def _trade_charges(f: Feeds) -> DataFrame:
+    return pf.trade_charges(f.trades())
+
+
+@query("avg_buy")
+def _avg_buy(f: Feeds) -> DataFrame:
+    return pf.avg_buy(f.trades())
+
+
+@query("portfolio_trades")
+def _portfolio_trades(f: Feeds) -> DataFrame:
+    return pf.realized_trades(f.trades())
+
+
+@query("realized_pnl")
+def _realized_pnl(f: Feeds) -> DataFrame:
+    return pf.realized_pnl(pf.realized_trades(f.trades()))
+
+
+@query("tax_summary")
+def _tax_summary(f: Feeds) -> DataFrame:
+    return pf.tax_summary(f.tax())

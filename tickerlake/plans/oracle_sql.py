@@ -54,3 +54,237 @@ symbol, price_date, {_d('close')} AS close, volume,
 
 ORACLE["technical_indicators"] = with_feeds(
     f"SELECT {_INDICATOR_COLS} FROM frames WHERE rn = 1", "bars", extra=(_FRAMES,))
+
+
+# --- raw scans and cleaning -------------------------------------------------------
+
+ORACLE["scan_board"] = with_feeds("SELECT * FROM board", "board")
+ORACLE["scan_bars"] = ORACLE["stg_bars"]
+
+ORACLE["clean_strings"] = with_feeds("""
+SELECT id, trim(replace(symbol, ' XD', '')) AS symbol,
+       replace(trim(ldcp), ',', '') AS ldcp_clean,
+       replace(trim("current"), ',', '') AS current_clean,
+       replace(replace(trim(change_1), '%', ''), ',', '') AS change_pct_clean,
+       replace(replace(trim(idx_wtg), '%', ''), ',', '') AS idx_weight_clean,
+       replace(trim(market_cap_m), ',', '') AS market_cap_clean
+FROM board""", "board")
+
+_NUMERIC = (("ldcp", "ldcp", False), ("current_price", '"current"', False), ("change_amount", "change", False),
+            ("change_pct", "change_1", True), ("idx_weight", "idx_wtg", True), ("idx_point", "idx_point", False),
+            ("volume", "volume", False), ("shares_m", "shares_m", False), ("market_cap_m", "market_cap_m", False))
+
+
+def stg_board_cte(exclusions, partition="fetched_at", name="stg_board") -> str:
+    cleaned = ",\n      ".join(
+        (f"replace(replace(trim({src}), '%', ''), ',', '')" if pct else f"replace(trim({src}), ',', '')")
+        + f" AS {out}_clean" for out, src, pct in _NUMERIC)
+    typed = ",\n    ".join(f"TRY_CAST(nullif({out}_clean, '') AS DECIMAL(20,6)) AS {out}" for out, _, _ in _NUMERIC)
+    excl = "".join(
+        f"\n    AND NOT (symbol = '{s}' AND ldcp_clean = '{a}' AND current_price_clean = '{b}')"
+        for s, a, b in exclusions)
+    return f"""
+{name} AS (
+  SELECT id, fetched_at, symbol, name,
+    {typed}
+  FROM (
+    SELECT id, fetched_at, symbol, name,
+      {cleaned},
+      row_number() OVER (PARTITION BY {partition}, symbol ORDER BY id DESC NULLS FIRST) AS rn
+    FROM (SELECT * REPLACE (trim(replace(symbol, ' XD', '')) AS symbol) FROM board) s
+  ) c
+  WHERE rn = 1{excl}
+)"""
+
+
+# Fixed values (same list as the Spark default).
+_DEFAULT_EXCL = (("ENGRO", "285.50", "287.00"), ("LUCK", "920.00", "915.00"), ("HBL", "145.00", "146.50"),
+                 ("PSO", "310.00", "308.00"), ("TRG", "98.50", "99.00"))
+_TEST_EXCL = tuple((f"C{k}", "", "") for k in range(0, 100, 7))
+
+STG_BOARD = stg_board_cte(_DEFAULT_EXCL)
+
+_BOARD_OUT = "id, fetched_at, symbol, name, " + ", ".join(
+    f"CAST({o} AS DOUBLE) AS {o}" for o, _, _ in _NUMERIC)
+
+ORACLE["stg_board"] = with_feeds(f"SELECT {_BOARD_OUT} FROM stg_board", "board", extra=(STG_BOARD,))
+ORACLE["stg_board_dedupe"] = with_feeds(
+    f"SELECT {_BOARD_OUT} FROM stg_board", "board",
+    extra=(stg_board_cte((), partition="CAST(fetched_at AS DATE)"),))
+ORACLE["stg_board_exclusions"] = with_feeds(
+    f"SELECT {_BOARD_OUT} FROM stg_board", "board", extra=(stg_board_cte(_DEFAULT_EXCL + _TEST_EXCL),))
+
+
+def _board_q(body: str, *more_feeds: str, extra=()) -> str:
+    return with_feeds(body, "board", *more_feeds, extra=(STG_BOARD,) + tuple(extra))
+
+
+# --- market marts --------------------------------------------------------------------
+
+_MOVER = ("fetched_at, symbol, name, CAST(ldcp AS DOUBLE) AS ldcp, CAST(current_price AS DOUBLE) AS current_price, "
+          "CAST(change_amount AS DOUBLE) AS change_amount, CAST(change_pct AS DOUBLE) AS change_pct, "
+          "CAST(volume AS DOUBLE) AS volume, CAST(market_cap_m AS DOUBLE) AS market_cap_m")
+
+ORACLE["top_movers"] = _board_q(f"SELECT {_MOVER} FROM stg_board WHERE change_pct IS NOT NULL")
+ORACLE["top_movers_k"] = _board_q(f"""
+SELECT {_MOVER}, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY fetched_at ORDER BY change_pct DESC, symbol ASC) AS rank
+  FROM stg_board WHERE change_pct IS NOT NULL) t
+WHERE rank <= 3""")
+ORACLE["volume_leaders_k"] = _board_q("""
+SELECT fetched_at, symbol, name, CAST(current_price AS DOUBLE) AS current_price,
+       CAST(change_pct AS DOUBLE) AS change_pct, CAST(volume AS DOUBLE) AS volume, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY fetched_at ORDER BY volume DESC NULLS LAST, symbol ASC) AS rank
+  FROM stg_board WHERE volume IS NOT NULL) t
+WHERE rank <= 5""")
+ORACLE["market_trend"] = _board_q(f"""
+SELECT fetched_at, count(DISTINCT symbol) AS symbols,
+       count(*) FILTER (WHERE change_pct > 0) AS advancers,
+       count(*) FILTER (WHERE change_pct < 0) AS decliners,
+       count(*) FILTER (WHERE change_pct = 0) AS unchanged,
+       {_d(xround('sum(change_pct)', 'count(change_pct)', 2))} AS avg_change_pct,
+       CAST(sum(volume) AS DOUBLE) AS total_volume, CAST(sum(market_cap_m) AS DOUBLE) AS total_market_cap_m
+FROM stg_board GROUP BY fetched_at""")
+
+_SECTOR = f"""
+sector_summary AS (
+  SELECT s.fetched_at, coalesce(m.sector, 'Unknown') AS sector,
+         count(DISTINCT s.symbol) AS total_stocks,
+         {xround('sum(s.change_pct)', 'count(s.change_pct)', 2)} AS avg_change_pct,
+         sum(s.volume) AS total_volume, sum(s.market_cap_m) AS total_market_cap_m,
+         {xround('sum(s.current_price)', 'count(s.current_price)', 2)} AS avg_price
+  FROM stg_board s LEFT JOIN sector_map m ON s.symbol = m.symbol
+  GROUP BY s.fetched_at, coalesce(m.sector, 'Unknown')
+)"""
+
+ORACLE["sector_summary"] = _board_q("""
+SELECT fetched_at, sector, total_stocks, CAST(avg_change_pct AS DOUBLE) AS avg_change_pct,
+       CAST(total_volume AS DOUBLE) AS total_volume, CAST(total_market_cap_m AS DOUBLE) AS total_market_cap_m,
+       CAST(avg_price AS DOUBLE) AS avg_price
+FROM sector_summary""", "sector_map", extra=(_SECTOR,))
+ORACLE["sector_market_cap"] = _board_q("""
+SELECT fetched_at, sector, CAST(total_market_cap_m AS DOUBLE) AS total_market_cap_m,
+       CAST(avg_change_pct AS DOUBLE) AS avg_change_pct
+FROM sector_summary WHERE fetched_at = (SELECT max(fetched_at) FROM sector_summary)""",
+    "sector_map", extra=(_SECTOR,))
+
+# --- portfolio marts ------------------------------------------------------------------
+
+_LATEST = """
+latest_board AS (
+  SELECT symbol, current_price, change_pct, CAST(fetched_at AS DATE) AS price_date
+  FROM stg_board WHERE CAST(fetched_at AS DATE) = (SELECT max(CAST(fetched_at AS DATE)) FROM stg_board)
+)"""
+
+_SNAPSHOT = f"""
+snapshot AS (
+  SELECT h.symbol, h.sector, h.qty_held, h.avg_buy_rate,
+         h.qty_held * h.avg_buy_rate AS total_cost,
+         p.current_price, p.change_pct AS todays_change_pct,
+         h.qty_held * p.current_price AS current_value,
+         h.qty_held * p.current_price - h.qty_held * h.avg_buy_rate AS unrealized_pnl,
+         {xround('(p.current_price - h.avg_buy_rate) * 100', 'h.avg_buy_rate', 2)} AS unrealized_pct,
+         p.price_date
+  FROM holdings h JOIN latest_board p ON h.symbol = p.symbol
+  WHERE h.status = 'active'
+)"""
+
+
+def _snap_q(body: str) -> str:
+    return _board_q(body, "holdings", extra=(_LATEST, _SNAPSHOT))
+
+
+ORACLE["latest_board"] = _board_q("""
+SELECT symbol, CAST(current_price AS DOUBLE) AS current_price, CAST(change_pct AS DOUBLE) AS change_pct, price_date
+FROM latest_board""", extra=(_LATEST,))
+ORACLE["holdings_active"] = with_feeds("""
+SELECT symbol, sector, qty_held, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, status
+FROM holdings WHERE status = 'active'""", "holdings")
+ORACLE["portfolio_snapshot"] = _snap_q("""
+SELECT symbol, sector, qty_held, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(total_cost AS DOUBLE) AS total_cost,
+       CAST(current_price AS DOUBLE) AS current_price, CAST(todays_change_pct AS DOUBLE) AS todays_change_pct,
+       CAST(current_value AS DOUBLE) AS current_value, CAST(unrealized_pnl AS DOUBLE) AS unrealized_pnl,
+       CAST(unrealized_pct AS DOUBLE) AS unrealized_pct, price_date
+FROM snapshot""")
+_SUMMARY = f"""
+summary AS (
+  SELECT price_date, sum(total_cost) AS total_invested, sum(current_value) AS total_current_value,
+         sum(unrealized_pnl) AS total_unrealized_pnl,
+         {xround('sum(unrealized_pnl) * 100', 'sum(total_cost)', 2)} AS total_unrealized_pct,
+         count(symbol) AS holdings_count
+  FROM snapshot GROUP BY price_date
+)"""
+ORACLE["portfolio_summary"] = _board_q("""
+SELECT price_date, CAST(total_invested AS DOUBLE) AS total_invested,
+       CAST(total_current_value AS DOUBLE) AS total_current_value,
+       CAST(total_unrealized_pnl AS DOUBLE) AS total_unrealized_pnl,
+       CAST(total_unrealized_pct AS DOUBLE) AS total_unrealized_pct, holdings_count
+FROM summary""", "holdings", extra=(_LATEST, _SNAPSHOT, _SUMMARY))
+ORACLE["portfolio_weights"] = _snap_q(f"""
+SELECT s.symbol, s.price_date, CAST(s.current_value AS DOUBLE) AS current_value,
+       {_d(xround('s.current_value * 100', 't.total', 2))} AS weight_pct
+FROM snapshot s JOIN (SELECT price_date, sum(current_value) AS total FROM snapshot GROUP BY price_date) t
+  ON s.price_date = t.price_date""")
+ORACLE["portfolio_weighted_change"] = _snap_q(f"""
+SELECT price_date,
+       {_d(xround('sum(current_value * todays_change_pct)', 'sum(CASE WHEN todays_change_pct IS NOT NULL THEN current_value END)', 2, scale=12))} AS weighted_change_pct
+FROM snapshot GROUP BY price_date""")
+
+_CHARGES = "coalesce(comm, 0) + coalesce(cdc_amt, 0) + coalesce(lsn, 0) + coalesce(sst, 0)"
+
+ORACLE["trade_charges"] = with_feeds(f"""
+SELECT trade_id, broker, symbol, trade_type, trade_date, CAST({_CHARGES} AS DOUBLE) AS charges
+FROM trades""", "trades")
+
+_AVG_BUY = f"""
+avg_buy AS (
+  SELECT broker, symbol,
+         {xround('sum(qty * gross_rate)', 'sum(qty)', 4)} AS avg_buy_rate,
+         sum(qty) AS total_buy_qty, sum({_CHARGES}) AS total_buy_charges
+  FROM trades WHERE trade_type = 'buy'
+  GROUP BY broker, symbol
+)"""
+
+ORACLE["avg_buy"] = with_feeds("""
+SELECT broker, symbol, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(total_buy_qty AS BIGINT) AS total_buy_qty,
+       CAST(total_buy_charges AS DOUBLE) AS total_buy_charges
+FROM avg_buy""", "trades", extra=(_AVG_BUY,))
+
+_REALIZED = f"""
+realized AS (
+  SELECT s.trade_id, s.broker, s.symbol, s.trade_date AS sell_date, s.qty AS sell_qty, s.gross_rate AS sell_rate,
+         b.avg_buy_rate,
+         s.qty * s.gross_rate AS gross_proceeds,
+         s.qty * b.avg_buy_rate AS cost_basis,
+         s.qty * s.gross_rate - s.qty * b.avg_buy_rate AS gross_pnl,
+         ({_CHARGES.replace('coalesce(', 'coalesce(s.')}) + {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 6)} AS allocated_charges,
+         s.qty * s.gross_rate - s.qty * b.avg_buy_rate - ({_CHARGES.replace('coalesce(', 'coalesce(s.')})
+           - {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 6)} AS net_pnl,
+         {xround('(s.qty * s.gross_rate - s.qty * b.avg_buy_rate) * 100', 's.qty * b.avg_buy_rate', 2)} AS gross_pnl_pct,
+         s.reason
+  FROM trades s LEFT JOIN avg_buy b ON s.broker = b.broker AND s.symbol = b.symbol
+  WHERE s.trade_type = 'sell'
+)"""
+
+ORACLE["portfolio_trades"] = with_feeds("""
+SELECT trade_id, broker, symbol, sell_date, sell_qty, CAST(sell_rate AS DOUBLE) AS sell_rate,
+       CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(gross_proceeds AS DOUBLE) AS gross_proceeds,
+       CAST(cost_basis AS DOUBLE) AS cost_basis, CAST(gross_pnl AS DOUBLE) AS gross_pnl,
+       CAST(allocated_charges AS DOUBLE) AS allocated_charges, CAST(net_pnl AS DOUBLE) AS net_pnl,
+       CAST(gross_pnl_pct AS DOUBLE) AS gross_pnl_pct, reason
+FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
+ORACLE["realized_pnl"] = with_feeds("""
+SELECT CAST(coalesce(sum(net_pnl), 0) AS DOUBLE) AS realized_pnl, count(*) AS closed_trades
+FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
+
+ORACLE["tax_summary"] = with_feeds("""
+SELECT broker, period_month,
+  CAST(round(sum(coalesce(capital_gain_loss, 0)), 2) AS DOUBLE) AS net_gain_loss,
+  CAST(round(sum(coalesce(provisional_cgt, 0)), 2) AS DOUBLE) AS provisional_cgt,
+  CAST(round(max(coalesce(cgt_payable_cumulative, 0)), 2) AS DOUBLE) AS cgt_payable_cumulative,
+  CAST(round(max(coalesce(cgt_collected_cumulative, 0)), 2) AS DOUBLE) AS cgt_collected_cumulative,
+  CAST(round(max(coalesce(cgt_shortfall, 0)), 2) AS DOUBLE) AS cgt_shortfall,
+  CAST(round(max(coalesce(cgt_refund, 0)), 2) AS DOUBLE) AS cgt_refund,
+  CAST(round(max(coalesce(cgt_collected_cumulative, 0)) - max(coalesce(cgt_payable_cumulative, 0)), 2) AS DOUBLE)
+    AS cgt_over_under_collected
+FROM tax GROUP BY broker, period_month""", "tax")
