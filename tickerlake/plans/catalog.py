@@ -201,3 +201,222 @@ def _realized_pnl(f: Feeds) -> DataFrame:
 @query("tax_summary")
 def _tax_summary(f: Feeds) -> DataFrame:
     return pf.tax_summary(f.tax())
+
+
+# --- indicator history (every bar) -------------------------------------------------------
+
+def _history(f: Feeds) -> DataFrame:
+    return ind.indicator_history(stg.stage_bars(f.bars()))
+
+
+@query("price_changes")
+def _price_changes(f: Feeds) -> DataFrame:
+    return ind.price_changes(stg.stage_bars(f.bars()))
+
+
+@query("indicator_history")
+def _indicator_history(f: Feeds) -> DataFrame:
+    return _history(f)
+
+
+@query("sma_history")
+def _sma_history(f: Feeds) -> DataFrame:
+    return _history(f).select("symbol", "price_date", "close", "sma_50", "pct_vs_sma_50", "sma_200",
+                              "pct_vs_sma_200")
+
+
+@query("range_52w_history")
+def _range_history(f: Feeds) -> DataFrame:
+    return _history(f).select("symbol", "price_date", "close", "high_52w", "low_52w", "pct_vs_high_52w")
+
+
+@query("volume_ratio_history")
+def _volume_history(f: Feeds) -> DataFrame:
+    return _history(f).select("symbol", "price_date", "volume", "avg_volume_20", "volume_ratio_20")
+
+
+@query("rsi_history")
+def _rsi_history(f: Feeds) -> DataFrame:
+    return _history(f).select("symbol", "price_date", "close", "rsi_14")
+
+
+# --- data quality ---------------------------------------------------------------------------
+
+from tickerlake.operators import quality as dq  # noqa: E402
+from tickerlake.operators import report as rpt  # noqa: E402
+from tickerlake.operators import payload as pl  # noqa: E402
+from tickerlake.sources import ingest as ing  # noqa: E402
+
+
+@query("dq_not_null")
+def _dq_not_null(f: Feeds) -> DataFrame:
+    return dq.not_null(_board(f), "ldcp").select("id", "fetched_at", "symbol")
+
+
+@query("dq_unique")
+def _dq_unique(f: Feeds) -> DataFrame:
+    return dq.unique(_board(f), "symbol")
+
+
+@query("dq_unique_combo")
+def _dq_unique_combo(f: Feeds) -> DataFrame:
+    return dq.unique_combination(f.trades(), ["trade_id", "broker"])
+
+
+@query("dq_relationships")
+def _dq_relationships(f: Feeds) -> DataFrame:
+    return dq.relationships(_board(f), "symbol", f.sector_map(), "symbol").select("id", "symbol")
+
+
+@query("dq_expression")
+def _dq_expression(f: Feeds) -> DataFrame:
+    return (dq.expression_is_true(_board(f), "change_amount >= 0", where="change_amount is not null")
+            .select("id", "symbol", "change_amount"))
+
+
+def mart_tables(f: Feeds) -> dict[str, DataFrame]:
+    board = _board(f)
+    holdings = f.holdings()
+    snapshot = pf.portfolio_snapshot(holdings, board)
+    bars = stg.stage_bars(f.bars())
+    return {
+        "stg_board": board,
+        "stg_bars": bars,
+        "holdings": holdings,
+        "portfolio_snapshot": snapshot,
+        "portfolio_summary": pf.portfolio_summary(snapshot),
+        "technical_indicators": ind.technical_indicators(bars),
+    }
+
+
+@query("dq_report")
+def _dq_report(f: Feeds) -> DataFrame:
+    return dq.quality_report(dq.standard_checks(), mart_tables(f))
+
+
+# --- report ----------------------------------------------------------------------------------
+
+@query("report_summary")
+def _report_summary(f: Feeds) -> DataFrame:
+    return rpt.report_summary(pf.portfolio_summary(_snapshot(f)), pf.realized_trades(f.trades()))
+
+
+@query("report_holdings")
+def _report_holdings(f: Feeds) -> DataFrame:
+    return rpt.report_holdings(_snapshot(f))
+
+
+@query("report_technicals")
+def _report_technicals(f: Feeds) -> DataFrame:
+    return rpt.report_technicals(_snapshot(f), ind.technical_indicators(stg.stage_bars(f.bars())))
+
+
+@query("technicals_lines")
+def _technicals_lines(f: Feeds) -> DataFrame:
+    return rpt.technicals_line(ind.technical_indicators(stg.stage_bars(f.bars())))
+
+
+# --- JSON payloads -----------------------------------------------------------------------------
+
+PROPS_SCHEMA = "struct<k:int>"
+
+
+@query("json_props")
+def _json_props(f: Feeds) -> DataFrame:
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("k int")
+    fallback = F.struct(F.lit(-1).alias("k"))
+    e = f.table("events")
+    return e.select("event_id", pl.parse_payload("props", schema, fallback)["k"].alias("k"))
+
+
+def events_payload(events: DataFrame) -> DataFrame:
+    """A two-person payload per event, serialised to JSON text."""
+    people = F.array(
+        F.struct(F.col("event_type").alias("craft"),
+                 F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("name")),
+        F.struct(F.lit("ground").alias("craft"),
+                 F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("name")))
+    return events.select("event_id", F.to_json(F.struct(F.lit(2).alias("number"),
+                                                        people.alias("people"))).alias("body"))
+
+
+@query("json_explode")
+def _json_explode(f: Feeds) -> DataFrame:
+    p = events_payload(f.table("events")).select(
+        "event_id", pl.parse_payload("body", pl.PEOPLE_SCHEMA).alias("payload"))
+    return pl.explode_lines(p, keep=("event_id",))
+
+
+# --- ingestion ---------------------------------------------------------------------------------
+
+# Fixed value used as the ingestion stamp in the catalogued runs.
+INGESTED_AT = "2024-02-01 13:15:00"
+
+
+def landed_quotes(events: DataFrame) -> DataFrame:
+    """Quote records as landed JSON text, one per event; some are damaged.
+
+    Error events with id divisible by 7 are truncated (unparseable); signup
+    events with id divisible by 11 lack a close.
+    """
+    rec = F.to_json(F.struct(
+        F.concat(F.upper("event_type"), F.lit(ing.TICKER_SUFFIX)).alias("symbol"),
+        F.col("ts"),
+        F.col("value").alias("open"),
+        (F.col("value") + 1).alias("high"),
+        (F.col("value") - 1).alias("low"),
+        F.when(~((F.col("event_type") == "signup") & (F.col("event_id") % 11 == 0)), F.col("value")).alias("close"),
+        (F.col("user_id") * 1.5).alias("volume"),
+        F.lit(0.0).alias("dividends"),
+        F.lit(0.0).alias("stock_splits")))
+    broken = (F.col("event_type") == "error") & (F.col("event_id") % 7 == 0)
+    text = F.when(broken, F.substring(rec, 1, 20)).otherwise(rec)
+    return events.select("event_id", text.alias("value"))
+
+
+def _parsed_quotes(f: Feeds) -> DataFrame:
+    return landed_quotes(f.table("events")).select("event_id", ing.parse_quotes(F.col("value")).alias("q")) \
+        .select("event_id", "q.*")
+
+
+@query("ingest_bars_quarantine")
+def _ingest_quarantine(f: Feeds) -> DataFrame:
+    _, bad = ing.split_corrupt(_parsed_quotes(f))
+    return bad.select("event_id", "reason")
+
+
+@query("ingest_bars_normalize")
+def _ingest_normalize(f: Feeds) -> DataFrame:
+    good, _ = ing.split_corrupt(_parsed_quotes(f))
+    stamp = F.lit(INGESTED_AT).cast("timestamp_ntz")
+    return ing.normalize_quotes(good, ingested_at=stamp, keep=("event_id",))
+
+
+@query("upsert_insert_only")
+def _upsert_insert_only(f: Feeds) -> DataFrame:
+    """A re-fetch that overlaps history: first write per key wins, existing keys are skipped."""
+    bars = f.bars()
+    target = bars.where(F.col("price_date") < F.lit("1998-01-01").cast("date"))
+    refetch = (bars.withColumn("arrival", F.lit(0))
+               .unionByName(bars.withColumn("close", F.col("close") + 1).withColumn("arrival", F.lit(1))))
+    return ing.insert_only(target, refetch, ["symbol", "price_date"], [F.col("arrival"), F.col("id")]) \
+        .drop("arrival")
+
+
+@query("incremental_copy")
+def _incremental_copy(f: Feeds) -> DataFrame:
+    """Events above the mark of a target that was last synced on 2024-01-20."""
+    events = f.table("events")
+    target = events.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+    return ing.incremental_copy(events, target, "event_id")
+
+
+# --- ticks ---------------------------------------------------------------------------------------
+
+from tickerlake.streaming import bars as sbars  # noqa: E402
+
+
+@query("daily_bars")
+def _daily_bars(f: Feeds) -> DataFrame:
+    return sbars.daily_bars(f.ticks())

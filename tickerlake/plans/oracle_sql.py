@@ -39,19 +39,24 @@ frames AS (
          w14 AS (PARTITION BY symbol ORDER BY price_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)
 )"""
 
-_INDICATOR_COLS = f"""
-symbol, price_date, {_d('close')} AS close, volume,
-{_d("CASE WHEN n50 = 50 THEN round(s50 * 0.02, 4) END")} AS sma_50,
-{_d("CASE WHEN n50 = 50 THEN " + xround("100 * (50 * close - s50)", "s50", 2) + " END")} AS pct_vs_sma_50,
-{_d("CASE WHEN n200 = 200 THEN round(s200 * 0.005, 4) END")} AS sma_200,
-{_d("CASE WHEN n200 = 200 THEN " + xround("100 * (200 * close - s200)", "s200", 2) + " END")} AS pct_vs_sma_200,
-{_d("CASE WHEN nc = 14 THEN CASE WHEN coalesce(l, 0) = 0 THEN 100 ELSE " + xround("100 * g", "g + l", 2) + " END END")} AS rsi_14,
-{_d('hi')} AS high_52w, {_d('lo')} AS low_52w,
-{_d(xround("100 * (close - hi)", "hi", 2))} AS pct_vs_high_52w,
-{_d("CASE WHEN nv = 20 THEN round(sv * 0.05, 2) END")} AS avg_volume_20,
-{_d("CASE WHEN nv = 20 THEN " + xround("20 * CAST(volume AS DECIMAL(30,0))", "sv", 2) + " END")} AS volume_ratio_20
+def indicator_cols(double: bool = True) -> str:
+    d = _d if double else (lambda e: e)
+    return f"""
+symbol, price_date, {d('close')} AS close, volume,
+{d("CASE WHEN n50 = 50 THEN round(s50 * 0.02, 4) END")} AS sma_50,
+{d("CASE WHEN n50 = 50 THEN " + xround("100 * (50 * close - s50)", "s50", 2) + " END")} AS pct_vs_sma_50,
+{d("CASE WHEN n200 = 200 THEN round(s200 * 0.005, 4) END")} AS sma_200,
+{d("CASE WHEN n200 = 200 THEN " + xround("100 * (200 * close - s200)", "s200", 2) + " END")} AS pct_vs_sma_200,
+{d("CASE WHEN nc = 14 THEN CASE WHEN coalesce(l, 0) = 0 THEN 100 ELSE " + xround("100 * g", "g + l", 2) + " END END")} AS rsi_14,
+{d('hi')} AS high_52w, {d('lo')} AS low_52w,
+{d(xround("100 * (close - hi)", "hi", 2))} AS pct_vs_high_52w,
+{d("CASE WHEN nv = 20 THEN round(sv * 0.05, 2) END")} AS avg_volume_20,
+{d("CASE WHEN nv = 20 THEN " + xround("20 * CAST(volume AS DECIMAL(30,0))", "sv", 2) + " END")} AS volume_ratio_20
 """
 
+
+_INDICATOR_COLS = indicator_cols()
+
 ORACLE["technical_indicators"] = with_feeds(
     f"SELECT {_INDICATOR_COLS} FROM frames WHERE rn = 1", "bars", extra=(_FRAMES,))
 
@@ -288,3 +293,185 @@ SELECT broker, period_month,
   CAST(round(max(coalesce(cgt_collected_cumulative, 0)) - max(coalesce(cgt_payable_cumulative, 0)), 2) AS DOUBLE)
     AS cgt_over_under_collected
 FROM tax GROUP BY broker, period_month""", "tax")
+
+
+# --- indicator history ----------------------------------------------------------------------
+
+_HISTORY = f"history AS (SELECT {_INDICATOR_COLS} FROM frames)"
+
+
+def _hist_q(cols: str) -> str:
+    return with_feeds(f"SELECT {cols} FROM history", "bars", extra=(_FRAMES, _HISTORY))
+
+
+ORACLE["indicator_history"] = _hist_q("*")
+ORACLE["sma_history"] = _hist_q("symbol, price_date, close, sma_50, pct_vs_sma_50, sma_200, pct_vs_sma_200")
+ORACLE["range_52w_history"] = _hist_q("symbol, price_date, close, high_52w, low_52w, pct_vs_high_52w")
+ORACLE["volume_ratio_history"] = _hist_q("symbol, price_date, volume, avg_volume_20, volume_ratio_20")
+ORACLE["rsi_history"] = _hist_q("symbol, price_date, close, rsi_14")
+ORACLE["price_changes"] = with_feeds("""
+SELECT symbol, price_date, CAST(close AS DOUBLE) AS close, CAST(prev AS DOUBLE) AS prev_close,
+       CAST(close - prev AS DOUBLE) AS price_change
+FROM (SELECT symbol, price_date, close, lag(close) OVER (PARTITION BY symbol ORDER BY price_date) AS prev
+      FROM bars WHERE close IS NOT NULL) t""", "bars")
+
+# --- data quality ------------------------------------------------------------------------------
+
+ORACLE["dq_not_null"] = _board_q("SELECT id, fetched_at, symbol FROM stg_board WHERE ldcp IS NULL")
+ORACLE["dq_unique"] = _board_q("""
+SELECT symbol, count(*) AS n_records FROM stg_board WHERE symbol IS NOT NULL
+GROUP BY symbol HAVING count(*) > 1""")
+ORACLE["dq_unique_combo"] = with_feeds("""
+SELECT trade_id, broker, count(*) AS n_records FROM trades GROUP BY trade_id, broker HAVING count(*) > 1""",
+                                       "trades")
+ORACLE["dq_relationships"] = _board_q("""
+SELECT id, symbol FROM stg_board s
+WHERE symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sector_map m WHERE m.symbol = s.symbol)""", "sector_map")
+ORACLE["dq_expression"] = _board_q("""
+SELECT id, symbol, CAST(change_amount AS DOUBLE) AS change_amount FROM stg_board
+WHERE change_amount IS NOT NULL AND NOT (change_amount >= 0)""")
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.name}' AS check_name, '{c.table}' AS \"table\", count(*) AS failures FROM "
+    where = f"({c.where})" if c.where else "TRUE"
+    if c.kind == "not_null":
+        return head + f"{c.table} WHERE {c.column} IS NULL"
+    if c.kind == "unique":
+        return head + (f"(SELECT {c.column} FROM {c.table} WHERE {c.column} IS NOT NULL "
+                       f"GROUP BY {c.column} HAVING count(*) > 1) x")
+    if c.kind == "unique_combination":
+        cols = ", ".join(c.columns)
+        return head + f"(SELECT {cols} FROM {c.table} GROUP BY {cols} HAVING count(*) > 1) x"
+    if c.kind == "relationships":
+        return head + (f"{c.table} c WHERE {where} AND c.{c.column} IS NOT NULL AND NOT EXISTS "
+                       f"(SELECT 1 FROM {c.parent} p WHERE p.{c.parent_column} = c.{c.column})")
+    if c.kind == "expression_is_true":
+        return head + f"{c.table} WHERE {where} AND NOT ({c.expression})"
+    raise ValueError(c.kind)
+
+
+def _dq_report_sql() -> str:
+    from tickerlake.operators.quality import standard_checks
+
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in standard_checks())
+    marts = (
+        "stg_bars AS (SELECT * FROM bars)",
+        _LATEST, _SNAPSHOT, _SUMMARY,
+        "portfolio_snapshot AS (SELECT * FROM snapshot)",
+        "portfolio_summary AS (SELECT * FROM summary)",
+        _FRAMES,
+        f"technical_indicators AS (SELECT {_INDICATOR_COLS} FROM frames WHERE rn = 1)",
+    )
+    return with_feeds(f'SELECT check_name, "table", failures, failures = 0 AS passed FROM ({body}) r',
+                      "board", "bars", "holdings", extra=(STG_BOARD,) + marts)
+
+
+ORACLE["dq_report"] = _dq_report_sql()
+
+# --- report --------------------------------------------------------------------------------------
+
+_GREEN, _RED = "#0a7d2c", "#c02626"
+
+
+def _fixed(x: str, n: int, plus: bool = False) -> str:
+    sign = f"CASE WHEN {x} < 0 THEN '-' ELSE '{'+' if plus else ''}' END"
+    return f"({sign} || CAST(CAST(round_even(abs({x}), {n}) AS DECIMAL(38,{n})) AS VARCHAR))"
+
+
+def _money(x: str) -> str:
+    return f"coalesce({_fixed(x, 2)}, 'n/a')"
+
+
+def _color(x: str) -> str:
+    return f"CASE WHEN {x} >= 0 THEN '{_GREEN}' ELSE '{_RED}' END"
+
+
+ORACLE["report_summary"] = _board_q(f"""
+SELECT s.price_date,
+       {_money('s.total_current_value')} AS total_current_value, {_money('s.total_invested')} AS total_invested,
+       {_money('s.total_unrealized_pnl')} AS total_unrealized_pnl,
+       {_money('s.total_unrealized_pct')} AS total_unrealized_pct,
+       {_color('s.total_unrealized_pnl')} AS unrealized_color, s.holdings_count,
+       {_money('p.realized_pnl')} AS realized_pnl, {_color('p.realized_pnl')} AS realized_color, p.closed_trades,
+       'Portfolio Update — ' || CAST(s.price_date AS VARCHAR) AS subject
+FROM (SELECT * FROM summary ORDER BY price_date DESC LIMIT 1) s,
+     (SELECT coalesce(sum(net_pnl), 0) AS realized_pnl, count(*) AS closed_trades FROM realized) p""",
+    "holdings", "trades", extra=(_LATEST, _SNAPSHOT, _SUMMARY, _AVG_BUY, _REALIZED))
+ORACLE["report_holdings"] = _snap_q(f"""
+SELECT symbol, {_money('current_price')} AS current_price, {_money('todays_change_pct')} AS todays_change_pct,
+       {_color('todays_change_pct')} AS change_color, {_money('current_value')} AS current_value,
+       {_money('unrealized_pnl')} AS unrealized_pnl, {_color('unrealized_pnl')} AS pnl_color
+FROM snapshot""")
+
+_LINES = f"""
+lines AS (
+  SELECT symbol,
+         'vs 200DMA: ' || coalesce({_fixed('pct_vs_sma_200', 0, plus=True)} || '%', 'n/a')
+         || ' | RSI: ' || coalesce({_fixed('rsi_14', 0)}, 'n/a')
+         || ' | vol: ' || coalesce({_fixed('volume_ratio_20', 1)} || 'x', 'n/a') AS technicals_line
+  FROM (SELECT {indicator_cols(double=False)} FROM frames WHERE rn = 1) i
+)"""
+
+ORACLE["technicals_lines"] = with_feeds("SELECT symbol, technicals_line FROM lines", "bars",
+                                        extra=(_FRAMES, _LINES))
+ORACLE["report_technicals"] = _board_q("""
+SELECT s.symbol, coalesce(l.technicals_line, 'n/a') AS technicals_line
+FROM snapshot s LEFT JOIN lines l ON s.symbol = l.symbol""", "holdings", "bars",
+    extra=(_LATEST, _SNAPSHOT, _FRAMES, _LINES))
+
+# --- JSON payloads ---------------------------------------------------------------------------------
+
+ORACLE["json_props"] = """
+SELECT event_id,
+       CASE WHEN props IS NULL OR NOT json_valid(props) THEN -1
+            ELSE CAST(json_extract(props, '$.k') AS INTEGER) END AS k
+FROM events"""
+ORACLE["json_explode"] = """
+SELECT event_id, 2 AS number, 2 AS n_people, CAST(0 AS BIGINT) AS pos,
+       'user ' || CAST(user_id AS VARCHAR) || ' is currently in space flying on the ' || event_type
+       || '! Hello! :)' AS line
+FROM events
+UNION ALL
+SELECT event_id, 2, 2, CAST(1 AS BIGINT),
+       'event ' || CAST(event_id AS VARCHAR) || ' is currently in space flying on the ground! Hello! :)'
+FROM events"""
+
+# --- ingestion --------------------------------------------------------------------------------------
+
+_BROKEN = "(event_type = 'error' AND event_id % 7 = 0)"
+_NO_CLOSE = "(event_type = 'signup' AND event_id % 11 = 0)"
+
+ORACLE["ingest_bars_quarantine"] = f"""
+SELECT event_id, CASE WHEN {_BROKEN} THEN 'unparseable' ELSE 'missing field' END AS reason
+FROM events WHERE {_BROKEN} OR {_NO_CLOSE}"""
+ORACLE["ingest_bars_normalize"] = f"""
+SELECT event_id, upper(event_type) AS symbol,
+       CAST(timezone('UTC', timezone('Asia/Karachi', ts)) AS DATE) AS price_date,
+       CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS open,
+       CAST(CAST(value + 1 AS DECIMAL(18,4)) AS DOUBLE) AS high,
+       CAST(CAST(value - 1 AS DECIMAL(18,4)) AS DOUBLE) AS low,
+       CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS close,
+       CAST(trunc(user_id * 1.5) AS BIGINT) AS volume,
+       0.0::DOUBLE AS dividends, 0.0::DOUBLE AS stock_splits,
+       TIMESTAMP '2024-02-01 13:15:00' AS fetched_at
+FROM events WHERE NOT ({_BROKEN} OR {_NO_CLOSE})"""
+ORACLE["upsert_insert_only"] = with_feeds("""
+SELECT id, symbol, price_date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
+       CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume,
+       CAST(dividends AS DOUBLE) AS dividends, CAST(stock_splits AS DOUBLE) AS stock_splits, fetched_at
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, price_date ORDER BY arrival, id) AS rn
+      FROM (SELECT *, 0 AS arrival FROM bars
+            UNION ALL SELECT * REPLACE (close + 1 AS close), 1 AS arrival FROM bars) b) f
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM bars t WHERE t.price_date < DATE '1998-01-01'
+                             AND t.symbol = f.symbol AND t.price_date = f.price_date)""", "bars")
+ORACLE["incremental_copy"] = """
+SELECT * FROM events
+WHERE event_id > (SELECT coalesce(max(event_id), 0) FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')"""
+
+# --- ticks ---------------------------------------------------------------------------------------------
+
+ORACLE["daily_bars"] = """
+SELECT event_type AS symbol, CAST(ts AS DATE) AS price_date, min_by(value, event_id) AS open,
+       max(value) AS high, min(value) AS low, max_by(value, event_id) AS close, count(*) AS volume
+FROM events GROUP BY event_type, CAST(ts AS DATE)"""

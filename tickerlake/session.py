@@ -21,6 +21,7 @@ BASE_CONF = {
     # keep the automatic threshold at Spark's conservative default.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
