@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
@@ -96,24 +96,30 @@ def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], order:
     return first.join(target.select(*keys), list(keys), "left_anti")
 
 
+def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception:  # no table yet
+        return spark.createDataFrame([], schema)
+
+
+def _append_counted(df: DataFrame, path: str) -> int:
+    """Append ``df`` to Parquet at ``path`` and return the rows written (one pass)."""
+    obs = Observation("appended")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return int(obs.get.get("rows", 0))
+
+
 def append_insert_only(spark: SparkSession, target_path: str, batch: DataFrame,
                        keys: Sequence[str], order: Sequence) -> int:
     """Append the new rows of ``batch`` to the Parquet table at ``target_path``.
 
     Returns the number of rows written.  Re-running with the same batch adds
-    nothing (the anti-join sees the rows of the first run).
+    nothing (the anti-join sees the rows of the first run), so a retried or
+    replayed micro-batch is harmless.
     """
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # no table yet: everything is new
-        target = spark.createDataFrame([], batch.select(*keys).schema)
-    new = insert_only(target, batch, keys, order)
-    # materialise once so the count and the write see the same rows
-    new = new.checkpoint(eager=True)
-    n = new.count()
-    if n:
-        new.write.mode("append").parquet(target_path)
-    return n
+    target = _read_or_empty(spark, target_path, batch.schema)
+    return _append_counted(insert_only(target, batch, keys, order), target_path)
 
 
 def high_water_mark(target: DataFrame, id_col: str = "id") -> int:
@@ -134,15 +140,8 @@ def incremental_copy(source: DataFrame, target: DataFrame, id_col: str = "id") -
 
 def copy_new_rows(spark: SparkSession, source: DataFrame, target_path: str, id_col: str = "id") -> int:
     """Append the rows above the high-water mark to ``target_path``; returns the count."""
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:
-        target = spark.createDataFrame([], source.schema)
-    new = incremental_copy(source, target, id_col).checkpoint(eager=True)
-    n = new.count()
-    if n:
-        new.write.mode("append").parquet(target_path)
-    return n
+    target = _read_or_empty(spark, target_path, source.schema)
+    return _append_counted(incremental_copy(source, target, id_col), target_path)
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
