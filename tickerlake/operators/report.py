@@ -23,21 +23,23 @@ SUBJECT_PREFIX = "Portfolio Update — "
 
 
 def report_summary(summary: DataFrame, realized: DataFrame) -> DataFrame:
-    """Headline row: latest summary date joined to the realized P&L total.
+    """Headline row: the latest summary row plus the realized P&L total.
 
-    Both sides are global aggregates (exactly one row each) and are joined on
-    a constant key.  An empty summary makes the job fail, as the report
-    cannot be produced without it.
+    The latest row is a global ``max_by`` aggregate (exactly one row) and the
+    realized totals enter as one struct-valued scalar subquery, so there is
+    no join.  An empty summary fails the job: the report cannot be produced
+    without it.
     """
+    pnl = realized.agg(F.struct(
+        F.coalesce(F.sum("net_pnl"), F.lit(0)).alias("realized_pnl"),
+        F.count(F.lit(1)).alias("closed_trades")).alias("p")).scalar()
     latest = summary.agg(
         F.max_by(F.struct(*summary.columns), F.col("price_date")).alias("s"),
         F.count(F.lit(1)).alias("n_summary"),
-    ).select("s.*", "n_summary").withColumn("_k", F.lit(1))
-    pnl = realized.agg(F.coalesce(F.sum("net_pnl"), F.lit(0)).alias("realized_pnl"),
-                       F.count(F.lit(1)).alias("closed_trades")).withColumn("_k", F.lit(1))
-    j = latest.join(pnl, "_k")
+    ).select("s.*", "n_summary", pnl["realized_pnl"].alias("realized_pnl"),
+             pnl["closed_trades"].alias("closed_trades"))
     checked = F.when(F.col("n_summary") == 0, F.raise_error(F.lit("portfolio summary returned no rows")))
-    return j.select(
+    return latest.select(
         F.coalesce(checked.cast("date"), F.col("price_date")).alias("price_date"),
         fmt_money("total_current_value").alias("total_current_value"),
         fmt_money("total_invested").alias("total_invested"),
