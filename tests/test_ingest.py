@@ -79,3 +79,18 @@ def test_report_formatting_half_even(spark):
             assert g[:4] == ("n/a",) * 4 and g[4] == "#c02626"
         else:
             assert g[:4] == (f"{v:+.0f}%", f"{v:.0f}", f"{v:.1f}x", f"{v:.2f}"), (v, g)
+
+
+def test_create_if_absent_and_positional_append(spark, scratch):
+    from tickerlake.schemas import BOARD_RAW
+
+    name = "board_copy_" + scratch.rsplit("-", 1)[-1].replace("_", "")
+    ing.ensure_table(spark, name, BOARD_RAW, path=f"{scratch}/t")
+    ing.ensure_table(spark, name, BOARD_RAW, path=f"{scratch}/t")  # idempotent
+    rows = spark.createDataFrame([(7, dt.datetime(2024, 1, 1), "A", "n", "1", "2", "0", "1%", "1%", "1", "1", "1",
+                                   "1")], BOARD_RAW)
+    # positional: column names of the frame do not matter
+    ing.append_positional(rows.toDF(*[f"c{i}" for i in range(13)]), name)
+    got = spark.table(name).collect()
+    assert len(got) == 1 and got[0].id == 7 and got[0].symbol == "A"
+    spark.sql(f"DROP TABLE {name}")

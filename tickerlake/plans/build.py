@@ -43,6 +43,12 @@ def build_all(inputs: dict[str, DataFrame], persist: bool = True) -> dict[str, D
     }
 
 
+def register_views(marts: dict[str, DataFrame]) -> None:
+    """Expose every dataset by name for SQL users (lazy temp views)."""
+    for name, df in marts.items():
+        df.createOrReplaceTempView(name)
+
+
 def materialize(marts: dict[str, DataFrame], base_path: str, mode: str = "overwrite") -> None:
     """Write every gold mart (the silver ones stay views)."""
     for name, df in marts.items():

@@ -144,6 +144,18 @@ def copy_new_rows(spark: SparkSession, source: DataFrame, target_path: str, id_c
     return _append_counted(incremental_copy(source, target, id_col), target_path)
 
 
+def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS with an explicit column list (Parquet, optional location)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    where = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{where}")
+
+
+def append_positional(df: DataFrame, name: str) -> None:
+    """Append by column position (``insertInto``), as a VALUES-style insert does."""
+    df.write.insertInto(name, overwrite=False)
+
+
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
     """Materialise a mart: a catalog table, or Parquet files at ``path``."""
     if path:
