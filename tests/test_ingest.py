@@ -94,3 +94,13 @@ def test_create_if_absent_and_positional_append(spark, scratch):
     got = spark.table(name).collect()
     assert len(got) == 1 and got[0].id == 7 and got[0].symbol == "A"
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_insert_only_pruned_target_read(spark, capsys):
+    target = spark.createDataFrame([("A", d, 1) for d in range(100)], "sym string, d int, close int")
+    batch = spark.createDataFrame([("A", 98, 5, 0), ("A", 100, 6, 0)], "sym string, d int, close int, arrival int")
+    new = ing.insert_only(target, batch, ["sym", "d"], ["arrival"], prune_on="d")
+    assert [(r.sym, r.d) for r in new.collect()] == [("A", 100)]
+    new.explain()
+    plan = capsys.readouterr().out
+    assert ">= 98" in plan and "<= 100" in plan

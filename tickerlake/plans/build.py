@@ -57,11 +57,19 @@ def materialize(marts: dict[str, DataFrame], base_path: str, mode: str = "overwr
 
 
 def build_and_check(inputs: dict[str, DataFrame], base_path: str | None = None) -> DataFrame:
-    """Build, optionally write, then evaluate the declared checks; raise on failure."""
+    """Build, optionally write, then evaluate the declared checks; raise on failure.
+
+    With ``base_path`` the checks read the written gold tables back, so they
+    neither recompute the marts nor depend on the build's lineage.
+    """
     marts = build_all(inputs)
+    tables = dict(marts)
     if base_path:
         materialize(marts, base_path)
-    tables = dict(marts)
+        spark = next(iter(marts.values())).sparkSession
+        for name in marts:
+            if not name.startswith("stg_"):
+                tables[name] = spark.read.parquet(f"{base_path.rstrip('/')}/{name}")
     tables["holdings"] = inputs["holdings"]
     report = dq.quality_report(dq.standard_checks(), tables)
     dq.assert_quality(report)

@@ -90,7 +90,7 @@ def board_feed(orders: DataFrame) -> DataFrame:
     return (orders.where(F.col("o_orderdate") < F.lit(BOARD_CUTOFF).cast("timestamp_ntz"))
             .select(
                 k.alias("id"),
-                F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("fetched_at"),
+                F.trunc(F.to_date("o_orderdate"), "month").cast("timestamp_ntz").alias("fetched_at"),
                 F.concat(F.when(k % 11 == 0, F.lit(" ")).otherwise(F.lit("")),
                          F.lit("C"), _s(ck),
                          F.when(k % 5 == 0, F.lit(" XD")).otherwise(F.lit(""))).alias("symbol"),

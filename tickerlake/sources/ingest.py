@@ -90,10 +90,23 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence) -> Dat
     return batch.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Rows of ``batch`` that an INSERT ... ON CONFLICT DO NOTHING would add."""
+def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence,
+                prune_on: str | None = None) -> DataFrame:
+    """Rows of ``batch`` that an INSERT ... ON CONFLICT DO NOTHING would add.
+
+    ``prune_on`` names a key column (e.g. the bar date): the target is then
+    read only within the batch's [min, max] of it, a literal range that
+    reaches the Parquet scan (partition and row-group pruning), so a small
+    batch does not anti-join against the whole history.
+    """
     first = first_per_key(batch, keys, order)
-    return first.join(target.select(*keys), list(keys), "left_anti")
+    existing = target.select(*keys)
+    if prune_on is not None:
+        lo, hi = batch.agg(F.min(prune_on), F.max(prune_on)).first()
+        if lo is None:
+            return first
+        existing = existing.where(F.col(prune_on).between(F.lit(lo), F.lit(hi)))
+    return first.join(existing, list(keys), "left_anti")
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -111,7 +124,7 @@ def _append_counted(df: DataFrame, path: str) -> int:
 
 
 def append_insert_only(spark: SparkSession, target_path: str, batch: DataFrame,
-                       keys: Sequence[str], order: Sequence) -> int:
+                       keys: Sequence[str], order: Sequence, prune_on: str | None = None) -> int:
     """Append the new rows of ``batch`` to the Parquet table at ``target_path``.
 
     Returns the number of rows written.  Re-running with the same batch adds
@@ -119,7 +132,7 @@ def append_insert_only(spark: SparkSession, target_path: str, batch: DataFrame,
     replayed micro-batch is harmless.
     """
     target = _read_or_empty(spark, target_path, batch.schema)
-    return _append_counted(insert_only(target, batch, keys, order), target_path)
+    return _append_counted(insert_only(target, batch, keys, order, prune_on), target_path)
 
 
 def high_water_mark(target: DataFrame, id_col: str = "id") -> int:

@@ -26,13 +26,13 @@ def _trigger(writer, available_now: bool, interval: str | None):
 
 def stream_insert_only(stream: DataFrame, target_path: str, keys: Sequence[str], order: Sequence,
                        checkpoint: str, available_now: bool = True,
-                       interval: str | None = None) -> StreamingQuery:
+                       interval: str | None = None, prune_on: str | None = None) -> StreamingQuery:
     """Each micro-batch appends only keys not yet in the target (first write wins)."""
     keys = list(keys)
     order = list(order)
 
     def upsert(batch, batch_id):  # runs on the driver, work stays distributed
-        append_insert_only(batch.sparkSession, target_path, batch, keys, order)
+        append_insert_only(batch.sparkSession, target_path, batch, keys, order, prune_on)
 
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
