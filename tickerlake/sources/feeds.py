@@ -7,7 +7,7 @@ shared test tables so that every mart's work grows with the data:
 * ``bars``       one bar per (nation, order day) and per (event type, day)
 * ``board``      one raw, text-typed board row per order (dirty on purpose)
 * ``sector_map`` customer-key buckets mapped to region names
-* ``holdings``   the first 100 suppliers as positions
+* ``holdings``   one position per supplier
 * ``trades``     one buy/sell per line item
 * ``tax``        one tax line per order
 
@@ -119,10 +119,10 @@ def sector_map_feed(customer: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def holdings_feed(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """One position per supplier; only C0..C99 are quoted on the board."""
     k = F.col("s_suppkey")
-    return (supplier.where(k < 100)
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.concat(F.lit("C"), _s(k % 100)).alias("symbol"),
+    return (supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.concat(F.lit("C"), _s(k)).alias("symbol"),
                     F.col("n_name").alias("sector"),
                     (k % 40 + 1).cast("bigint").alias("qty_held"),
                     _money(F.abs("s_acctbal") + 100000).alias("avg_buy_rate"),
