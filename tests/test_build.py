@@ -28,6 +28,7 @@ def test_build_all_and_checks(spark, scratch):
                  "indicators.symbol.unique", "summary.holdings_count.positive"):
         assert rep[name] == 0, name
     marts["stg_board"].unpersist()
+    marts["portfolio_snapshot"].unpersist()
 
 
 def test_load_trades_seed_parses_month_first_dates(spark, scratch):

@@ -4,7 +4,9 @@
 ``materialize`` writes them (full rebuild) and ``build_and_check`` runs the
 33 declared checks on the result.  The silver board feeds four marts and is
 persisted once; it is small (one row per snapshot and symbol) but costly to
-derive (a de-duplication over the whole raw board).
+derive (a de-duplication over the whole raw board).  The portfolio snapshot
+is persisted for the same reason.  Persisted blocks lost with an executor are
+recomputed from lineage, so persistence never affects results.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ def build_all(inputs: dict[str, DataFrame], persist: bool = True) -> dict[str, D
         board = board.persist(StorageLevel.MEMORY_AND_DISK)
     bars = stg.stage_bars(inputs["bars"])
     snapshot = pf.portfolio_snapshot(inputs["holdings"], board)
+    if persist:
+        # read by the summary, the report and the weights: computed once
+        snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "stg_board": board,
         "stg_bars": bars,

@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # AQE coalesces small shuffle partitions up to this size and splits skewed
+    # ones above 5x the median; on a cluster start from a generous partition
+    # count (e.g. input bytes / 128 MB) and let AQE shrink it.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Explicit broadcasts in the library are size-checked (see plans.sizing);
     # keep the automatic threshold at Spark's conservative default.
