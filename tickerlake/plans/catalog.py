@@ -11,11 +11,19 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
+from tickerlake.functions.cleaning import clean_text, strip_token
 from tickerlake.operators import indicators as ind
+from tickerlake.operators import market as mkt
+from tickerlake.operators import payload as pl
+from tickerlake.operators import portfolio as pf
+from tickerlake.operators import quality as dq
+from tickerlake.operators import report as rpt
 from tickerlake.operators import staging as stg
+from tickerlake.sources import ingest as ing
 from tickerlake.sources.feeds import Feeds
+from tickerlake.streaming import bars as sbars
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,10 +64,6 @@ def _technical_indicators(f: Feeds) -> DataFrame:
 
 # --- raw scans and cleaning -----------------------------------------------------
 
-from tickerlake.functions.cleaning import clean_text, strip_token  # noqa: E402
-from tickerlake.operators import market as mkt  # noqa: E402
-from tickerlake.operators import portfolio as pf  # noqa: E402
-
 
 @query("scan_board")
 def _scan_board(f: Feeds) -> DataFrame:
@@ -242,11 +246,6 @@ def _rsi_history(f: Feeds) -> DataFrame:
 
 # --- data quality ---------------------------------------------------------------------------
 
-from tickerlake.operators import quality as dq  # noqa: E402
-from tickerlake.operators import report as rpt  # noqa: E402
-from tickerlake.operators import payload as pl  # noqa: E402
-from tickerlake.sources import ingest as ing  # noqa: E402
-
 
 @query("dq_not_null")
 def _dq_not_null(f: Feeds) -> DataFrame:
@@ -318,12 +317,8 @@ def _technicals_lines(f: Feeds) -> DataFrame:
 
 # --- JSON payloads -----------------------------------------------------------------------------
 
-PROPS_SCHEMA = "struct<k:int>"
-
-
 @query("json_props")
 def _json_props(f: Feeds) -> DataFrame:
-    from pyspark.sql.types import StructType
     schema = StructType.fromDDL("k int")
     fallback = F.struct(F.lit(-1).alias("k"))
     e = f.table("events")
@@ -414,8 +409,6 @@ def _incremental_copy(f: Feeds) -> DataFrame:
 
 # --- ticks ---------------------------------------------------------------------------------------
 
-from tickerlake.streaming import bars as sbars  # noqa: E402
-
 
 @query("daily_bars")
 def _daily_bars(f: Feeds) -> DataFrame:
