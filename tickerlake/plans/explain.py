@@ -1,7 +1,8 @@
 """Print the executed physical plan tree of catalogued queries (for PLANS.md).
 
 ``python -m tickerlake.plans.explain /root/testdata/sf0.1 q1 q2 ...``
-Each query is run once (noop write) so the adaptive plan shown is final.
+Each query is executed through its own QueryExecution (``collect``) so the
+adaptive plan printed is the final one, followed by the initial plan.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def main(argv):
     spark = get_session("local[8]")
     for n in names:
         df = QUERIES[n](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # same QueryExecution as explain(): shows the final adaptive plan
         print(f"### {n}\n\n```\n{plan_tree(df)}\n```\n")
 
 
