@@ -146,3 +146,12 @@ def test_latest_equals_history_on_test_tables(spark):
         if r.symbol not in last or r.price_date > last[r.symbol]["price_date"]:
             last[r.symbol] = r.asDict()
     assert latest == last
+
+
+def test_null_symbol_is_its_own_series(spark):
+    rows = make_series("X", 30, seed=9)
+    rows = [(i, None, d, o, h, lo, c, v, dv, sp, None) for (i, _s, d, o, h, lo, c, v, dv, sp, _) in rows]
+    df = spark.createDataFrame(rows, BARS)
+    hist = indicator_history(df, chunk_rows=256).collect()
+    assert len(hist) == 30 and all(r.symbol is None for r in hist)
+    assert technical_indicators(df).count() == 1

@@ -39,7 +39,14 @@ def sequence_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], bucke
     before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     in_bucket = Window.partitionBy(*key, "_bucket").orderBy(*order)
-    return (with_bucket.join(offsets, key + ["_bucket"])
+    # null-safe: a NULL key (or bucket) is one group, as in PARTITION BY
+    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in key + ["_bucket"]], "_off")
+    cond = None
+    for c in key + ["_bucket"]:
+        eq = with_bucket[c].eqNullSafe(offsets[f"_o_{c}"])
+        cond = eq if cond is None else cond & eq
+    return (with_bucket.join(offsets, cond)
+            .drop(*[f"_o_{c}" for c in key + ["_bucket"]])
             .withColumn("_seq", F.col("_off") + F.row_number().over(in_bucket) - 1)
             .drop("_off", "_bucket"))
 
