@@ -70,7 +70,9 @@ def normalize_quotes(df: DataFrame, suffix: str = TICKER_SUFFIX, tz: str = EXCHA
         day = F.to_date(ts)
     else:
         raise ValueError(f"unknown day_of {day_of!r}")
-    stamp = ingested_at if ingested_at is not None else F.current_timestamp()
+    # default stamp: the current UTC wall clock, whatever the session time zone
+    stamp = ingested_at if ingested_at is not None else \
+        F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     money = lambda c: F.col(c).try_cast(MONEY)
     return df.select(
         *keep,
