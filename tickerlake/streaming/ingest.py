@@ -1,7 +1,8 @@
 """Streaming ingestion: insert-only bars, bounded-state de-duplication, incremental copy.
 
 All jobs take a streaming DataFrame (``spark.readStream...``) and a
-checkpoint folder; on a cluster that folder must be on shared storage.
+checkpoint folder; by default it is a subfolder of the session's
+``spark.checkpoint.dir`` (shared storage on a cluster).
 Replays after a failure are safe: the insert-only sink anti-joins against
 what is already written, and the file source remembers consumed files.
 """
@@ -14,10 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickerlake.session import ensure_checkpoint_dir
 from tickerlake.sources.ingest import append_insert_only
 from tickerlake.streaming.bars import event_time
 
 
+def stream_checkpoint(stream: DataFrame, name: str, checkpoint: str | None) -> str:
+    """Explicit location, else ``<spark.checkpoint.dir>/streams/<name>`` (shared storage)."""
+    if checkpoint:
+        return checkpoint
+    return f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
+
+
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -25,7 +34,7 @@ def _trigger(writer, available_now: bool, interval: str | None):
 
 
 def stream_insert_only(stream: DataFrame, target_path: str, keys: Sequence[str], order: Sequence,
-                       checkpoint: str, available_now: bool = True,
+                       checkpoint: str | None = None, available_now: bool = True,
                        interval: str | None = None, prune_on: str | None = None) -> StreamingQuery:
     """Each micro-batch appends only keys not yet in the target (first write wins)."""
     keys = list(keys)
@@ -34,7 +43,8 @@ def stream_insert_only(stream: DataFrame, target_path: str, keys: Sequence[str],
     def upsert(batch, batch_id):  # runs on the driver, work stays distributed
         append_insert_only(batch.sparkSession, target_path, batch, keys, order, prune_on)
 
-    w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    ckpt = stream_checkpoint(stream, "insert_only", checkpoint)
+    w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
     return _trigger(w, available_now, interval).start()
 
 
@@ -46,19 +56,19 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -
             .drop("_et"))
 
 
-def stream_copy(stream: DataFrame, target_path: str, checkpoint: str, available_now: bool = True,
+def stream_copy(stream: DataFrame, target_path: str, checkpoint: str | None = None, available_now: bool = True,
                 interval: str | None = None) -> StreamingQuery:
     """Incremental copy: the file source's checkpoint plays the high-water mark."""
     w = (stream.writeStream.format("parquet").option("path", target_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+         .option("checkpointLocation", stream_checkpoint(stream, "copy", checkpoint)).outputMode("append"))
     return _trigger(w, available_now, interval).start()
 
 
-def run_stream_bars(stream: DataFrame, target_path: str, checkpoint: str, delay: str = "1 day",
+def run_stream_bars(stream: DataFrame, target_path: str, checkpoint: str | None = None, delay: str = "1 day",
                     available_now: bool = True, interval: str | None = None) -> StreamingQuery:
     """Write closed daily bars from a tick stream to Parquet (append mode)."""
     from tickerlake.streaming.bars import stream_bars
 
     w = (stream_bars(stream, delay).writeStream.format("parquet").option("path", target_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+         .option("checkpointLocation", stream_checkpoint(stream, "bars", checkpoint)).outputMode("append"))
     return _trigger(w, available_now, interval).start()
