@@ -30,8 +30,11 @@ def top_movers(board: DataFrame, k: int | None = None, per: str | None = "fetche
         movers = (movers.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                   .withColumn("rank", F.col("rank").cast("bigint")))
     if ordered:
-        movers = movers.orderBy(*([F.col(per).asc()] if (k is not None and per) else []),
-                                F.col("change_pct").desc_nulls_first(), F.col("symbol").asc())
+        # A total order (snapshot and symbol break ties) lets the range
+        # partitioner of the global sort split even a very frequent change value.
+        lead = [F.col(per).asc()] if (k is not None and per) else []
+        movers = movers.orderBy(*lead, F.col("change_pct").desc_nulls_first(), F.col("symbol").asc(),
+                                F.col("fetched_at").asc())
     return movers
 
 
