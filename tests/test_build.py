@@ -39,3 +39,16 @@ def test_load_trades_seed_parses_month_first_dates(spark, scratch):
         fh.write("T1,B1,ABC,buy,3/7/2025,10,12.5,1.0,,0.02,0.1,125.0,\n")
     r = seeds.load_trades(spark, path).first()
     assert r.trade_date == dt.date(2025, 3, 7) and r.cdc_amt is None and r.reason is None
+
+
+def test_stored_bars_round_trip_and_prune(spark, scratch, capsys):
+    from pyspark.sql import functions as F
+
+    from tickerlake.sources import tables
+
+    bars = Feeds(spark, "/root/testdata/sf0.001").bars()
+    tables.write_bars(bars, f"{scratch}/bars")
+    back = tables.read_bars(spark, f"{scratch}/bars")
+    assert back.count() == bars.count()
+    spark.read.parquet(f"{scratch}/bars").where(F.col("price_month") == "2024-01").explain()
+    assert "PartitionFilters: [isnotnull(price_month" in capsys.readouterr().out
