@@ -84,3 +84,21 @@ def test_stream_copy_is_incremental(spark, scratch):
     ev.where("event_id >= 100").write.parquet(f"{scratch}/src/p=2")
     run()
     assert spark.read.parquet(f"{scratch}/dst").count() == ev.count()
+
+
+def test_stream_bars_emitted_day_is_final(spark, scratch):
+    """Append mode emits a closed day once; a tick for it arriving later is not re-emitted."""
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    t = lambda d, h: dt.datetime(2024, 1, d, h)
+    batches = [
+        [(1, t(1, 10), "a", 1.0), (2, t(1, 12), "a", 3.0), (3, t(5, 9), "a", 5.0)],
+        [(4, t(6, 10), "a", 6.0)],          # watermark now past Jan 1: its bar is emitted
+        [(5, t(1, 23), "a", 100.0), (6, t(7, 10), "a", 7.0)],   # late tick for Jan 1
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/src/b={i}")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{scratch}/src"))
+    si.run_stream_bars(stream, f"{scratch}/out", f"{scratch}/ck", delay="1 day").awaitTermination(240)
+    rows = [r for r in spark.read.parquet(f"{scratch}/out").collect() if r.price_date == dt.date(2024, 1, 1)]
+    assert [(r.open, r.high, r.close, r.volume) for r in rows] == [(1.0, 3.0, 3.0, 2)]
