@@ -155,3 +155,27 @@ def test_null_symbol_is_its_own_series(spark):
     hist = indicator_history(df, chunk_rows=256).collect()
     assert len(hist) == 30 and all(r.symbol is None for r in hist)
     assert technical_indicators(df).count() == 1
+
+
+def test_hot_symbol_is_spread_over_tasks(spark):
+    """A symbol holding most rows is windowed in several tasks, not one."""
+    from pyspark.sql import functions as F
+
+    from tickerlake.operators.rolling import chunk_window, chunked_series, day_bucket
+
+    rows = make_series("HOT", 3000, seed=5) + make_series("COLD", 100, seed=6)
+    df = spark.createDataFrame([(i, s, d, o, h, lo, c, v, dv, sp, None)
+                                for (i, s, d, o, h, lo, c, v, dv, sp, _) in rows], BARS)
+    s = chunked_series(df, ["symbol"], ["price_date"], 251, day_bucket("price_date"), chunk_rows=256)
+    w = s.withColumn("m", F.max("close").over(chunk_window(["symbol"]).rowsBetween(-251, 0)))
+    # AQE would merge this tiny shuffle into one partition; look at the hash layout itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (w.where("symbol = 'HOT' and not _halo")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts >= 4
+    # every own row appears exactly once
+    own = w.where("not _halo").groupBy("symbol").count().collect()
+    assert {r.symbol: r["count"] for r in own} == {"HOT": 3000, "COLD": 100}
