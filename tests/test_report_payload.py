@@ -50,3 +50,19 @@ def test_parse_payload_falls_back_on_bad_text(spark):
         (2, 0): "Fallback is currently in space flying on the ISS! Hello! :)",
         (3, 0): "Fallback is currently in space flying on the ISS! Hello! :)",
     }
+
+
+def test_daily_report_lines_have_technicals(spark):
+    from tickerlake.operators import indicators as ind
+    from tickerlake.operators import portfolio as pf
+    from tickerlake.operators import staging as stg
+    from tickerlake.sources.feeds import Feeds
+
+    f = Feeds(spark, "/root/testdata/sf0.001")
+    snap = pf.portfolio_snapshot(f.holdings(), stg.stage_board(f.board()))
+    head, lines = rpt.daily_report(pf.portfolio_summary(snap), pf.realized_trades(f.trades()), snap,
+                                   ind.technical_indicators(stg.stage_bars(f.bars())))
+    assert head.count() == 1
+    got = lines.collect()
+    assert len(got) == snap.count() and all(r.technicals_line for r in got)
+    assert [r.symbol for r in got] == sorted(r.symbol for r in got)

@@ -83,3 +83,11 @@ def report_technicals(snapshot: DataFrame, indicators: DataFrame) -> DataFrame:
             .join(lines, F.col("symbol") == F.col("_sym"), "left")
             .select("symbol", F.coalesce("technicals_line", F.lit(MISSING)).alias("technicals_line"))
             .orderBy("symbol"))
+
+
+def daily_report(summary: DataFrame, realized: DataFrame, snapshot: DataFrame,
+                 indicators: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(headline, lines): the one-row headline and one line per holding with its technicals."""
+    lines = report_holdings(snapshot).join(
+        report_technicals(snapshot, indicators), "symbol", "left").orderBy("symbol")
+    return report_summary(summary, realized), lines
