@@ -69,10 +69,8 @@ def stage_board(raw: DataFrame, exclusions: Iterable[tuple[str, str, str]] = DEF
     most one row per key; a hot key cannot flood one reducer.
     """
     symbol = F.trim(strip_token("symbol", XD_MARKER))
-    cleaned = raw.select(
-        "id", "fetched_at", symbol.alias("symbol"), "name",
-        *[clean_text(src, toks).alias(f"{out}_clean") for out, src, toks in _BOARD_NUMERIC],
-    )
+    raw_cols = [src for _, src, _ in _BOARD_NUMERIC]
+    keyed = raw.select("id", "fetched_at", symbol.alias("symbol"), "name", *raw_cols)
     if grain == "fetched_at":
         key = [F.col("fetched_at"), F.col("symbol")]
     elif grain == "day":
@@ -80,7 +78,13 @@ def stage_board(raw: DataFrame, exclusions: Iterable[tuple[str, str, str]] = DEF
     else:
         raise ValueError(f"unknown grain {grain!r}")
     w = Window.partitionBy(*key).orderBy(F.col("id").desc_nulls_first())
-    latest = cleaned.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
+    latest = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
+    # Text cleaning is per row, so it is applied after the latest-row filter:
+    # only surviving rows pay for it.
+    latest = latest.select(
+        "id", "fetched_at", "symbol", "name",
+        *[clean_text(src, toks).alias(f"{out}_clean") for out, src, toks in _BOARD_NUMERIC],
+    )
     excl = list(exclusions)
     if excl:
         latest = latest.where(exclusion_predicate(excl))
