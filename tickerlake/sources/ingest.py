@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType
@@ -112,9 +113,12 @@ def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], order:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at ``path``; an empty frame when it does not exist yet."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # no table yet
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -41,7 +41,11 @@ def stream_insert_only(stream: DataFrame, target_path: str, keys: Sequence[str],
     order = list(order)
 
     def upsert(batch, batch_id):  # runs on the driver, work stays distributed
-        append_insert_only(batch.sparkSession, target_path, batch, keys, order, prune_on)
+        batch.persist()  # read twice (bounds + anti-join); dropped right after
+        try:
+            append_insert_only(batch.sparkSession, target_path, batch, keys, order, prune_on)
+        finally:
+            batch.unpersist()
 
     ckpt = stream_checkpoint(stream, "insert_only", checkpoint)
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
