@@ -30,3 +30,7 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(event_id), GreaterThan(event_id," in plan
     plan = _plan(QUERIES["technical_indicators"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_global_top_k_is_take_ordered(spark):
+    assert "TakeOrderedAndProject" in _plan(QUERIES["top_movers_global_k"](spark, SF_SMALL))

@@ -22,8 +22,13 @@ def top_movers(board: DataFrame, k: int | None = None, per: str | None = "fetche
     ``k=None`` is the full ranked list (all snapshots together, as specified).
     With ``k``, the ``k`` best rows per ``per`` value are kept (ties broken by
     symbol); the ``row_number <= k`` filter becomes a pre-shuffle group limit.
+    With ``k`` and ``per=None`` the overall top ``k`` is returned.
     """
     movers = board.where(F.col("change_pct").isNotNull()).select(*MOVER_COLUMNS)
+    if k is not None and not per:
+        # global top-k: per-partition top-k then one merge (TakeOrderedAndProject)
+        return movers.orderBy(F.col("change_pct").desc(), F.col("symbol").asc(),
+                              F.col("fetched_at").asc()).limit(k)
     if k is not None:
         w = (Window.partitionBy(per) if per else Window.partitionBy()).orderBy(
             F.col("change_pct").desc(), F.col("symbol").asc())

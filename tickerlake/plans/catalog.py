@@ -126,6 +126,11 @@ def _top_movers_k(f: Feeds) -> DataFrame:
     return mkt.top_movers(_board(f), k=3, per="fetched_at")
 
 
+@query("top_movers_global_k")
+def _top_movers_global_k(f: Feeds) -> DataFrame:
+    return mkt.top_movers(_board(f), k=10, per=None)
+
+
 @query("volume_leaders_k")
 def _volume_leaders_k(f: Feeds) -> DataFrame:
     return mkt.volume_leaders(_board(f), k=5)
@@ -213,6 +218,16 @@ def _history(f: Feeds) -> DataFrame:
     return ind.indicator_history(stg.stage_bars(f.bars()))
 
 
+@query("technical_indicators_via_history")
+def _technical_indicators_via_history(f: Feeds) -> DataFrame:
+    """Last row per symbol of the history plan: must equal the latest-day plan."""
+    from pyspark.sql import Window
+
+    h = _history(f)
+    w = Window.partitionBy("symbol").orderBy(F.col("price_date").desc())
+    return h.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 @query("price_changes")
 def _price_changes(f: Feeds) -> DataFrame:
     return ind.price_changes(stg.stage_bars(f.bars()))
@@ -370,6 +385,14 @@ def landed_quotes(events: DataFrame) -> DataFrame:
     return events.select("event_id", text.alias("value"))
 
 
+@query("ingest_bars_normalize_local")
+def _ingest_normalize_local(f: Feeds) -> DataFrame:
+    """Same quotes dated by the exchange-local day instead of the UTC day."""
+    good, _ = ing.split_corrupt(_parsed_quotes(f))
+    stamp = F.lit(INGESTED_AT).cast("timestamp_ntz")
+    return ing.normalize_quotes(good, day_of="exchange", ingested_at=stamp, keep=("event_id",))
+
+
 def _parsed_quotes(f: Feeds) -> DataFrame:
     return landed_quotes(f.table("events")).select("event_id", ing.parse_quotes(F.col("value")).alias("q")) \
         .select("event_id", "q.*")

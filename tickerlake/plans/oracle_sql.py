@@ -136,6 +136,9 @@ SELECT {_MOVER}, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY fetched_at ORDER BY change_pct DESC, symbol ASC) AS rank
   FROM stg_board WHERE change_pct IS NOT NULL) t
 WHERE rank <= 3""")
+ORACLE["top_movers_global_k"] = _board_q(f"""
+SELECT {_MOVER} FROM stg_board WHERE change_pct IS NOT NULL
+ORDER BY change_pct DESC, symbol ASC, fetched_at ASC LIMIT 10""")
 ORACLE["volume_leaders_k"] = _board_q("""
 SELECT fetched_at, symbol, name, CAST(current_price AS DOUBLE) AS current_price,
        CAST(change_pct AS DOUBLE) AS change_pct, CAST(volume AS DOUBLE) AS volume, rank FROM (
@@ -309,6 +312,7 @@ ORACLE["sma_history"] = _hist_q("symbol, price_date, close, sma_50, pct_vs_sma_5
 ORACLE["range_52w_history"] = _hist_q("symbol, price_date, close, high_52w, low_52w, pct_vs_high_52w")
 ORACLE["volume_ratio_history"] = _hist_q("symbol, price_date, volume, avg_volume_20, volume_ratio_20")
 ORACLE["rsi_history"] = _hist_q("symbol, price_date, close, rsi_14")
+ORACLE["technical_indicators_via_history"] = ORACLE["technical_indicators"]
 ORACLE["price_changes"] = with_feeds("""
 SELECT symbol, price_date, CAST(close AS DOUBLE) AS close, CAST(prev AS DOUBLE) AS prev_close,
        CAST(close - prev AS DOUBLE) AS price_change
@@ -456,6 +460,8 @@ SELECT event_id, upper(event_type) AS symbol,
        0.0::DOUBLE AS dividends, 0.0::DOUBLE AS stock_splits,
        TIMESTAMP '2024-02-01 13:15:00' AS fetched_at
 FROM events WHERE NOT ({_BROKEN} OR {_NO_CLOSE})"""
+ORACLE["ingest_bars_normalize_local"] = ORACLE["ingest_bars_normalize"].replace(
+    "CAST(timezone('UTC', timezone('Asia/Karachi', ts)) AS DATE)", "CAST(ts AS DATE)")
 ORACLE["upsert_insert_only"] = with_feeds("""
 SELECT id, symbol, price_date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
        CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume,
