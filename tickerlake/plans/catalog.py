@@ -436,3 +436,24 @@ def _incremental_copy(f: Feeds) -> DataFrame:
 @query("daily_bars")
 def _daily_bars(f: Feeds) -> DataFrame:
     return sbars.daily_bars(f.ticks())
+
+
+@query("stream_daily_bars")
+def _stream_daily_bars(f: Feeds) -> DataFrame:
+    """The events file replayed as a stream (1-day watermark, AvailableNow run): the emitted bars.
+
+    Append mode emits a day once the watermark (latest tick - 1 day) passes its end, so the
+    result equals the batch bars of every closed day.  Output and checkpoint go to a fresh
+    folder under the session's checkpoint directory.
+    """
+    import uuid
+
+    from tickerlake.session import ensure_checkpoint_dir
+    from tickerlake.streaming import ingest as sing
+
+    spark = f.spark
+    schema = f.table("events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/daily_bars/{uuid.uuid4().hex}"
+    sing.await_available_now(sing.run_stream_bars(stream, f"{base}/out", f"{base}/ckpt", delay="1 day"))
+    return spark.read.parquet(f"{base}/out")

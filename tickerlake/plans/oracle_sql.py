@@ -481,3 +481,7 @@ ORACLE["daily_bars"] = """
 SELECT event_type AS symbol, CAST(ts AS DATE) AS price_date, min_by(value, event_id) AS open,
        max(value) AS high, min(value) AS low, max_by(value, event_id) AS close, count(*) AS volume
 FROM events GROUP BY event_type, CAST(ts AS DATE)"""
+
+ORACLE["stream_daily_bars"] = f"""
+SELECT * FROM ({ORACLE["daily_bars"]}) d
+WHERE price_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""

@@ -76,3 +76,10 @@ def run_stream_bars(stream: DataFrame, target_path: str, checkpoint: str | None
     w = (stream_bars(stream, delay).writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", stream_checkpoint(stream, "bars", checkpoint)).outputMode("append"))
     return _trigger(w, available_now, interval).start()
+
+
+def await_available_now(query: StreamingQuery, timeout_s: int = 1800) -> None:
+    """Wait for an AvailableNow run to finish; stop it and raise if it does not."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
