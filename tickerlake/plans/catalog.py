@@ -438,6 +438,35 @@ def _daily_bars(f: Feeds) -> DataFrame:
     return sbars.daily_bars(f.ticks())
 
 
+@query("stream_upsert_insert_only")
+def _stream_upsert_insert_only(f: Feeds) -> DataFrame:
+    """Bars history plus a landed re-fetch, ingested by the insert-only stream: the final table.
+
+    The target already holds the bars before 1998; two landed batches carry every bar, the
+    second a day later with changed closes.  First write wins, so the table ends up equal to
+    the original bars.
+    """
+    import uuid
+
+    from tickerlake.session import ensure_checkpoint_dir
+    from tickerlake.streaming import ingest as sing
+
+    spark = f.spark
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/insert_only/{uuid.uuid4().hex}"
+    bars = f.bars()
+    bars.where(F.col("price_date") < F.lit("1998-01-01").cast("date")).write.parquet(f"{base}/target")
+    bars.write.parquet(f"{base}/landing/batch=0")
+    (bars.withColumn("close", (F.col("close") + 1).cast(bars.schema["close"].dataType))
+     .withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 DAY"))
+     .write.parquet(f"{base}/landing/batch=1"))
+    stream = spark.readStream.schema(bars.schema).option("recursiveFileLookup", "true") \
+        .parquet(f"{base}/landing")
+    sing.await_available_now(sing.stream_insert_only(
+        stream, f"{base}/target", ["symbol", "price_date"], [F.col("fetched_at"), F.col("id")],
+        f"{base}/ckpt", prune_on="price_date"))
+    return spark.read.parquet(f"{base}/target")
+
+
 @query("stream_daily_bars")
 def _stream_daily_bars(f: Feeds) -> DataFrame:
     """The events file replayed as a stream (1-day watermark, AvailableNow run): the emitted bars.

@@ -485,3 +485,4 @@ FROM events GROUP BY event_type, CAST(ts AS DATE)"""
 ORACLE["stream_daily_bars"] = f"""
 SELECT * FROM ({ORACLE["daily_bars"]}) d
 WHERE price_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+ORACLE["stream_upsert_insert_only"] = ORACLE["stg_bars"]
