@@ -30,19 +30,27 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickerlake", extra: dict | None = None) -> SparkSession:
+    """Session with the library's settings.
+
+    ``shuffle_partitions`` defaults to 8 only for a ``local[...]`` master; on
+    a cluster the submitted configuration decides (size it to input bytes /
+    ~128 MB and let AQE coalesce).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -50,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    and the master is local (tests) a fresh scratch folder is created and
+    registered.  A cluster without the setting is an error: a machine-local
+    folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -61,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
     local = tempfile.mkdtemp(prefix="tickerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
