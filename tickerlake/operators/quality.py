@@ -93,20 +93,49 @@ class Check:
         raise ValueError(f"unknown check kind {self.kind!r}")
 
 
+def _unique_failure(check: Check) -> Column:
+    """Failure condition of a key group (``_n`` rows) in the fused aggregate."""
+    if check.kind == "unique":
+        return F.col(check.column).isNotNull() & (F.col("_n") > 1)
+    return F.col("_n") > 1
+
+
 def quality_report(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, table, failures, passed) for every check."""
+    """(check_name, table, failures, passed) for every check.
+
+    Per table, the row-level checks and one uniqueness check share a single
+    two-level aggregate: rows are grouped by the unique key (partial
+    aggregation, so a hot duplicate key costs one row per task) with per-group
+    failure counts, then the groups are summed.  Other grouped checks and
+    relationships run as their own aggregates.
+    """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    by_table: dict[str, tuple[list[Check], list[Check]]] = {}
     for c in checks:
+        rows, uniques = by_table.setdefault(c.table, ([], []))
         if c.row_condition() is not None:
-            by_table.setdefault(c.table, []).append(c)
+            rows.append(c)
+        elif c.kind in ("unique", "unique_combination") and not uniques:
+            uniques.append(c)
         else:
             parts.append(c.failures(tables).agg(F.count(F.lit(1)).alias("failures"))
                          .select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table"), "failures"))
-    for table, cs in by_table.items():
-        counts = tables[table].agg(*[F.count_if(c.row_condition()).alias(f"c{i}") for i, c in enumerate(cs)])
+    for table, (rows, uniques) in by_table.items():
+        if not rows and not uniques:
+            continue
+        df = tables[table]
+        row_counts = [F.count_if(c.row_condition()).alias(f"c{i}") for i, c in enumerate(rows)]
+        if uniques:
+            u = uniques[0]
+            keys = [u.column] if u.kind == "unique" else list(u.columns)
+            groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *row_counts)
+            counts = groups.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rows))],
+                                F.count_if(_unique_failure(u)).alias("u0"))
+        else:
+            counts = df.agg(*row_counts)
+        pairs = [(c.name, f"c{i}") for i, c in enumerate(rows)] + [(u.name, "u0") for u in uniques]
         stack = F.expr("stack({n}, {pairs}) AS (check_name, failures)".format(
-            n=len(cs), pairs=", ".join(f"'{c.name}', c{i}" for i, c in enumerate(cs))))
+            n=len(pairs), pairs=", ".join(f"'{name}', CAST({col} AS BIGINT)" for name, col in pairs)))
         parts.append(counts.select(stack).select("check_name", F.lit(table).alias("table"), "failures"))
     out = parts[0]
     for p in parts[1:]:
