@@ -127,11 +127,22 @@ def test_history_matches_brute_force(fixture_bars, chunk_rows):
         assert sorted(got[s], key=lambda x: x["price_date"]) == series, s
 
 
-def test_price_changes_chunked(fixture_bars):
-    df, _ = fixture_bars
-    a = {(r.symbol, r.price_date): r.price_change for r in price_changes(df, chunk_rows=256).collect()}
-    b = {(r.symbol, r.price_date): r.price_change for r in price_changes(df).collect()}
-    assert a == b and len(a) == df.where("close is not null").count()
+@pytest.mark.parametrize("bucket_days", [1, 7, 92])
+def test_price_changes_across_buckets(fixture_bars, bucket_days):
+    df, rows = fixture_bars
+    got = {(r.symbol, r.price_date): (r.prev_close, r.price_change)
+           for r in price_changes(df, bucket_days=bucket_days).collect()}
+    want = {}
+    by = {}
+    for (_, s, d, _o, _h, _l, c, *_rest) in rows:
+        if c is not None:
+            by.setdefault(s, []).append((d, c))
+    for s, series in by.items():
+        series.sort()
+        for i, (d, c) in enumerate(series):
+            prev = series[i - 1][1] if i else None
+            want[(s, d)] = (prev, None if prev is None else c - prev)
+    assert got == want
 
 
 def test_latest_equals_history_on_test_tables(spark):

@@ -22,6 +22,7 @@ from pyspark.sql.types import DecimalType
 
 from tickerlake.functions.numeric import gated, ratio
 from tickerlake.operators.rolling import (
+    DEFAULT_BUCKET_DAYS,
     DEFAULT_CHUNK_ROWS,
     chunk_window,
     chunked_series,
@@ -102,15 +103,23 @@ def technical_indicators(bars: DataFrame) -> DataFrame:
     return _finish(stats)
 
 
-def price_changes(bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """close - previous close per symbol, for every priced bar."""
-    s = chunked_series(_priced(bars), ["symbol"], ["price_date"], 1,
-                       day_bucket("price_date"), chunk_rows)
-    w = chunk_window(["symbol"])
-    prev = F.lag("close").over(w)
-    return (s.select("symbol", "price_date", "close", prev.alias("prev_close"),
-                     (F.col("close") - prev).alias("price_change"), "_halo")
-            .where(~F.col("_halo")).drop("_halo"))
+def price_changes(bars: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+    """close - previous close per symbol, for every priced bar.
+
+    Skew-proof without row numbering: rows are windowed per (symbol, date
+    bucket), so a symbol's series is split across tasks; the first row of a
+    bucket takes the last close of the symbol's previous non-empty bucket from
+    a small per-bucket table (one row per symbol and bucket).
+    """
+    p = _priced(bars).withColumn("_bucket", day_bucket("price_date", bucket_days))
+    last = (p.groupBy("symbol", "_bucket").agg(F.max_by("close", "price_date").alias("_last"))
+            .withColumn("_carry", F.lag("_last").over(Window.partitionBy("symbol").orderBy("_bucket")))
+            .select(F.col("symbol").alias("_s"), F.col("_bucket").alias("_b"), "_carry"))
+    w = Window.partitionBy("symbol", "_bucket").orderBy("price_date")
+    prev = F.coalesce(F.lag("close").over(w), F.col("_carry"))
+    joined = p.join(last, p["symbol"].eqNullSafe(last["_s"]) & (p["_bucket"] == last["_b"]))
+    return joined.select("symbol", "price_date", "close", prev.alias("prev_close"),
+                         (F.col("close") - prev).alias("price_change"))
 
 
 def indicator_history(bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
