@@ -77,3 +77,33 @@ def test_summary_totals_equal_snapshot_sums(spark):
     assert (s.total_invested, s.total_current_value, s.holdings_count) == (t.c, t.v, t.n)
     w = pf.portfolio_weights(snap).agg(F.sum("weight_pct")).first()[0]
     assert abs(w - 100) < D("0.5")
+
+
+def test_hot_pair_in_pnl_join_is_salted(spark):
+    """One (broker, symbol) with most sells is spread over many join tasks; results unchanged."""
+    from pyspark.sql import functions as F
+
+    rows = [trade(str(i), "HOT", "X", "sell", 1 + i % 28, 1 + i % 3, "10.00") for i in range(3000)]
+    rows += [trade(f"b{i}", "HOT", "X", "buy", 1, 2, "9.00", comm="0.10") for i in range(5)]
+    rows += [trade(f"c{i}", f"B{i % 50}", f"S{i}", kind, 2, 1, "5.00")
+             for i in range(300) for kind in ("buy", "sell")]
+    df = spark.createDataFrame(rows, TRADES)
+    plain = sorted(tuple(r) for r in pf.realized_trades(df).collect())
+    salted_df = pf.realized_trades(df, hot_pair_rows=100, salt_buckets=16)
+    assert sorted(tuple(r) for r in salted_df.collect()) == plain
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",   # keep the hash layout
+            "spark.sql.autoBroadcastJoinThreshold": "-1",                # force the shuffle join
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+
+    def spread(df):
+        return df.where("broker = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
+
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        unsalted, salted = spread(pf.realized_trades(df)), spread(salted_df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert unsalted == 1 and salted >= 4

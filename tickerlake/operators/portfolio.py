@@ -95,20 +95,42 @@ def avg_buy(trades: DataFrame) -> DataFrame:
     )
 
 
-def realized_trades(trades: DataFrame) -> DataFrame:
+# A (broker, symbol) pair with more sells than this is salted over SALT_BUCKETS
+# join partitions.  The list of such pairs has at most (#sells / HOT_PAIR_ROWS)
+# entries, which bounds the broadcast below.
+HOT_PAIR_ROWS = 1_000_000
+SALT_BUCKETS = 64
+
+
+def realized_trades(trades: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
+                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Realized P&L of each sell against the average buy of its (broker, symbol).
 
     The average is over all buys of the pair (not only earlier ones) and is
     rounded to 4 places before use; sells without buys keep NULL cost and P&L.
     Buy charges are allocated pro rata to sold quantity, uncapped.
-    The buy side is aggregated before the join, so each pair contributes one
-    row to the shuffle however many buys it has.
+
+    Scale: the buy side is aggregated before the join (one row per pair).  A
+    pair holding very many sells would still land in one join task, so pairs
+    above ``hot_pair_rows`` sells are salted: their sells get a deterministic
+    hash salt in [0, salt_buckets) and their single average row is replicated
+    once per salt.  Other pairs use salt 0 and are joined as usual.
     """
     sells = trades.where(F.col("trade_type") == "sell").select(
         "trade_id", "broker", "symbol", F.col("trade_date").alias("sell_date"),
         F.col("qty").alias("sell_qty"), F.col("gross_rate").alias("sell_rate"),
         _charges().alias("sell_charges"), "reason")
-    j = sells.join(avg_buy(trades), ["broker", "symbol"], "left")
+    hot = (sells.groupBy("broker", "symbol").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_pair_rows).select("broker", "symbol", F.lit(True).alias("_hot")))
+    hot = F.broadcast(hot)  # bounded: at most #sells / hot_pair_rows rows
+    salt = F.pmod(F.xxhash64(*sells.columns), F.lit(salt_buckets))
+    s = (sells.join(hot, ["broker", "symbol"], "left")
+         .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int")).drop("_hot"))
+    b = (avg_buy(trades).join(hot, ["broker", "symbol"], "left")
+         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                        .otherwise(F.array(F.lit(0)))))
+         .drop("_hot"))
+    j = s.join(b, ["broker", "symbol", "_salt"], "left")
     q, rate, avg = F.col("sell_qty"), F.col("sell_rate"), F.col("avg_buy_rate")
     proceeds = q * rate
     cost = q * avg
