@@ -58,11 +58,12 @@ def portfolio_summary(snapshot: DataFrame) -> DataFrame:
 def portfolio_weights(snapshot: DataFrame) -> DataFrame:
     """Each holding's share of the day's portfolio value, in percent.
 
-    Day totals are a grouped aggregate joined back (not a window over the
-    whole day), so no single task has to hold a day's holdings.
+    Day totals are a grouped aggregate (partial per task) broadcast back to
+    the rows: all holdings share one date, so a shuffle join on the date would
+    put them in one task.  The totals have at most one row per calendar date.
     """
     totals = snapshot.groupBy("price_date").agg(F.sum("current_value").alias("_total"))
-    return (snapshot.join(totals, "price_date")
+    return (snapshot.join(F.broadcast(totals), "price_date")
             .select("symbol", "price_date", "current_value",
                     pct_of(F.col("current_value"), F.col("_total"), 2).alias("weight_pct")))
 

@@ -78,6 +78,19 @@ class Check:
             return F.coalesce(cond, F.lit(False))
         return None
 
+    def failure_count(self, tables: dict[str, DataFrame]) -> DataFrame:
+        """One row, one column ``failures``: the number of failing rows."""
+        if self.kind == "relationships":
+            # count per child key first (partial aggregation collapses a hot key),
+            # then anti-join distinct keys only
+            child = tables[self.table] if self.where is None else tables[self.table].where(_pred(self.where))
+            keys = (child.where(F.col(self.column).isNotNull())
+                    .groupBy(F.col(self.column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
+            parent = tables[self.parent].select(F.col(self.parent_column).alias("_p")).distinct()
+            missing = keys.join(parent, F.col("_k") == F.col("_p"), "left_anti")
+            return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+        return self.failures(tables).agg(F.count(F.lit(1)).alias("failures"))
+
     def failures(self, tables: dict[str, DataFrame]) -> DataFrame:
         df = tables[self.table]
         if self.kind == "not_null":
@@ -118,7 +131,7 @@ def quality_report(checks: Sequence[Check], tables: dict[str, DataFrame]) -> Dat
         elif c.kind in ("unique", "unique_combination") and not uniques:
             uniques.append(c)
         else:
-            parts.append(c.failures(tables).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(c.failure_count(tables)
                          .select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table"), "failures"))
     for table, (rows, uniques) in by_table.items():
         if not rows and not uniques:
