@@ -467,6 +467,26 @@ def _stream_upsert_insert_only(f: Feeds) -> DataFrame:
     return spark.read.parquet(f"{base}/target")
 
 
+@query("stream_incremental_copy")
+def _stream_incremental_copy(f: Feeds) -> DataFrame:
+    """The events file copied by the file-source stream, run twice on one checkpoint.
+
+    The second run finds no new files, so the target holds every event exactly once.
+    """
+    import uuid
+
+    from tickerlake.session import ensure_checkpoint_dir
+    from tickerlake.streaming import ingest as sing
+
+    spark = f.spark
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/copy/{uuid.uuid4().hex}"
+    schema = f.table("events").schema
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir)
+        sing.await_available_now(sing.stream_copy(stream, f"{base}/target", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/target")
+
+
 @query("stream_daily_bars")
 def _stream_daily_bars(f: Feeds) -> DataFrame:
     """The events file replayed as a stream (1-day watermark, AvailableNow run): the emitted bars.

@@ -486,3 +486,4 @@ ORACLE["stream_daily_bars"] = f"""
 SELECT * FROM ({ORACLE["daily_bars"]}) d
 WHERE price_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
 ORACLE["stream_upsert_insert_only"] = ORACLE["stg_bars"]
+ORACLE["stream_incremental_copy"] = "SELECT * FROM events"
