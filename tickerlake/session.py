@@ -42,7 +42,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    if shuffle_partitions is None and master and master.startswith("local"):
+    local = bool(master and master.startswith("local"))
+    if local:
+        # small local inputs: keep several tasks per stage instead of one 1 MB partition
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = str(64 * 1024)
+    else:
+        # cluster: coalesce to the advisory size, not to the smallest allowed partition
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    if shuffle_partitions is None and local:
         shuffle_partitions = 8
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
