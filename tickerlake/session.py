@@ -41,23 +41,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
-    local = bool(master and master.startswith("local"))
+    for k, v in BASE_CONF.items():
+        builder = builder.config(k, v)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    # runtime SQL settings that depend on where the session actually runs
+    local = spark.sparkContext.master.startswith("local")
     if local:
         # small local inputs: keep several tasks per stage instead of one 1 MB partition
-        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = str(64 * 1024)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", str(64 * 1024))
+        if shuffle_partitions is None:
+            shuffle_partitions = 8
     else:
         # cluster: coalesce to the advisory size, not to the smallest allowed partition
-        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-    if shuffle_partitions is None and local:
-        shuffle_partitions = 8
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
     return spark
 
 
