@@ -42,3 +42,20 @@ def test_report_fuses_row_checks_and_gates(tables):
 
 def test_standard_checks_count():
     assert len(dq.standard_checks()) == 33
+
+
+def test_relationship_on_unique_key_is_fused_and_counts_rows(spark):
+    child = spark.createDataFrame([("A", 1), ("A", 2), ("Z", 3), ("Z", 4), ("Y", 5), (None, 6)],
+                                  "sym string, qty int")
+    parent = spark.createDataFrame([("A",), ("B",), (None,)], "sym string")
+    checks = [
+        dq.Check("sym.unique", "child", "unique", column="sym"),
+        dq.Check("sym.fk", "child", "relationships", column="sym", parent="parent", parent_column="sym",
+                 where="sym is not null"),
+        dq.Check("qty.small", "child", "expression_is_true", expression="qty < 5"),
+    ]
+    tables = {"child": child, "parent": parent}
+    rep = {r.check_name: r.failures for r in dq.quality_report(checks, tables).collect()}
+    # Z (2 rows) and Y (1 row) have no parent; NULL keys are not checked
+    assert rep == {"sym.unique": 2, "sym.fk": 3, "qty.small": 2}
+    assert dq.relationships(child, "sym", parent, "sym").count() == 3

@@ -113,40 +113,64 @@ def _unique_failure(check: Check) -> Column:
     return F.col("_n") > 1
 
 
+def _fusable_relationship(check: Check, key: list[str]) -> bool:
+    """A relationships check on the fused aggregate's single key column."""
+    trivial_where = (None, f"{check.column} is not null")
+    return (check.kind == "relationships" and key == [check.column]
+            and (check.where or None) in trivial_where)
+
+
 def quality_report(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """(check_name, table, failures, passed) for every check.
 
-    Per table, the row-level checks and one uniqueness check share a single
-    two-level aggregate: rows are grouped by the unique key (partial
-    aggregation, so a hot duplicate key costs one row per task) with per-group
-    failure counts, then the groups are summed.  Other grouped checks and
-    relationships run as their own aggregates.
+    Per table, the row-level checks, one uniqueness check and relationship
+    checks on that same key share a single two-level aggregate: rows are
+    grouped by the key (partial aggregation, so a hot duplicate key costs one
+    row per task) with per-group failure counts; the groups (one row per key)
+    are joined to the parents' distinct keys and summed.  Other grouped checks
+    and relationships run as their own aggregates.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, tuple[list[Check], list[Check]]] = {}
+    by_table: dict[str, tuple[list[Check], list[Check], list[Check]]] = {}
+    others: list[Check] = []
     for c in checks:
-        rows, uniques = by_table.setdefault(c.table, ([], []))
+        rows, uniques, _ = by_table.setdefault(c.table, ([], [], []))
         if c.row_condition() is not None:
             rows.append(c)
         elif c.kind in ("unique", "unique_combination") and not uniques:
             uniques.append(c)
+        else:
+            others.append(c)
+    for c in others:  # relationships on the unique key ride on the fused aggregate
+        rows, uniques, rels = by_table[c.table]
+        u = uniques[0] if uniques else None
+        key = ([u.column] if u.kind == "unique" else list(u.columns)) if u else []
+        if u is not None and _fusable_relationship(c, key):
+            rels.append(c)
         else:
             parts.append(c.failure_count(tables)
                          .select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table"), "failures"))
-    for table, (rows, uniques) in by_table.items():
+    for table, (rows, uniques, rels) in by_table.items():
         if not rows and not uniques:
             continue
         df = tables[table]
         row_counts = [F.count_if(c.row_condition()).alias(f"c{i}") for i, c in enumerate(rows)]
+        pairs = [(c.name, f"c{i}") for i, c in enumerate(rows)]
         if uniques:
             u = uniques[0]
             keys = [u.column] if u.kind == "unique" else list(u.columns)
             groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *row_counts)
+            rel_counts = []
+            for j, r in enumerate(rels):
+                parent = tables[r.parent].select(F.col(r.parent_column).alias(f"_p{j}")).distinct()
+                groups = groups.join(parent, F.col(r.column) == F.col(f"_p{j}"), "left")
+                missing = F.col(r.column).isNotNull() & F.col(f"_p{j}").isNull()
+                rel_counts.append(F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias(f"r{j}"))
             counts = groups.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rows))],
-                                F.count_if(_unique_failure(u)).alias("u0"))
+                                F.count_if(_unique_failure(u)).alias("u0"), *rel_counts)
+            pairs += [(u.name, "u0")] + [(r.name, f"r{j}") for j, r in enumerate(rels)]
         else:
             counts = df.agg(*row_counts)
-        pairs = [(c.name, f"c{i}") for i, c in enumerate(rows)] + [(u.name, "u0") for u in uniques]
         stack = F.expr("stack({n}, {pairs}) AS (check_name, failures)".format(
             n=len(pairs), pairs=", ".join(f"'{name}', CAST({col} AS BIGINT)" for name, col in pairs)))
         parts.append(counts.select(stack).select("check_name", F.lit(table).alias("table"), "failures"))
