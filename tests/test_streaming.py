@@ -102,3 +102,14 @@ def test_stream_bars_emitted_day_is_final(spark, scratch):
     si.run_stream_bars(stream, f"{scratch}/out", f"{scratch}/ck", delay="1 day").awaitTermination(240)
     rows = [r for r in spark.read.parquet(f"{scratch}/out").collect() if r.price_date == dt.date(2024, 1, 1)]
     assert [(r.open, r.high, r.close, r.volume) for r in rows] == [(1.0, 3.0, 3.0, 2)]
+
+
+def test_stream_bars_accepts_instant_timestamps(spark, scratch):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ltz = ev.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    ltz.write.parquet(f"{scratch}/src")
+    stream = spark.readStream.schema(ltz.schema).parquet(f"{scratch}/src")
+    si.run_stream_bars(stream, f"{scratch}/out", f"{scratch}/ck").awaitTermination(240)
+    got = {(r.symbol, r.price_date): tuple(r)[2:] for r in spark.read.parquet(f"{scratch}/out").collect()}
+    batch = {(r.symbol, r.price_date): tuple(r)[2:] for r in sb.daily_bars(ev).collect()}
+    assert got and all(batch[k] == v for k, v in got.items())

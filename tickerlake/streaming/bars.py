@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 
 def _bar_aggs(price: str, order: str) -> list[Column]:
@@ -41,8 +42,12 @@ def event_time(ts: Column) -> Column:
 
 def stream_bars(ticks: DataFrame, delay: str = "1 day", symbol: str = "event_type", ts: str = "ts",
                 price: str = "value", order: str = "event_id") -> DataFrame:
-    """Streaming: closed daily bars with a ``delay`` watermark (append mode)."""
-    t = ticks.withColumn("_et", event_time(F.col(ts)))
+    """Streaming: closed daily bars with a ``delay`` watermark (append mode).
+
+    ``ts`` may be TIMESTAMP_NTZ (a UTC wall clock) or TIMESTAMP (an instant).
+    """
+    is_ntz = isinstance(ticks.schema[ts].dataType, TimestampNTZType)
+    t = ticks.withColumn("_et", event_time(F.col(ts)) if is_ntz else F.col(ts))
     return (t.withWatermark("_et", delay)
             .groupBy(F.col(symbol).alias("symbol"), F.window("_et", "1 day").alias("w"))
             .agg(*_bar_aggs(price, order))

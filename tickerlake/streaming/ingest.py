@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from tickerlake.session import ensure_checkpoint_dir
 from tickerlake.sources.ingest import append_insert_only
@@ -54,7 +55,8 @@ def stream_insert_only(stream: DataFrame, target_path: str, keys: Sequence[str],
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Drop repeated keys seen within ``delay`` of event time (state is bounded by the watermark)."""
-    return (stream.withColumn("_et", event_time(F.col(ts)))
+    is_ntz = isinstance(stream.schema[ts].dataType, TimestampNTZType)
+    return (stream.withColumn("_et", event_time(F.col(ts)) if is_ntz else F.col(ts))
             .withWatermark("_et", delay)
             .dropDuplicatesWithinWatermark(list(keys))
             .drop("_et"))
