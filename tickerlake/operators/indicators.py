@@ -117,7 +117,7 @@ def price_changes(bars: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> Da
             .select(F.col("symbol").alias("_s"), F.col("_bucket").alias("_b"), "_carry"))
     w = Window.partitionBy("symbol", "_bucket").orderBy("price_date")
     prev = F.coalesce(F.lag("close").over(w), F.col("_carry"))
-    joined = p.join(last, p["symbol"].eqNullSafe(last["_s"]) & (p["_bucket"] == last["_b"]))
+    joined = p.join(last, p["symbol"].eqNullSafe(last["_s"]) & p["_bucket"].eqNullSafe(last["_b"]))
     return joined.select("symbol", "price_date", "close", prev.alias("prev_close"),
                          (F.col("close") - prev).alias("price_change"))
 
