@@ -107,3 +107,23 @@ def test_hot_pair_in_pnl_join_is_salted(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert unsalted == 1 and salted >= 4
+
+
+def test_realized_totals_equal_per_sell_sum(spark):
+    rows = [
+        trade("1", "A", "X", "buy", 1, 10, "10.00", comm="1.00"),
+        trade("2", "A", "X", "buy", 2, 20, "10.05", cdc="2.00"),
+        trade("3", "A", "X", "sell", 3, 40, "12.00", comm="0.50"),
+        trade("4", "A", "X", "sell", 4, 40, "11.00", sst="0.30"),
+        trade("5", "A", "X", "sell", 5, 7, "9.99"),
+        trade("6", "B", "Y", "sell", 3, 5, "7.00"),                       # no buys: NULL P&L
+        ("7", "A", "X", "sell", dt.date(2024, 1, 6), 3, None, None, None, None, None, None, None),  # no rate
+        ("8", "A", "X", "sell", dt.date(2024, 1, 7), None, D("5"), None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, TRADES)
+    per_sell = pf.realized_pnl(pf.realized_trades(df)).first()
+    totals = pf.realized_totals(df).first()
+    assert (totals.realized_pnl, totals.closed_trades) == (per_sell.realized_pnl, per_sell.closed_trades)
+    assert totals.closed_trades == 6
+    empty = pf.realized_totals(spark.createDataFrame([], TRADES)).first()
+    assert (empty.realized_pnl, empty.closed_trades) == (0, 0)

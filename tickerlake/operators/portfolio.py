@@ -149,6 +149,34 @@ def realized_trades(trades: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
     )
 
 
+def realized_totals(trades: DataFrame) -> DataFrame:
+    """One row: total net P&L (0 when none) and closed trades, without the per-sell join.
+
+    Every term of a sell's net P&L is a sum except the buy-charge share, which
+    is rounded per sell but depends only on the pair and the sold quantity.
+    Sells are therefore pre-aggregated by (broker, symbol, qty) (partial
+    aggregation: a hot pair collapses to one row per distinct quantity) and
+    only those groups are joined to the average buy; the result equals
+    summing ``realized_trades(...).net_pnl``.
+    """
+    sells = trades.where(F.col("trade_type") == "sell")
+    proceeds = F.col("qty") * F.col("gross_rate")
+    groups = sells.groupBy("broker", "symbol", "qty").agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.count(proceeds).alias("_ok"),
+        F.sum(proceeds).alias("_proceeds"),
+        F.sum(F.when(proceeds.isNotNull(), _charges())).alias("_charges"),
+    )
+    j = groups.join(avg_buy(trades), ["broker", "symbol"], "left")
+    q, n = F.col("qty"), F.col("_ok")
+    buy_part = F.round(ratio(F.col("total_buy_charges") * q, F.col("total_buy_qty")), ALLOC_SCALE)
+    net = F.when(n > 0, F.col("_proceeds") - n * q * F.col("avg_buy_rate") - F.col("_charges") - n * buy_part)
+    return j.agg(
+        F.coalesce(F.sum(net), F.lit(0).cast(DecimalType(38, 6))).alias("realized_pnl"),
+        F.coalesce(F.sum("_all"), F.lit(0)).alias("closed_trades"),
+    )
+
+
 def realized_pnl(realized: DataFrame) -> DataFrame:
     """One row: total net P&L (0 when none) and the number of closed trades."""
     return realized.agg(

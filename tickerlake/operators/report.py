@@ -25,14 +25,18 @@ SUBJECT_PREFIX = "Portfolio Update — "
 def report_summary(summary: DataFrame, realized: DataFrame) -> DataFrame:
     """Headline row: the latest summary row plus the realized P&L total.
 
-    The latest row is a global ``max_by`` aggregate (exactly one row) and the
-    realized totals enter as one struct-valued scalar subquery, so there is
-    no join.  An empty summary fails the job: the report cannot be produced
-    without it.
+    ``realized`` is either the per-sell P&L (with ``net_pnl``) or the one-row
+    totals of ``portfolio.realized_totals``.  The latest row is a global
+    ``max_by`` aggregate (exactly one row) and the realized totals enter as
+    one struct-valued scalar subquery, so there is no join.  An empty summary
+    fails the job: the report cannot be produced without it.
     """
-    pnl = realized.agg(F.struct(
-        F.coalesce(F.sum("net_pnl"), F.lit(0)).alias("realized_pnl"),
-        F.count(F.lit(1)).alias("closed_trades")).alias("p")).scalar()
+    if "net_pnl" in realized.columns:
+        totals = [F.coalesce(F.sum("net_pnl"), F.lit(0)).alias("realized_pnl"),
+                  F.count(F.lit(1)).alias("closed_trades")]
+    else:
+        totals = [F.first("realized_pnl").alias("realized_pnl"), F.first("closed_trades").alias("closed_trades")]
+    pnl = realized.agg(F.struct(*totals).alias("p")).scalar()
     latest = summary.agg(
         F.max_by(F.struct(*summary.columns), F.col("price_date")).alias("s"),
         F.count(F.lit(1)).alias("n_summary"),

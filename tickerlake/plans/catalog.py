@@ -204,7 +204,7 @@ def _portfolio_trades(f: Feeds) -> DataFrame:
 
 @query("realized_pnl")
 def _realized_pnl(f: Feeds) -> DataFrame:
-    return pf.realized_pnl(pf.realized_trades(f.trades()))
+    return pf.realized_totals(f.trades())
 
 
 @query("tax_summary")
@@ -312,7 +312,7 @@ def _dq_report(f: Feeds) -> DataFrame:
 
 @query("report_summary")
 def _report_summary(f: Feeds) -> DataFrame:
-    return rpt.report_summary(pf.portfolio_summary(_snapshot(f)), pf.realized_trades(f.trades()))
+    return rpt.report_summary(pf.portfolio_summary(_snapshot(f)), pf.realized_totals(f.trades()))
 
 
 @query("report_holdings")
