@@ -422,6 +422,20 @@ def _upsert_insert_only(f: Feeds) -> DataFrame:
         .drop("arrival")
 
 
+@query("seed_load")
+def _seed_load(f: Feeds) -> DataFrame:
+    """The trades feed written as a seed CSV (M/d/yyyy dates), loaded back with the declared schema."""
+    import uuid
+
+    from tickerlake.session import ensure_checkpoint_dir
+    from tickerlake.sources import seeds
+
+    path = f"{ensure_checkpoint_dir(f.spark).rstrip('/')}/seeds/{uuid.uuid4().hex}/trades"
+    (f.trades().withColumn("trade_date", F.date_format("trade_date", seeds.TRADE_DATE_FORMAT))
+     .write.option("header", True).csv(path))
+    return seeds.load_trades(f.spark, path)
+
+
 @query("incremental_copy")
 def _incremental_copy(f: Feeds) -> DataFrame:
     """Events above the mark of a target that was last synced on 2024-01-20."""

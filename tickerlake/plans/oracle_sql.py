@@ -487,3 +487,8 @@ SELECT * FROM ({ORACLE["daily_bars"]}) d
 WHERE price_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
 ORACLE["stream_upsert_insert_only"] = ORACLE["stg_bars"]
 ORACLE["stream_incremental_copy"] = "SELECT * FROM events"
+ORACLE["seed_load"] = with_feeds("""
+SELECT trade_id, broker, symbol, trade_type, trade_date, qty, CAST(gross_rate AS DOUBLE) AS gross_rate,
+       CAST(comm AS DOUBLE) AS comm, CAST(cdc_amt AS DOUBLE) AS cdc_amt, CAST(lsn AS DOUBLE) AS lsn,
+       CAST(sst AS DOUBLE) AS sst, CAST(net_amount AS DOUBLE) AS net_amount, reason
+FROM trades""", "trades")

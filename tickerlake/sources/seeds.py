@@ -15,7 +15,7 @@ TRADE_DATE_FORMAT = "M/d/yyyy"
 def load_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header CSV; empty fields become NULL; malformed values fail the read."""
     return (spark.read.option("header", True).option("mode", "FAILFAST")
-            .option("emptyValue", None).option("nullValue", "").schema(schema).csv(path))
+            .option("nullValue", "").schema(schema).csv(path))
 
 
 def load_trades(spark: SparkSession, path: str) -> DataFrame:
