@@ -422,6 +422,22 @@ def _upsert_insert_only(f: Feeds) -> DataFrame:
         .drop("arrival")
 
 
+@query("build_all")
+def _build_all(f: Feeds) -> DataFrame:
+    """The full build in dependency order: one row per dataset with its row count."""
+    from tickerlake.plans.build import build_all
+
+    inputs = {"board": f.board(), "bars": f.bars(), "sector_map": f.sector_map(), "holdings": f.holdings(),
+              "trades": f.trades(), "tax": f.tax()}
+    marts = build_all(inputs, persist=False)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
+             for name, df in marts.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("seed_load")
 def _seed_load(f: Feeds) -> DataFrame:
     """The trades feed written as a seed CSV (M/d/yyyy dates), loaded back with the declared schema."""

@@ -492,3 +492,16 @@ SELECT trade_id, broker, symbol, trade_type, trade_date, qty, CAST(gross_rate AS
        CAST(comm AS DOUBLE) AS comm, CAST(cdc_amt AS DOUBLE) AS cdc_amt, CAST(lsn AS DOUBLE) AS lsn,
        CAST(sst AS DOUBLE) AS sst, CAST(net_amount AS DOUBLE) AS net_amount, reason
 FROM trades""", "trades")
+
+ORACLE["build_all"] = with_feeds("""
+SELECT 'stg_board' AS dataset, count(*) AS n_rows FROM stg_board
+UNION ALL SELECT 'stg_bars', count(*) FROM bars
+UNION ALL SELECT 'top_movers', count(*) FROM stg_board WHERE change_pct IS NOT NULL
+UNION ALL SELECT 'sector_summary', count(*) FROM sector_summary
+UNION ALL SELECT 'technical_indicators', count(*) FROM frames WHERE rn = 1
+UNION ALL SELECT 'portfolio_snapshot', count(*) FROM snapshot
+UNION ALL SELECT 'portfolio_summary', count(*) FROM summary
+UNION ALL SELECT 'portfolio_trades', count(*) FROM realized
+UNION ALL SELECT 'tax_summary', count(*) FROM (SELECT DISTINCT broker, period_month FROM tax) t""",
+    "board", "bars", "sector_map", "holdings", "trades", "tax",
+    extra=(STG_BOARD, _SECTOR, _FRAMES, _LATEST, _SNAPSHOT, _SUMMARY, _AVG_BUY, _REALIZED))
