@@ -517,6 +517,28 @@ def _stream_incremental_copy(f: Feeds) -> DataFrame:
     return spark.read.parquet(f"{base}/target")
 
 
+@query("stream_dedupe")
+def _stream_dedupe(f: Feeds) -> DataFrame:
+    """Events landed twice, streamed through the watermark de-duplication: every event once."""
+    import uuid
+
+    from tickerlake.session import ensure_checkpoint_dir
+    from tickerlake.streaming import ingest as sing
+
+    spark = f.spark
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/dedupe/{uuid.uuid4().hex}"
+    ticks = f.ticks()
+    for copy in (0, 1):
+        ticks.write.parquet(f"{base}/landing/copy={copy}")
+    stream = spark.readStream.schema(ticks.schema).option("recursiveFileLookup", "true") \
+        .parquet(f"{base}/landing")
+    q = (sing.dedupe_stream(stream, ["event_id"], "ts", "1 hour").writeStream.format("parquet")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    sing.await_available_now(q)
+    return spark.read.parquet(f"{base}/out")
+
+
 @query("stream_daily_bars")
 def _stream_daily_bars(f: Feeds) -> DataFrame:
     """The events file replayed as a stream (1-day watermark, AvailableNow run): the emitted bars.

@@ -505,3 +505,4 @@ UNION ALL SELECT 'portfolio_trades', count(*) FROM realized
 UNION ALL SELECT 'tax_summary', count(*) FROM (SELECT DISTINCT broker, period_month FROM tax) t""",
     "board", "bars", "sector_map", "holdings", "trades", "tax",
     extra=(STG_BOARD, _SECTOR, _FRAMES, _LATEST, _SNAPSHOT, _SUMMARY, _AVG_BUY, _REALIZED))
+ORACLE["stream_dedupe"] = "SELECT event_id, ts, event_type, value FROM events"
