@@ -19,22 +19,36 @@ from tickerlake.operators import market as mkt
 from tickerlake.operators import portfolio as pf
 from tickerlake.operators import quality as dq
 from tickerlake.operators import staging as stg
+from tickerlake.session import ensure_checkpoint_dir
 
 INPUTS = ("board", "bars", "sector_map", "holdings", "trades", "tax")
 
 
-def build_all(inputs: dict[str, DataFrame], persist: bool = True) -> dict[str, DataFrame]:
+def build_all(inputs: dict[str, DataFrame], persist: bool = True, share: str | None = None) -> dict[str, DataFrame]:
+    """All marts in dependency order.
+
+    ``share`` decides how the silver board and the portfolio snapshot (each
+    read by several marts) are shared: ``"persist"`` caches them (the default
+    when ``persist`` is true; the caller unpersists), ``"checkpoint"`` writes
+    them once to the session's shared checkpoint folder (cuts lineage, leaves
+    nothing cached), ``None`` recomputes them per reader.
+    """
     missing = [k for k in INPUTS if k not in inputs]
     if missing:
         raise KeyError(f"missing inputs: {missing}")
-    board = stg.stage_board(inputs["board"])
-    if persist:
-        board = board.persist(StorageLevel.MEMORY_AND_DISK)
+    mode = share if share is not None else ("persist" if persist else None)
+
+    def shared(df: DataFrame) -> DataFrame:
+        if mode == "persist":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        if mode == "checkpoint":
+            ensure_checkpoint_dir(df.sparkSession)
+            return df.checkpoint(eager=True)
+        return df
+
+    board = shared(stg.stage_board(inputs["board"]))
     bars = stg.stage_bars(inputs["bars"])
-    snapshot = pf.portfolio_snapshot(inputs["holdings"], board)
-    if persist:
-        # read by the summary, the report and the weights: computed once
-        snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
+    snapshot = shared(pf.portfolio_snapshot(inputs["holdings"], board))
     return {
         "stg_board": board,
         "stg_bars": bars,

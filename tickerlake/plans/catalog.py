@@ -424,12 +424,17 @@ def _upsert_insert_only(f: Feeds) -> DataFrame:
 
 @query("build_all")
 def _build_all(f: Feeds) -> DataFrame:
-    """The full build in dependency order: one row per dataset with its row count."""
+    """The full build in dependency order: one row per dataset with its row count.
+
+    The silver board and the snapshot are checkpointed once to the shared folder: at scale the
+    board's de-duplication is the expensive step and its output is small (at sf0.1 recomputing
+    it would be slightly faster).
+    """
     from tickerlake.plans.build import build_all
 
     inputs = {"board": f.board(), "bars": f.bars(), "sector_map": f.sector_map(), "holdings": f.holdings(),
               "trades": f.trades(), "tax": f.tax()}
-    marts = build_all(inputs, persist=False)
+    marts = build_all(inputs, share="checkpoint")
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
              for name, df in marts.items()]
     out = parts[0]
