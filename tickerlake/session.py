@@ -71,19 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     and the master is local (tests) a fresh scratch folder is created and
     registered.  A cluster without the setting is an error: a machine-local
-    folder would not survive the loss of that machine.
+    folder would not survive the loss of that machine.  Works for classic and
+    Spark Connect sessions (the SparkContext is used only when available).
     """
-    sc = spark.sparkContext
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if conf_dir:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
     local = tempfile.mkdtemp(prefix="tickerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        spark.conf.set("spark.checkpoint.dir", local)
     return local
