@@ -91,3 +91,18 @@ def test_dedupe_leaves_latest_row_per_key(spark, rows):
         k = (day, sym.replace(" XD", "").strip())
         want[k] = max(want.get(k, 0), i)
     assert sorted(out) == sorted((d, s, i) for (d, s), i in want.items())
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.decimals(min_value=-10**6, max_value=10**6, places=4,
+                                                 allow_nan=False, allow_infinity=False)),
+                min_size=1, max_size=40))
+def test_report_formats_equal_python_format_specs(spark, values):
+    from tickerlake.functions.formatting import fmt_int, fmt_money, fmt_ratio, fmt_signed_pct
+
+    # no negative zero in Spark or in the reference's numeric values
+    values = [None if v is None else v + 0 for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(20,4)")
+    got = [tuple(r) for r in df.select(fmt_signed_pct("x"), fmt_int("x"), fmt_ratio("x"), fmt_money("x")).collect()]
+    want = [("n/a",) * 4 if v is None else (f"{v:+.0f}%", f"{v:.0f}", f"{v:.1f}x", f"{v:.2f}") for v in values]
+    assert got == want
