@@ -52,3 +52,13 @@ def test_stored_bars_round_trip_and_prune(spark, scratch, capsys):
     assert back.count() == bars.count()
     spark.read.parquet(f"{scratch}/bars").where(F.col("price_month") == "2024-01").explain()
     assert "PartitionFilters: [isnotnull(price_month" in capsys.readouterr().out
+
+
+def test_register_views_exposes_marts_to_sql(spark):
+    from tickerlake.plans.build import register_views
+
+    marts = build_all(_inputs(spark), share=None)
+    register_views(marts)
+    n = spark.sql("SELECT count(*) AS n FROM top_movers WHERE change_pct IS NOT NULL").first().n
+    assert n == marts["top_movers"].count() > 0
+    assert spark.sql("SELECT count(*) FROM technical_indicators").first()[0] == marts["technical_indicators"].count()
