@@ -57,7 +57,7 @@ def test_stored_bars_round_trip_and_prune(spark, scratch, capsys):
 def test_register_views_exposes_marts_to_sql(spark):
     from tickerlake.plans.build import register_views
 
-    marts = build_all(_inputs(spark), share=None)
+    marts = build_all(_inputs(spark), persist=False)
     register_views(marts)
     n = spark.sql("SELECT count(*) AS n FROM top_movers WHERE change_pct IS NOT NULL").first().n
     assert n == marts["top_movers"].count() > 0
