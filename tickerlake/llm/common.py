@@ -129,3 +129,36 @@ def annotate(df: DataFrame, make: Callable[[], Callable[[list], Iterable[tuple]]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made.columns, names=out.names)
 
     return keep.mapInArrow(batches, out)
+
+
+def map_groups(df: DataFrame, keys: list[str], make: Callable[[], Callable[[tuple, list], Iterable[tuple]]], schema: str) -> DataFrame:
+    """Call a function with (key, rows) for each group of equal ``keys``, on rows as tuples.
+
+    Rows are dealt by a hash of the keys and sorted, so groups arrive one
+    after another; the caller bounds the size of a group.
+    """
+    ship(df.sparkSession)
+    fields: StructType = _parse_datatype_string(schema)
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in fields])
+    n = len(keys)
+    dealt = df.select(*keys, *[c for c in df.columns if c not in keys]).repartition(*keys).sortWithinPartitions(*keys)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        key, rows, out = None, [], []
+        for batch in it:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:n] != key:
+                    if rows:
+                        out.extend(fn(key, rows))
+                    key, rows = row[:n], []
+                rows.append(row[n:])
+                if len(out) > 20_000:
+                    yield _batch(out, arrow)
+                    out = []
+        if rows:
+            out.extend(fn(key, rows))
+        if out:
+            yield _batch(out, arrow)
+
+    return dealt.mapInArrow(batches, schema)

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, packing, quality, sharding, warc
+from tickerlake.llm import decontaminate, ngram_join, packing, quality, sharding, warc
 from tickerlake.llm.common import scratch_path, table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -38,6 +42,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
