@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, ngram_join, packing, quality, sharding, warc
+from tickerlake.llm import decontaminate, langid, lm_score, ngram_join, packing, quality, sharding, warc
 from tickerlake.llm.common import scratch_path, table
 
 
@@ -13,6 +13,17 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.score(table(spark, sf_dir, "documents"), good)
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.annotate_language(docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text"), model).drop("text")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -43,6 +54,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_lm_score": op2_lm_score,
+    "op3_language": op3_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
