@@ -258,13 +258,15 @@ def held_out(doc_id) -> F.Column:
 
 def sample(labelled: DataFrame, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
     """A bounded sample of (text, lang): weighted hash order gives each language about the same share."""
-    rows = labelled.where("text is not null and lang is not null").select("text", "lang")
+    rows = labelled.where("text is not null and lang is not null").withColumn("h", F.xxhash64(*[F.col(f"`{c}`") for c in labelled.columns]))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LABELS).collect()
     if not counts:
         return [], []
     n = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, float(r.n))])
-    u = (F.pmod(F.xxhash64("text"), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
-    keyed = rows.withColumns({"order": -F.log(u) * n[F.col("lang")], "h": F.xxhash64("text", F.lit(1))}).where("order is not null")
+    u = (F.pmod(F.xxhash64("h"), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
+    # About x rows of each language lie below x, so the first filter leaves a few times ``size`` rows in all.
+    low = 4.0 * size / len(counts) + 50
+    keyed = rows.withColumn("order", -F.log(u) * n[F.col("lang")]).where(F.col("order") < low)
     start = F.pmod(F.col("h"), F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
     part = keyed.select("order", "h", F.substring("text", start, F.lit(chars)).alias("text"), "lang")
     got = part.orderBy("order", "h", "lang").limit(size).collect()

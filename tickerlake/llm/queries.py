@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, langid, lm_score, ngram_join, packing, quality, sharding, warc
+from tickerlake.llm import decontaminate, html_template, langid, lm_score, ngram_join, packing, quality, sharding, urlfilter, warc
 from tickerlake.llm.common import scratch_path, table
 
 
@@ -24,6 +24,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.annotate_language(docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text"), model).drop("text")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -33,6 +37,25 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+# Rules of the contract: (rule, verdict).
+URL_RULES = "values ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow') as t(rule, verdict)"
+
+
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(url, label): the number in a url's path is the document that it shows; a poor or toxic document blocks its url."""
+    _, path = urlfilter.host_and_path(F.col("url"))
+    shown = pages.select("url", F.regexp_extract(path, "/([0-9]{1,18})", 1).alias("n")).where("n != ''")
+    poor = labels.select(F.col("doc_id").cast("string").alias("n"), F.expr("int(quality = 0 or toxic = 1)").alias("label"))
+    return shown.join(poor, "n").select("url", "label")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.sql(f"select * from {URL_RULES}")
+    labelled = labelled_urls(pages, table(spark, sf_dir, "labels"))
+    return urlfilter.judge(pages, rules, labelled).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("map_version")
 
@@ -56,8 +79,10 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lm_score": op2_lm_score,
     "op3_language": op3_language,
+    "op4_html_text": op4_html_text,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
     "op8_sharding": op8_sharding,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,

@@ -67,14 +67,13 @@ def rebalance(current: DataFrame, weights: DataFrame, shards: int = SHARDS) -> D
     slots = current.join(weight, "virtual_slot", "left").fillna(0, ["bytes"])
     fair = slots.agg(F.ceil(F.sum("bytes") / F.lit(shards)).alias("fair"))
     own = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0)
-    marked = slots.withColumn("filled", F.sum("bytes").over(own)).join(F.broadcast(fair)).withColumn(
-        "stays", F.col("filled") <= F.col("fair"))
+    marked = slots.withColumn("filled", F.sum("bytes").over(own)).withColumn("stays", F.col("filled") <= fair.scalar())
     kept = marked.where("stays")
     loads = kept.groupBy("shard").agg(F.sum("bytes").alias("bytes"))
     start = loads.agg(F.map_from_entries(F.collect_list(F.struct("shard", "bytes"))).alias("m"))
     moving = marked.where("not stays").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("bytes")).alias("w"), F.col("virtual_slot").alias("s")))).alias("moving"))
-    dealt = start.join(moving).selectExpr(f"""explode(aggregate(
+    dealt = moving.withColumn("m", start.scalar()).selectExpr(f"""explode(aggregate(
         moving,
         named_struct('loads', transform(sequence(0, {shards - 1}), i -> coalesce(m[i], 0L)),
                      'dealt', cast(array() as array<struct<virtual_slot: int, shard: int>>)),
@@ -84,7 +83,7 @@ def rebalance(current: DataFrame, weights: DataFrame, shards: int = SHARDS) -> D
                      'shard', cast(array_position(acc.loads, array_min(acc.loads)) - 1 as int)))))
         ).dealt) as d""").selectExpr("d.virtual_slot", "d.shard")
     version = current.agg((F.max("version") + 1).alias("version"))
-    return kept.select("virtual_slot", "shard").union(dealt).join(F.broadcast(version)).select("version", "virtual_slot", "shard")
+    return kept.select("virtual_slot", "shard").union(dealt).select(version.scalar().alias("version"), "virtual_slot", "shard")
 
 
 def save_map(table: DataFrame, path: str) -> None:
