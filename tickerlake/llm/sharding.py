@@ -65,7 +65,9 @@ def rebalance(current: DataFrame, weights: DataFrame, shards: int = SHARDS) -> D
     """
     weight = weights.groupBy("virtual_slot").agg(F.sum("bytes").alias("bytes"))
     slots = current.join(weight, "virtual_slot", "left").fillna(0, ["bytes"])
-    fair = slots.agg(F.ceil(F.sum("bytes") / F.lit(shards)).alias("fair"))
+    even = slots.agg((F.sum("bytes") / F.lit(shards)).alias("even")).scalar()
+    heavy = F.col("bytes") > even  # a slot beyond an even share fills a shard alone; the others share the rest
+    fair = slots.agg(F.ceil(F.sum(F.when(~heavy, F.col("bytes")).otherwise(0)) / (F.lit(shards) - F.sum(heavy.cast("int")))).alias("fair"))
     own = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0)
     marked = slots.withColumn("filled", F.sum("bytes").over(own)).withColumn("stays", F.col("filled") <= fair.scalar())
     kept = marked.where("stays")
