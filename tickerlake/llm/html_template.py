@@ -298,7 +298,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     host, _ = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url").alias("key"))
-    found = stored(templates(host_tokens(rows)).select("host", F.expr("transform(tokens, t -> struct(t.token, t.main))").alias("template")), "html-templates")
+    tokens = stored(host_tokens(rows), "html-tokens")
+    found = stored(templates(tokens).select("host", F.expr("transform(tokens, t -> struct(t.token, t.main))").alias("template")), "html-templates")
     weight = found.agg(F.sum(F.expr("aggregate(template, 0L, (a, t) -> a + length(t.token) + 16)"))).first()[0] or 0
     rows = rows.select("page_id", "url", "html", "host", "key")
     if weight <= BROADCAST_BYTES:
