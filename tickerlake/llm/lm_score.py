@@ -137,7 +137,8 @@ def score(documents: DataFrame, targets: DataFrame) -> DataFrame:
     """
     docs = documents.select("doc_id", "text")
     chosen = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("is_target", F.lit(True))
-    marked = docs.join(chosen, "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    # A merge join at every size: the list of targets grows with the corpus.
+    marked = docs.join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     shared = documents.sparkSession.sparkContext.broadcast(tuple(models(marked)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
