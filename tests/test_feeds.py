@@ -15,10 +15,10 @@ def test_feed_statistics(spark):
     assert (b.n, b.s, b.nv) == (13433, 30, 22)
     assert bars.groupBy("symbol", "price_date").count().where("count > 1").count() == 0
     board = f.board()
-    assert board.count() == 14998
+    assert board.count() == 15000
     staged = stage_board(board)
-    assert staged.count() == 6704 and staged.select("symbol").distinct().count() == 100
-    assert f.sector_map().count() == 90
+    assert staged.count() == 14061 and staged.select("symbol").distinct().count() == 1500
+    assert f.sector_map().count() == 1350
     t = f.trades().agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("trade_type") == "sell").alias("sells"),
                        F.count_distinct("trade_id").alias("ids")).first()
     assert (t.n, t.sells, t.ids) == (60000, 20046, 45832)

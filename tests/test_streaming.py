@@ -113,3 +113,17 @@ def test_stream_bars_accepts_instant_timestamps(spark, scratch):
     got = {(r.symbol, r.price_date): tuple(r)[2:] for r in spark.read.parquet(f"{scratch}/out").collect()}
     batch = {(r.symbol, r.price_date): tuple(r)[2:] for r in sb.daily_bars(ev).collect()}
     assert got and all(batch[k] == v for k, v in got.items())
+
+
+def test_stream_reads_files_and_folders(spark, scratch):
+    """The registered streams read a table alike whether it is one file or a folder of part files."""
+    import os
+
+    from tickerlake.plans.catalog import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{scratch}/events.parquet")
+    assert os.path.isdir(f"{scratch}/events.parquet")
+    assert QUERIES["stream_incremental_copy"](spark, scratch).count() == events.count()
+    assert QUERIES["stream_incremental_copy"](spark, "/root/testdata/sf0.001").count() == events.count()
+    assert QUERIES["stream_daily_bars"](spark, scratch).count() == QUERIES["stream_daily_bars"](spark, "/root/testdata/sf0.001").count()

@@ -15,12 +15,12 @@ ALLOC_SCALE = 6
 def latest_board(board: DataFrame) -> DataFrame:
     """Silver-board rows on the globally latest snapshot date.
 
-    The latest date is a one-row global aggregate; broadcasting it is bounded
-    by construction.  Two snapshots on that date both qualify (as specified).
+    The latest date is a scalar subquery, so the date predicate moves below
+    the de-duplication.  Two snapshots on that date both qualify (as specified).
     """
-    latest = board.agg(F.max(F.to_date("fetched_at")).alias("price_date"))
-    return (board.withColumn("price_date", F.to_date("fetched_at"))
-            .join(F.broadcast(latest), "price_date")
+    day = F.to_date("fetched_at")
+    latest = board.agg(F.max(day).alias("price_date")).scalar()
+    return (board.where(day == latest).withColumn("price_date", day)
             .select("symbol", "current_price", "change_pct", "price_date"))
 
 

@@ -502,6 +502,11 @@ def _stream_upsert_insert_only(f: Feeds) -> DataFrame:
     return spark.read.parquet(f"{base}/target")
 
 
+def _stream_path(sf_dir: str, name: str) -> str:
+    """A glob for exactly one table, be it a file or a folder of part files (a plain path must be a folder)."""
+    return f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
+
+
 @query("stream_incremental_copy")
 def _stream_incremental_copy(f: Feeds) -> DataFrame:
     """The events file copied by the file-source stream, run twice on one checkpoint.
@@ -517,7 +522,7 @@ def _stream_incremental_copy(f: Feeds) -> DataFrame:
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/copy/{uuid.uuid4().hex}"
     schema = f.table("events").schema
     for _ in range(2):
-        stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir)
+        stream = spark.readStream.schema(schema).parquet(_stream_path(f.sf_dir, "events"))
         sing.await_available_now(sing.stream_copy(stream, f"{base}/target", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/target")
 
@@ -559,7 +564,7 @@ def _stream_daily_bars(f: Feeds) -> DataFrame:
 
     spark = f.spark
     schema = f.table("events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir)
+    stream = spark.readStream.schema(schema).parquet(_stream_path(f.sf_dir, "events"))
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/daily_bars/{uuid.uuid4().hex}"
     sing.await_available_now(sing.run_stream_bars(stream, f"{base}/out", f"{base}/ckpt", delay="1 day"))
     return spark.read.parquet(f"{base}/out")

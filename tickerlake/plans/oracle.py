@@ -39,10 +39,10 @@ bars AS (
     "board": """
 board AS (
   SELECT o_orderkey AS id,
-         CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS fetched_at,
-         CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE '' END || 'C' || CAST(o_custkey % 100 AS VARCHAR)
+         CAST(date_trunc('month', CAST(o_orderdate AS DATE) - INTERVAL 1 DAY) AS TIMESTAMP) AS fetched_at,
+         CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE '' END || 'C' || CAST(o_custkey AS VARCHAR)
            || CASE WHEN o_orderkey % 5 = 0 THEN ' XD' ELSE '' END AS symbol,
-         'Name ' || CAST(o_custkey % 100 AS VARCHAR) AS name,
+         'Name ' || CAST(o_custkey AS VARCHAR) AS name,
          CASE WHEN o_orderkey % 17 = 0 THEN '' WHEN o_orderkey % 23 = 0 THEN NULL
               ELSE ' ' || format('{:,.2f}', o_totalprice) END AS ldcp,
          CASE WHEN o_orderkey % 29 = 0 THEN ''
@@ -55,14 +55,14 @@ board AS (
          format('{:,.2f}', CAST(o_custkey * 1000 AS DOUBLE)) AS volume,
          '1,000.5' AS shares_m,
          CASE WHEN o_orderkey % 31 = 0 THEN '-' ELSE format('{:,.2f}', o_totalprice * 2) END AS market_cap_m
-  FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01 00:00:00'
+  FROM orders
 )""",
     "sector_map": """
 sector_map AS (
   SELECT 'C' || CAST(k AS VARCHAR) AS symbol, r_name AS sector
-  FROM (SELECT DISTINCT c_custkey % 100 AS k FROM customer) d
+  FROM (SELECT DISTINCT c_custkey AS k FROM customer) d
   JOIN region ON k % 5 = r_regionkey
-  WHERE k < 90
+  WHERE k % 10 < 9
 )""",
     "holdings": """
 holdings AS (
@@ -75,7 +75,7 @@ holdings AS (
     "trades": """
 trades AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS trade_id,
-         'B' || CAST(l_suppkey % 10 AS VARCHAR) AS broker,
+         'B' || CAST(l_suppkey AS VARCHAR) AS broker,
          'P' || CAST(l_partkey AS VARCHAR) AS symbol,
          CASE WHEN l_returnflag = 'R' THEN 'sell' ELSE 'buy' END AS trade_type,
          CAST(l_shipdate AS DATE) AS trade_date,
@@ -93,7 +93,7 @@ trades AS (
 tax AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS cgt_id, o_orderpriority AS broker,
          strftime(o_orderdate, '%Y-%m') AS period_month,
-         'C' || CAST(o_custkey % 100 AS VARCHAR) AS symbol,
+         'C' || CAST(o_custkey AS VARCHAR) AS symbol,
          CAST(1 AS BIGINT) AS qty, CAST(o_orderdate AS DATE) AS settlement_date,
          CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_totalprice - 250000 AS DECIMAL(18,4)) END AS capital_gain_loss,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice AS DECIMAL(18,4)) END AS provisional_cgt,

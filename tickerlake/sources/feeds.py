@@ -27,9 +27,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Fixed value: the board feed stops before this order date.
-BOARD_CUTOFF = "2001-08-01 00:00:00"
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -83,14 +80,16 @@ def bars_feed(orders: DataFrame, customer: DataFrame, nation: DataFrame,
 
 
 def board_feed(orders: DataFrame) -> DataFrame:
-    """Raw, all-text price board (13 columns) with blanks, junk and XD suffixes."""
+    """Raw, all-text price board (13 columns) with blanks, junk and XD suffixes.
+
+    One row per order, one symbol per customer; the stamp is the month of the day before the order.
+    """
     k = F.col("o_orderkey")
-    ck = F.col("o_custkey") % 100
+    ck = F.col("o_custkey")
     p = F.col("o_totalprice")
-    return (orders.where(F.col("o_orderdate") < F.lit(BOARD_CUTOFF).cast("timestamp_ntz"))
-            .select(
+    return (orders.select(
                 k.alias("id"),
-                F.trunc(F.to_date("o_orderdate"), "month").cast("timestamp_ntz").alias("fetched_at"),
+                F.trunc(F.date_sub(F.to_date("o_orderdate"), 1), "month").cast("timestamp_ntz").alias("fetched_at"),
                 F.concat(F.when(k % 11 == 0, F.lit(" ")).otherwise(F.lit("")),
                          F.lit("C"), _s(ck),
                          F.when(k % 5 == 0, F.lit(" XD")).otherwise(F.lit(""))).alias("symbol"),
@@ -110,16 +109,15 @@ def board_feed(orders: DataFrame) -> DataFrame:
 
 
 def sector_map_feed(customer: DataFrame, region: DataFrame) -> DataFrame:
-    """Symbols C0..C89 mapped to region names; C90..C99 stay unmapped."""
-    keys = (customer.select((F.col("c_custkey") % 100).alias("k")).distinct()
-            .where(F.col("k") < 90))
+    """Symbols of customers mapped to region names; keys that end in 9 stay unmapped."""
+    keys = customer.select(F.col("c_custkey").alias("k")).distinct().where(F.col("k") % 10 < 9)
     return (keys.join(region, (F.col("k") % 5) == F.col("r_regionkey"))
             .select(F.concat(F.lit("C"), _s("k")).alias("symbol"),
                     F.col("r_name").alias("sector")))
 
 
 def holdings_feed(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """One position per supplier; only C0..C99 are quoted on the board."""
+    """One position per supplier; only customers with orders are quoted on the board."""
     k = F.col("s_suppkey")
     return (supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.concat(F.lit("C"), _s(k)).alias("symbol"),
@@ -133,7 +131,7 @@ def trades_feed(lineitem: DataFrame) -> DataFrame:
     ln = F.col("l_linenumber")
     return lineitem.select(
         _s(F.col("l_orderkey") * 10 + ln).alias("trade_id"),
-        F.concat(F.lit("B"), _s(F.col("l_suppkey") % 10)).alias("broker"),
+        F.concat(F.lit("B"), _s("l_suppkey")).alias("broker"),
         F.concat(F.lit("P"), _s("l_partkey")).alias("symbol"),
         F.when(F.col("l_returnflag") == "R", F.lit("sell")).otherwise(F.lit("buy")).alias("trade_type"),
         F.to_date("l_shipdate").alias("trade_date"),
@@ -156,7 +154,7 @@ def tax_feed(orders: DataFrame) -> DataFrame:
         _s(k).alias("cgt_id"),
         F.col("o_orderpriority").alias("broker"),
         F.date_format("o_orderdate", "yyyy-MM").alias("period_month"),
-        F.concat(F.lit("C"), _s(F.col("o_custkey") % 100)).alias("symbol"),
+        F.concat(F.lit("C"), _s("o_custkey")).alias("symbol"),
         F.lit(1).cast("bigint").alias("qty"),
         F.to_date("o_orderdate").alias("settlement_date"),
         F.when(k % 10 == 0, none).otherwise(_money(p - 250000)).alias("capital_gain_loss"),

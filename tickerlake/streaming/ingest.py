@@ -80,8 +80,10 @@ def run_stream_bars(stream: DataFrame, target_path: str, checkpoint: str | None
     return _trigger(w, available_now, interval).start()
 
 
-def await_available_now(query: StreamingQuery, timeout_s: int = 1800) -> None:
-    """Wait for an AvailableNow run to finish; stop it and raise if it does not."""
-    if not query.awaitTermination(timeout_s):
+def await_available_now(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an AvailableNow run to finish (no time limit by default; beyond one, stop it and raise)."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
