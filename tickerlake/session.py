@@ -21,7 +21,7 @@ BASE_CONF = {
     # count (e.g. input bytes / 128 MB) and let AQE shrink it.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    # Explicit broadcasts in the library are size-checked (see plans.sizing);
+    # Explicit broadcasts are for sides of a fixed or checked size only;
     # keep the automatic threshold at Spark's conservative default.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.ui.enabled": "false",
