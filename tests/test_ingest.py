@@ -104,3 +104,25 @@ def test_insert_only_pruned_target_read(spark, capsys):
     new.explain()
     plan = capsys.readouterr().out
     assert ">= 98" in plan and "<= 100" in plan
+
+
+def test_append_keeps_the_month_layout(spark, scratch):
+    """A table written by write_bars takes new rows in its folders; a replay adds nothing."""
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF_SMALL
+    from tickerlake.sources.feeds import Feeds
+    from tickerlake.sources.ingest import append_insert_only
+    from tickerlake.sources.tables import read_bars, write_bars
+
+    bars = Feeds(spark, SF_SMALL).bars()
+    path = f"{scratch}/bars"
+    write_bars(bars, path)
+    before = read_bars(spark, path).count()
+    batch = bars.limit(5).unionByName(bars.limit(5).withColumn("symbol", F.concat(F.lit("NEW"), "symbol")))
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    added = append_insert_only(spark, path, batch, ["symbol", "price_date"], ["id"])
+    assert added == 5 and read_bars(spark, path).count() == before + 5
+    assert append_insert_only(spark, path, batch, ["symbol", "price_date"], ["id"]) == 0
+    assert read_bars(spark, path).count() == before + 5
+    assert read_bars(spark, path).where("symbol like 'NEW%'").count() == 5

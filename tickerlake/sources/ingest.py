@@ -122,10 +122,26 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _append_counted(df: DataFrame, path: str) -> int:
-    """Append ``df`` to Parquet at ``path`` and return the rows written (one pass)."""
+def _month(c: str):
+    return F.date_format(c, "yyyy-MM")
+
+
+def _by_month(spark: SparkSession, path: str) -> bool:
+    """True if the table at ``path`` is laid out by ``price_month`` (see ``tables.write_bars``)."""
+    try:
+        return "price_month" in spark.read.parquet(path).columns
+    except AnalysisException:
+        return False
+
+
+def _append_counted(df: DataFrame, path: str, by_month: bool = False) -> int:
+    """Append ``df`` to Parquet at ``path`` in the table's layout and return the rows written (one pass)."""
     obs = Observation("appended")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if by_month:
+        df.withColumn("price_month", _month("price_date")).write.mode("append").partitionBy("price_month").parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
     return int(obs.get.get("rows", 0))
 
 
@@ -135,10 +151,18 @@ def append_insert_only(spark: SparkSession, target_path: str, batch: DataFrame,
 
     Returns the number of rows written.  Re-running with the same batch adds
     nothing (the anti-join sees the rows of the first run), so a retried or
-    replayed micro-batch is harmless.
+    replayed micro-batch is harmless.  A table laid out by ``price_month`` is
+    appended to in that layout, and only the batch's months are read if
+    ``price_date`` is a key.
     """
-    target = _read_or_empty(spark, target_path, batch.schema)
-    return _append_counted(insert_only(target, batch, keys, order, prune_on), target_path)
+    by_month = _by_month(spark, target_path)
+    schema = StructType([*batch.schema.fields, StructField("price_month", StringType())]) if by_month else batch.schema
+    target = _read_or_empty(spark, target_path, schema)
+    if by_month and "price_date" in keys:
+        lo, hi = batch.agg(F.min(_month("price_date")), F.max(_month("price_date"))).first()
+        if lo is not None:
+            target = target.where(F.col("price_month").between(lo, hi))
+    return _append_counted(insert_only(target, batch, keys, order, prune_on), target_path, by_month)
 
 
 def high_water_mark(target: DataFrame, id_col: str = "id") -> int:
