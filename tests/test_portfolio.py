@@ -79,34 +79,54 @@ def test_summary_totals_equal_snapshot_sums(spark):
     assert abs(w - 100) < D("0.5")
 
 
-def test_hot_pair_in_pnl_join_is_salted(spark):
-    """One (broker, symbol) with most sells is spread over many join tasks; results unchanged."""
-    from pyspark.sql import functions as F
-
-    rows = [trade(str(i), "HOT", "X", "sell", 1 + i % 28, 1 + i % 3, "10.00") for i in range(3000)]
-    rows += [trade(f"b{i}", "HOT", "X", "buy", 1, 2, "9.00", comm="0.10") for i in range(5)]
-    rows += [trade(f"c{i}", f"B{i % 50}", f"S{i}", kind, 2, 1, "5.00")
-             for i in range(300) for kind in ("buy", "sell")]
-    df = spark.createDataFrame(rows, TRADES)
-    plain = sorted(tuple(r) for r in pf.realized_trades(df).collect())
-    salted_df = pf.realized_trades(df, hot_pair_rows=100, salt_buckets=16)
-    assert sorted(tuple(r) for r in salted_df.collect()) == plain
-    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",   # keep the hash layout
-            "spark.sql.autoBroadcastJoinThreshold": "-1",                # force the shuffle join
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+def test_hot_pair_in_pnl_join_is_split(spark):
+    """AQE's skew join splits the sells of a pair that holds most of them; nothing is broadcast by hint."""
+    n = 60_000
+    i = F.col("id")
+    df = spark.range(0, n, numPartitions=8).select(
+        i.cast("string").alias("trade_id"),
+        F.when(i < n * 9 // 10, "HOT").otherwise(F.concat(F.lit("B"), i % 50)).alias("broker"),
+        F.when(i < n * 9 // 10, "X").otherwise(F.concat(F.lit("S"), i % 500)).alias("symbol"),
+        F.when(i % 20 == 0, "buy").otherwise("sell").alias("trade_type"),
+        F.date_add(F.lit("2024-01-01"), (i % 28).cast("int")).alias("trade_date"),
+        (1 + i % 3).alias("qty"), F.lit("10.0000").cast("decimal(18,4)").alias("gross_rate"),
+        *[F.lit("0.1000").cast("decimal(18,4)").alias(c) for c in ("comm", "cdc_amt", "lsn", "sst", "net_amount")],
+        F.sha2(i.cast("string"), 256).alias("reason"))
+    plain = pf.realized_trades(df).agg(F.count(F.lit(1)), F.sum("net_pnl"), F.sum("sell_qty")).first()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     old = {k: spark.conf.get(k, None) for k in conf}
-
-    def spread(df):
-        return df.where("broker = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
-
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        unsalted, salted = spread(pf.realized_trades(df)), spread(salted_df)
+        out = pf.realized_trades(df)
+        split = out.agg(F.count(F.lit(1)), F.sum("net_pnl"), F.sum("sell_qty")).first()
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert unsalted == 1 and salted >= 4
+    assert split == plain and len(rows) == plain[0]
+    assert "skew=true" in plan and "Broadcast" not in plan
+
+
+def test_allocated_charges_keep_twelve_places(spark):
+    rows = [trade("1", "A", "X", "buy", 1, 3, "10.00", comm="1.00"), trade("2", "A", "X", "sell", 2, 1, "12.00")]
+    df = spark.createDataFrame(rows, TRADES)
+    r = pf.realized_trades(df).first()
+    assert r.allocated_charges == D("0.333333333333")
+    assert r.net_pnl == D("2") - D("0.333333333333")
+    assert pf.realized_totals(df).first().realized_pnl == r.net_pnl
+
+
+def test_percent_of_large_totals(spark):
+    from tickerlake.functions.numeric import pct_of
+
+    df = spark.createDataFrame([(D("50000000000000000"), D("200000000000000000"))], "a decimal(38,8), b decimal(38,8)")
+    assert df.select(pct_of(F.col("a"), F.col("b"), 2).alias("p")).first().p == D("25.00")
 
 
 def test_realized_totals_equal_per_sell_sum(spark):

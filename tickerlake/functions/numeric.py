@@ -36,8 +36,11 @@ def ratio(num, den) -> Column:
 
 
 def pct_of(num, den, n: int | None = 2) -> Column:
-    """100 * num / den rounded to n places; NULL on a zero denominator."""
-    out = ratio(F.lit(100) * _col(num), den)
+    """100 * num / den rounded to n places; NULL on a zero denominator.
+
+    The quotient is taken first: 100 * num of a large total would not fit the operand type.
+    """
+    out = F.lit(100) * ratio(num, den).cast(DecimalType(34, 12))
     return out if n is None else F.round(out, n)
 
 

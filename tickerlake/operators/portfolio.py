@@ -8,8 +8,10 @@ from pyspark.sql.types import DecimalType
 
 from tickerlake.functions.numeric import coalesce0, pct_of, ratio
 
-# Precision of unrounded quotients (allocated broker charges): 6 places.
-ALLOC_SCALE = 6
+# Types that keep all 12 places of an allocated charge through the sums below:
+# wider operands would make Spark fall back to 6 fractional digits.
+AMOUNT = DecimalType(24, 4)
+SHARE = DecimalType(32, 12)
 
 
 def latest_board(board: DataFrame) -> DataFrame:
@@ -96,54 +98,45 @@ def avg_buy(trades: DataFrame) -> DataFrame:
     )
 
 
-# A (broker, symbol) pair with more sells than this is salted over SALT_BUCKETS
-# join partitions.  The list of such pairs has at most (#sells / HOT_PAIR_ROWS)
-# entries, which bounds the broadcast below.
-HOT_PAIR_ROWS = 1_000_000
-SALT_BUCKETS = 64
+def _buy_share(qty):
+    """The buy charges of the pair that fall on ``qty`` sold shares, to 12 places."""
+    return (ratio(F.col("total_buy_charges") * qty, F.col("total_buy_qty"))).cast(SHARE)
 
 
-def realized_trades(trades: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
-                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def _pair_key():
+    return F.xxhash64("broker", "symbol").alias("_pair")
+
+
+def realized_trades(trades: DataFrame) -> DataFrame:
     """Realized P&L of each sell against the average buy of its (broker, symbol).
 
     The average is over all buys of the pair (not only earlier ones) and is
     rounded to 4 places before use; sells without buys keep NULL cost and P&L.
     Buy charges are allocated pro rata to sold quantity, uncapped.
 
-    Scale: the buy side is aggregated before the join (one row per pair).  A
-    pair holding very many sells would still land in one join task, so pairs
-    above ``hot_pair_rows`` sells are salted: their sells get a deterministic
-    hash salt in [0, salt_buckets) and their single average row is replicated
-    once per salt.  Other pairs use salt 0 and are joined as usual.
+    Scale: the buy side is aggregated before the join (one row per pair).  The
+    extra join key ``_pair`` is not what the aggregate is partitioned by, so
+    both sides of the join get an exchange of their own and AQE's skew join
+    can split the sells of a hot pair (it cannot split next to an aggregate).
     """
     sells = trades.where(F.col("trade_type") == "sell").select(
         "trade_id", "broker", "symbol", F.col("trade_date").alias("sell_date"),
         F.col("qty").alias("sell_qty"), F.col("gross_rate").alias("sell_rate"),
-        _charges().alias("sell_charges"), "reason")
-    hot = (sells.groupBy("broker", "symbol").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_pair_rows).select("broker", "symbol", F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)  # bounded: at most #sells / hot_pair_rows rows
-    salt = F.pmod(F.xxhash64(*sells.columns), F.lit(salt_buckets))
-    s = (sells.join(hot, ["broker", "symbol"], "left")
-         .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int")).drop("_hot"))
-    b = (avg_buy(trades).join(hot, ["broker", "symbol"], "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
-    j = s.join(b, ["broker", "symbol", "_salt"], "left")
+        _charges().alias("sell_charges"), "reason", _pair_key())
+    j = sells.join(avg_buy(trades).withColumn("_pair", _pair_key()), ["broker", "symbol", "_pair"], "left")
     q, rate, avg = F.col("sell_qty"), F.col("sell_rate"), F.col("avg_buy_rate")
     proceeds = q * rate
     cost = q * avg
     gross = proceeds - cost
-    buy_part = F.round(ratio(F.col("total_buy_charges") * q, F.col("total_buy_qty")), ALLOC_SCALE)
+    buy_part = _buy_share(q)
+    sell_part = F.col("sell_charges").cast(AMOUNT)
     return j.select(
         "trade_id", "broker", "symbol", "sell_date", "sell_qty", "sell_rate", "avg_buy_rate",
         proceeds.alias("gross_proceeds"),
         cost.alias("cost_basis"),
         gross.alias("gross_pnl"),
-        (F.col("sell_charges") + buy_part).alias("allocated_charges"),
-        (gross - F.col("sell_charges") - buy_part).alias("net_pnl"),
+        (sell_part + buy_part).alias("allocated_charges"),
+        ((gross - sell_part).cast(AMOUNT) - buy_part).alias("net_pnl"),
         pct_of(gross, cost, 2).alias("gross_pnl_pct"),
         "reason",
     )
@@ -152,8 +145,8 @@ def realized_trades(trades: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
 def realized_totals(trades: DataFrame) -> DataFrame:
     """One row: total net P&L (0 when none) and closed trades, without the per-sell join.
 
-    Every term of a sell's net P&L is a sum except the buy-charge share, which
-    is rounded per sell but depends only on the pair and the sold quantity.
+    Every term of a sell's net P&L is a sum except the buy-charge share, a
+    quotient to 12 places that depends only on the pair and the sold quantity.
     Sells are therefore pre-aggregated by (broker, symbol, qty) (partial
     aggregation: a hot pair collapses to one row per distinct quantity) and
     only those groups are joined to the average buy; the result equals
@@ -169,10 +162,11 @@ def realized_totals(trades: DataFrame) -> DataFrame:
     )
     j = groups.join(avg_buy(trades), ["broker", "symbol"], "left")
     q, n = F.col("qty"), F.col("_ok")
-    buy_part = F.round(ratio(F.col("total_buy_charges") * q, F.col("total_buy_qty")), ALLOC_SCALE)
-    net = F.when(n > 0, F.col("_proceeds") - n * q * F.col("avg_buy_rate") - F.col("_charges") - n * buy_part)
+    gross = (F.col("_proceeds") - n * q * F.col("avg_buy_rate") - F.col("_charges")).cast(AMOUNT)
+    shares = (n.cast(DecimalType(12, 0)) * _buy_share(q).cast(DecimalType(25, 12))).cast(DecimalType(36, 12))
+    net = F.when(n > 0, gross - shares)
     return j.agg(
-        F.coalesce(F.sum(net), F.lit(0).cast(DecimalType(38, 6))).alias("realized_pnl"),
+        F.coalesce(F.sum(net), F.lit(0).cast(DecimalType(38, 12))).alias("realized_pnl"),
         F.coalesce(F.sum("_all"), F.lit(0)).alias("closed_trades"),
     )
 
@@ -180,7 +174,7 @@ def realized_totals(trades: DataFrame) -> DataFrame:
 def realized_pnl(realized: DataFrame) -> DataFrame:
     """One row: total net P&L (0 when none) and the number of closed trades."""
     return realized.agg(
-        F.coalesce(F.sum("net_pnl"), F.lit(0).cast(DecimalType(38, 6))).alias("realized_pnl"),
+        F.coalesce(F.sum("net_pnl"), F.lit(0).cast(DecimalType(38, 12))).alias("realized_pnl"),
         F.count(F.lit(1)).alias("closed_trades"),
     )
 

@@ -130,3 +130,8 @@ def xround(num: str, den: str, n: int, scale: int = 8) -> str:
         unit = "0." + "0" * (n - 1) + "1"
         val = f"(CAST({signed} AS DECIMAL({38 - n},0)) * CAST({unit} AS DECIMAL({n},{n})))"
     return f"(CASE WHEN ({den}) = 0 THEN NULL ELSE {val} END)"
+
+
+def exact(value: str) -> str:
+    """SQL for the DOUBLE nearest to a DECIMAL of many digits (a direct cast can be off by one unit)."""
+    return f"CAST(CAST({value} AS VARCHAR) AS DOUBLE)"

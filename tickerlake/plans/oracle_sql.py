@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickerlake.plans.oracle import with_feeds, xround
+from tickerlake.plans.oracle import exact, with_feeds, xround
 
 ORACLE: dict[str, str] = {}
 
@@ -265,24 +265,24 @@ realized AS (
          s.qty * s.gross_rate AS gross_proceeds,
          s.qty * b.avg_buy_rate AS cost_basis,
          s.qty * s.gross_rate - s.qty * b.avg_buy_rate AS gross_pnl,
-         ({_CHARGES.replace('coalesce(', 'coalesce(s.')}) + {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 6)} AS allocated_charges,
+         ({_CHARGES.replace('coalesce(', 'coalesce(s.')}) + {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 12)} AS allocated_charges,
          s.qty * s.gross_rate - s.qty * b.avg_buy_rate - ({_CHARGES.replace('coalesce(', 'coalesce(s.')})
-           - {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 6)} AS net_pnl,
+           - {xround('b.total_buy_charges * s.qty', 'b.total_buy_qty', 12)} AS net_pnl,
          {xround('(s.qty * s.gross_rate - s.qty * b.avg_buy_rate) * 100', 's.qty * b.avg_buy_rate', 2)} AS gross_pnl_pct,
          s.reason
   FROM trades s LEFT JOIN avg_buy b ON s.broker = b.broker AND s.symbol = b.symbol
   WHERE s.trade_type = 'sell'
 )"""
 
-ORACLE["portfolio_trades"] = with_feeds("""
+ORACLE["portfolio_trades"] = with_feeds(f"""
 SELECT trade_id, broker, symbol, sell_date, sell_qty, CAST(sell_rate AS DOUBLE) AS sell_rate,
        CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(gross_proceeds AS DOUBLE) AS gross_proceeds,
        CAST(cost_basis AS DOUBLE) AS cost_basis, CAST(gross_pnl AS DOUBLE) AS gross_pnl,
-       CAST(allocated_charges AS DOUBLE) AS allocated_charges, CAST(net_pnl AS DOUBLE) AS net_pnl,
+       {exact('allocated_charges')} AS allocated_charges, {exact('net_pnl')} AS net_pnl,
        CAST(gross_pnl_pct AS DOUBLE) AS gross_pnl_pct, reason
 FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
-ORACLE["realized_pnl"] = with_feeds("""
-SELECT CAST(coalesce(sum(net_pnl), 0) AS DOUBLE) AS realized_pnl, count(*) AS closed_trades
+ORACLE["realized_pnl"] = with_feeds(f"""
+SELECT {exact('coalesce(sum(net_pnl), 0)')} AS realized_pnl, count(*) AS closed_trades
 FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
 
 ORACLE["tax_summary"] = with_feeds("""
