@@ -62,3 +62,33 @@ def test_register_views_exposes_marts_to_sql(spark):
     n = spark.sql("SELECT count(*) AS n FROM top_movers WHERE change_pct IS NOT NULL").first().n
     assert n == marts["top_movers"].count() > 0
     assert spark.sql("SELECT count(*) FROM technical_indicators").first()[0] == marts["technical_indicators"].count()
+
+
+def test_tax_seed_pads_short_lines_and_fails_on_bad_values(spark, scratch):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from tickerlake.schemas import TAX
+
+    header = ",".join(TAX.fieldNames())
+    full = "1,A,2025-10,X,60,2025-10-08,5313.39,,,,5313.39,1594.02,1594.02,1594.02,1594.02,0.00"
+
+    def load(name, line):
+        with open(f"{scratch}/{name}.csv", "w") as fh:
+            fh.write(f"{header}\n{line}\n")
+        return seeds.load_tax(spark, f"{scratch}/{name}.csv").collect()
+
+    short = load("short", full)[0]
+    assert short.cgt_refund is None and short.cgt_shortfall == 0 and short.settlement_date == dt.date(2025, 10, 8)
+    assert str(load("full", full + ",1.5")[0].cgt_refund) == "1.5000"
+    for name, line in (("value", full.replace("5313.39", "53l3.39")), ("surplus", full + ",1.5,9")):
+        with pytest.raises(PySparkException):
+            load(name, line)
+
+
+def test_build_and_check_leaves_nothing_cached(spark, scratch):
+    from tickerlake.plans.build import build_and_check
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert build_and_check(_inputs(spark), f"{scratch}/gold", raise_on_failure=False).count() == 33
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

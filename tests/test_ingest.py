@@ -126,3 +126,15 @@ def test_append_keeps_the_month_layout(spark, scratch):
     assert append_insert_only(spark, path, batch, ["symbol", "price_date"], ["id"]) == 0
     assert read_bars(spark, path).count() == before + 5
     assert read_bars(spark, path).where("symbol like 'NEW%'").count() == 5
+
+
+def test_values_that_do_not_fit_are_quarantined(spark):
+    ts = dt.datetime(2024, 1, 2)
+    rows = [("ok", ts, 1.0, 2.0, 1.0, 1.5, 10.0, 0.0, 0.0), ("big", ts, 1.0, 2.0, 1.0, 1e15, 10.0, 0.0, 0.0),
+            ("nan", ts, 1.0, 2.0, 1.0, float("nan"), 10.0, 0.0, 0.0), ("vol", ts, None, 2.0, 1.0, 1.5, 1e30, 0.0, 0.0),
+            ("none", ts, 1.0, 2.0, 1.0, None, 10.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, QUOTES).withColumn(ing.CORRUPT, F.lit(None).cast("string"))
+    good, bad = ing.split_corrupt(df)
+    assert [r.symbol for r in good.collect()] == ["ok"] and good.columns == QUOTES.fieldNames()
+    assert {r.symbol: r.reason for r in bad.collect()} == {
+        "big": "bad value", "nan": "bad value", "vol": "bad value", "none": "missing field"}

@@ -443,20 +443,76 @@ def _build_all(f: Feeds) -> DataFrame:
     return out
 
 
-@query("seed_load")
-def _seed_load(f: Feeds) -> DataFrame:
-    """The trades feed written as a seed CSV (M/d/yyyy dates), loaded back with the declared schema."""
+def _landing(f: Feeds, kind: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
     import uuid
 
     from tickerlake.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(f.spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+@query("seed_load")
+def _seed_load(f: Feeds) -> DataFrame:
+    """The trades feed written as a seed CSV (M/d/yyyy dates), loaded back with the declared schema."""
     from tickerlake.sources import seeds
 
-    path = f"{ensure_checkpoint_dir(f.spark).rstrip('/')}/seeds/{uuid.uuid4().hex}/trades"
+    path = _landing(f, "seeds")
     (f.trades().withColumn("trade_date", F.date_format("trade_date", seeds.TRADE_DATE_FORMAT))
      .write.option("header", True).csv(path))
     return seeds.load_trades(f.spark, path)
 
 
+@query("seed_load_holdings")
+def _seed_load_holdings(f: Feeds) -> DataFrame:
+    """The holdings feed as a seed CSV, loaded back."""
+    from tickerlake.sources import seeds
+
+    path = _landing(f, "seeds")
+    f.holdings().write.option("header", True).csv(path)
+    return seeds.load_holdings(f.spark, path)
+
+
+@query("seed_load_sector_map")
+def _seed_load_sector_map(f: Feeds) -> DataFrame:
+    """The sector map feed as a seed CSV, loaded back."""
+    from tickerlake.sources import seeds
+
+    path = _landing(f, "seeds")
+    f.sector_map().write.option("header", True).csv(path)
+    return seeds.load_sector_map(f.spark, path)
+
+
+@query("seed_load_tax")
+def _seed_load_tax(f: Feeds) -> DataFrame:
+    """The tax feed as seed CSVs, loaded back; lines without a refund end one field early."""
+    from tickerlake.sources import seeds
+
+    path, tax = _landing(f, "seeds"), f.tax()
+    tax.where(F.col("cgt_refund").isNotNull()).write.option("header", True).csv(f"{path}/full")
+    tax.where(F.col("cgt_refund").isNull()).drop("cgt_refund").write.option("header", True).csv(f"{path}/short")
+    return seeds.load_tax(f.spark, f"{path}/*")
+
+
+@query("landed_files_quarantine")
+def _landed_files_quarantine(f: Feeds) -> DataFrame:
+    """Quote files with truncated, incomplete, NaN and too large records, read back: bar rows and quarantine.
+
+    On top of the damage of ``landed_quotes``, ids that leave 1 modulo 13 have a NaN close and
+    ids that leave 2 a volume beyond a bigint.
+    """
+    path, events = _landing(f, "quotes"), f.table("events")
+    hurt = F.col("event_id") % 13
+    text = F.when(hurt == 1, F.regexp_replace("value", r'"close":[^,}]*', '"close":"NaN"')) \
+        .when(hurt == 2, F.regexp_replace("value", r'"volume":[^,}]*', '"volume":1e30')).otherwise(F.col("value"))
+    landed_quotes(events).select(text.alias("value")).write.text(path)
+    good, bad = ing.split_corrupt(ing.read_quotes(f.spark, path))
+    stamp = F.lit(INGESTED_AT).cast("timestamp_ntz")
+    bars = ing.normalize_quotes(good, ingested_at=stamp).select("symbol", "price_date", "close", "volume")
+    return (bars.withColumn("reason", F.lit(None).cast("string"))
+            .unionByName(bad.select("reason"), allowMissingColumns=True))
+
+
 @query("incremental_copy")
 def _incremental_copy(f: Feeds) -> DataFrame:
     """Events above the mark of a target that was last synced on 2024-01-20."""

@@ -493,6 +493,29 @@ SELECT trade_id, broker, symbol, trade_type, trade_date, qty, CAST(gross_rate AS
        CAST(sst AS DOUBLE) AS sst, CAST(net_amount AS DOUBLE) AS net_amount, reason
 FROM trades""", "trades")
 
+ORACLE["seed_load_holdings"] = with_feeds("""
+SELECT symbol, sector, qty_held, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, status FROM holdings""", "holdings")
+ORACLE["seed_load_sector_map"] = with_feeds("SELECT symbol, sector FROM sector_map", "sector_map")
+_TAX_MONEY = ("capital_gain_loss", "provisional_cgt", "cgt_payable_cumulative", "cgt_collected_cumulative",
+              "cgt_shortfall", "cgt_refund")
+_TAX_EMPTY = ("holding_days", "cgt_slab_pct", "net_gain_loss_month", "gross_cgt_month", "net_cgt_month")
+ORACLE["seed_load_tax"] = with_feeds(f"""
+SELECT cgt_id, broker, period_month, symbol, qty, settlement_date,
+       {", ".join(f"{_d(c)} AS {c}" for c in _TAX_MONEY)},
+       {", ".join(f"{_d('NULL')} AS {c}" for c in _TAX_EMPTY)}
+FROM tax""", "tax")
+_TOO_LARGE = "event_id % 13 IN (1, 2)"
+ORACLE["landed_files_quarantine"] = f"""
+SELECT upper(event_type) AS symbol, CAST(timezone('UTC', timezone('Asia/Karachi', ts)) AS DATE) AS price_date,
+       CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS close, CAST(trunc(user_id * 1.5) AS BIGINT) AS volume,
+       NULL::VARCHAR AS reason
+FROM events WHERE NOT ({_BROKEN} OR {_NO_CLOSE} OR {_TOO_LARGE})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL,
+       CASE WHEN {_BROKEN} THEN 'unparseable'
+            WHEN {_NO_CLOSE} THEN 'missing field' ELSE 'bad value' END
+FROM events WHERE {_BROKEN} OR {_NO_CLOSE} OR {_TOO_LARGE}"""
+
 ORACLE["build_all"] = with_feeds("""
 SELECT 'stg_board' AS dataset, count(*) AS n_rows FROM stg_board
 UNION ALL SELECT 'stg_bars', count(*) FROM bars

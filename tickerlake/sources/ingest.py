@@ -9,6 +9,8 @@ against the target, appended as new files (idempotent on replay).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
@@ -42,15 +44,20 @@ def parse_quotes(text: Column) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def _bar_values() -> dict[str, Column]:
+    """The numeric fields of a quote as a bar holds them; NULL where a value does not fit (NaN, too large)."""
+    money = ("open", "high", "low", "close", "dividends", "stock_splits")
+    return {**{c: F.col(c).try_cast(MONEY) for c in money}, "volume": F.col("volume").try_cast("bigint")}
+
+
 def split_corrupt(df: DataFrame, required: Sequence[str] = REQUIRED) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): bad = unparseable records or records missing a required field."""
-    bad_cond = F.col(CORRUPT).isNotNull()
-    for c in required:
-        bad_cond = bad_cond | F.col(c).isNull()
-    good = df.where(~bad_cond).drop(CORRUPT)
-    bad = df.where(bad_cond).withColumn(
-        "reason", F.when(F.col(CORRUPT).isNotNull(), F.lit("unparseable")).otherwise(F.lit("missing field")))
-    return good, bad
+    """(good, bad): bad = unparseable records, records missing a required field or with a value that does not fit."""
+    missing = reduce(or_, [F.col(c).isNull() for c in required])
+    unfit = reduce(or_, [F.col(c).isNotNull() & v.isNull() for c, v in _bar_values().items() if c in df.columns])
+    reason = (F.when(F.col(CORRUPT).isNotNull(), F.lit("unparseable"))
+              .when(missing, F.lit("missing field")).when(unfit, F.lit("bad value")))
+    judged = df.withColumn("reason", reason)
+    return judged.where(F.col("reason").isNull()).drop(CORRUPT, "reason"), judged.where(F.col("reason").isNotNull())
 
 
 def normalize_quotes(df: DataFrame, suffix: str = TICKER_SUFFIX, tz: str = EXCHANGE_TZ,
@@ -74,15 +81,12 @@ def normalize_quotes(df: DataFrame, suffix: str = TICKER_SUFFIX, tz: str = EXCHA
     # default stamp: the current UTC wall clock, whatever the session time zone
     stamp = ingested_at if ingested_at is not None else \
         F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    money = lambda c: F.col(c).try_cast(MONEY)
+    value = _bar_values()
     return df.select(
         *keep,
         strip_token("symbol", suffix).alias("symbol"),
         day.alias("price_date"),
-        *[money(c).alias(c) for c in ("open", "high", "low", "close")],
-        F.col("volume").try_cast("bigint").alias("volume"),
-        money("dividends").alias("dividends"),
-        money("stock_splits").alias("stock_splits"),
+        *[value[c].alias(c) for c in ("open", "high", "low", "close", "volume", "dividends", "stock_splits")],
         stamp.cast("timestamp_ntz").alias("fetched_at"),
     )
 
