@@ -49,9 +49,12 @@ def build_all(inputs: dict[str, DataFrame], persist: bool = True, share: str | N
     board = shared(stg.stage_board(inputs["board"]))
     bars = stg.stage_bars(inputs["bars"])
     snapshot = shared(pf.portfolio_snapshot(inputs["holdings"], board))
+    return {"stg_board": board, "stg_bars": bars, **_gold(inputs, bars, board, snapshot)}
+
+
+def _gold(inputs: dict[str, DataFrame], bars: DataFrame, board: DataFrame, snapshot: DataFrame) -> dict[str, DataFrame]:
+    """The gold marts, by name, from the silver tables and the snapshot."""
     return {
-        "stg_board": board,
-        "stg_bars": bars,
         "top_movers": mkt.top_movers(board, ordered=False),
         "sector_summary": mkt.sector_summary(board, inputs["sector_map"], ordered=False),
         "technical_indicators": ind.technical_indicators(bars),
@@ -62,6 +65,33 @@ def build_all(inputs: dict[str, DataFrame], persist: bool = True, share: str | N
     }
 
 
+GOLD = ("top_movers", "sector_summary", "technical_indicators", "portfolio_snapshot", "portfolio_summary",
+        "portfolio_trades", "tax_summary")
+
+
+def build_stored(inputs: dict[str, DataFrame], base_path: str,
+                 names: tuple[str, ...] = GOLD) -> dict[str, DataFrame]:
+    """The silver board and the marts in ``names``, each written under ``base_path`` and read back.
+
+    Every mart is derived once, from the stored tables before it; nothing is
+    cached and no reader depends on the build's lineage.
+    """
+    base, spark = base_path.rstrip("/"), inputs["board"].sparkSession
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    silver = dict(inputs, bars=stored("stg_bars", stg.stage_bars(inputs["bars"])))
+    board = stored("stg_board", stg.stage_board(inputs["board"]))
+    snapshot = stored("portfolio_snapshot", pf.portfolio_snapshot(inputs["holdings"], board))
+    marts = _gold(silver, silver["bars"], board, snapshot)
+    out = {"stg_board": board, "stg_bars": silver["bars"]}
+    for name in names:
+        out[name] = snapshot if name == "portfolio_snapshot" else stored(name, marts[name])
+    return out
+
+
 def register_views(marts: dict[str, DataFrame]) -> None:
     """Expose every dataset by name for SQL users (lazy temp views)."""
     for name, df in marts.items():
@@ -79,18 +109,11 @@ def build_and_check(inputs: dict[str, DataFrame], base_path: str | None = None,
                     raise_on_failure: bool = True) -> DataFrame:
     """Build, optionally write, then evaluate the declared checks; raise on failure.
 
-    With ``base_path`` the checks read the written gold tables back, so they
+    With ``base_path`` the checks read the written tables back, so they
     neither recompute the marts nor depend on the build's lineage.  Nothing
     stays cached.
     """
-    marts = build_all(inputs, share="checkpoint")
-    tables = dict(marts)
-    if base_path:
-        materialize(marts, base_path)
-        spark = next(iter(marts.values())).sparkSession
-        for name in marts:
-            if not name.startswith("stg_"):
-                tables[name] = spark.read.parquet(f"{base_path.rstrip('/')}/{name}")
+    tables = dict(build_stored(inputs, base_path) if base_path else build_all(inputs, share="checkpoint"))
     tables["holdings"] = inputs["holdings"]
     report = dq.quality_report(dq.standard_checks(), tables)
     if raise_on_failure:

@@ -288,19 +288,18 @@ def _dq_expression(f: Feeds) -> DataFrame:
             .select("id", "symbol", "change_amount"))
 
 
+def _inputs(f: Feeds) -> dict[str, DataFrame]:
+    return {"board": f.board(), "bars": f.bars(), "sector_map": f.sector_map(), "holdings": f.holdings(),
+            "trades": f.trades(), "tax": f.tax()}
+
+
 def mart_tables(f: Feeds) -> dict[str, DataFrame]:
-    board = _board(f)
-    holdings = f.holdings()
-    snapshot = pf.portfolio_snapshot(holdings, board)
-    bars = stg.stage_bars(f.bars())
-    return {
-        "stg_board": board,
-        "stg_bars": bars,
-        "holdings": holdings,
-        "portfolio_snapshot": snapshot,
-        "portfolio_summary": pf.portfolio_summary(snapshot),
-        "technical_indicators": ind.technical_indicators(bars),
-    }
+    """The datasets under check, stored once and read back."""
+    from tickerlake.plans.build import build_stored
+
+    inputs = _inputs(f)
+    names = ("portfolio_snapshot", "portfolio_summary", "technical_indicators")
+    return {**build_stored(inputs, _landing(f, "checked"), names), "holdings": inputs["holdings"]}
 
 
 @query("dq_report")
@@ -422,21 +421,30 @@ def _upsert_insert_only(f: Feeds) -> DataFrame:
         .drop("arrival")
 
 
+def _digest(name: str, df: DataFrame) -> DataFrame:
+    """Per column of a dataset: its row count, values, and their exact total (days of dates, lengths of text)."""
+    def number(field):
+        c = F.col(field.name)
+        kind = field.dataType.simpleString()
+        if kind == "string":
+            c = F.char_length(c)
+        elif kind in ("date", "timestamp_ntz"):
+            c = F.datediff(c, F.lit("1970-01-01").cast("date"))
+        return c.cast(DecimalType(38, 4))
+
+    fields = df.schema.fields
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*[
+        F.struct(F.lit(x.name).alias("column_name"), F.count(x.name).alias("n_values"),
+                 F.sum(number(x)).alias("total")) for x in fields]).alias("c"))
+    return one.select(F.lit(name).alias("dataset"), "n_rows", F.inline("c"))
+
+
 @query("build_all")
 def _build_all(f: Feeds) -> DataFrame:
-    """The full build in dependency order: one row per dataset with its row count.
-
-    The silver board and the snapshot are checkpointed once to the shared folder: at scale the
-    board's de-duplication is the expensive step and its output is small (at sf0.1 recomputing
-    it would be slightly faster).
-    """
-    from tickerlake.plans.build import build_all
+    """The full build: every dataset written to the shared folder, read back and digested by column."""
+    from tickerlake.plans.build import build_stored
 
-    inputs = {"board": f.board(), "bars": f.bars(), "sector_map": f.sector_map(), "holdings": f.holdings(),
-              "trades": f.trades(), "tax": f.tax()}
-    marts = build_all(inputs, share="checkpoint")
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
-             for name, df in marts.items()]
+    parts = [_digest(name, df) for name, df in build_stored(_inputs(f), _landing(f, "build")).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

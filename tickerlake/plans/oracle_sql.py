@@ -516,16 +516,40 @@ SELECT NULL, NULL, NULL, NULL,
             WHEN {_NO_CLOSE} THEN 'missing field' ELSE 'bad value' END
 FROM events WHERE {_BROKEN} OR {_NO_CLOSE} OR {_TOO_LARGE}"""
 
-ORACLE["build_all"] = with_feeds("""
-SELECT 'stg_board' AS dataset, count(*) AS n_rows FROM stg_board
-UNION ALL SELECT 'stg_bars', count(*) FROM bars
-UNION ALL SELECT 'top_movers', count(*) FROM stg_board WHERE change_pct IS NOT NULL
-UNION ALL SELECT 'sector_summary', count(*) FROM sector_summary
-UNION ALL SELECT 'technical_indicators', count(*) FROM frames WHERE rn = 1
-UNION ALL SELECT 'portfolio_snapshot', count(*) FROM snapshot
-UNION ALL SELECT 'portfolio_summary', count(*) FROM summary
-UNION ALL SELECT 'portfolio_trades', count(*) FROM realized
-UNION ALL SELECT 'tax_summary', count(*) FROM (SELECT DISTINCT broker, period_month FROM tax) t""",
-    "board", "bars", "sector_map", "holdings", "trades", "tax",
-    extra=(STG_BOARD, _SECTOR, _FRAMES, _LATEST, _SNAPSHOT, _SUMMARY, _AVG_BUY, _REALIZED))
+# Columns of the built datasets that hold text or days; all others are numbers.
+_TEXTS = {"symbol", "name", "sector", "trade_id", "broker", "reason", "period_month"}
+_DAYS = {"fetched_at", "price_date", "sell_date"}
+_BOARD_COLS = "symbol name ldcp current_price change_amount change_pct volume market_cap_m"
+_BUILT = {
+    "stg_board": f"id fetched_at {_BOARD_COLS} idx_weight idx_point shares_m",
+    "stg_bars": "id symbol price_date open high low close volume dividends stock_splits fetched_at",
+    "top_movers": f"fetched_at {_BOARD_COLS}",
+    "sector_summary": "fetched_at sector total_stocks avg_change_pct total_volume total_market_cap_m avg_price",
+    "technical_indicators": "symbol price_date close volume sma_50 pct_vs_sma_50 sma_200 pct_vs_sma_200 rsi_14 high_52w "
+                            "low_52w pct_vs_high_52w avg_volume_20 volume_ratio_20",
+    "portfolio_snapshot": "symbol sector qty_held avg_buy_rate total_cost current_price todays_change_pct current_value "
+                          "unrealized_pnl unrealized_pct price_date",
+    "portfolio_summary": "price_date total_invested total_current_value total_unrealized_pnl total_unrealized_pct "
+                         "holdings_count",
+    "portfolio_trades": "trade_id broker symbol sell_date sell_qty sell_rate avg_buy_rate gross_proceeds cost_basis "
+                        "gross_pnl allocated_charges net_pnl gross_pnl_pct reason",
+    "tax_summary": "broker period_month net_gain_loss provisional_cgt cgt_payable_cumulative cgt_collected_cumulative "
+                   "cgt_shortfall cgt_refund cgt_over_under_collected",
+}
+
+
+def _number(c: str) -> str:
+    if c in _TEXTS:
+        return f"length({c})"
+    return f"date_diff('day', DATE '1970-01-01', CAST({c} AS DATE))" if c in _DAYS else c
+
+
+ORACLE["build_all"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS dataset, '{c}' AS column_name, (SELECT count(*) FROM {name}_) AS n_rows, count({c}) AS n_values, "
+    f"{exact(f'sum(CAST({_number(c)} AS DECIMAL(38,4)))')} AS total FROM {name}_"
+    for name, cols in _BUILT.items() for c in cols.split())
+# The 12-place amounts of trades are summed as decimals, as their doubles would round to 4 places differently.
+_MART_SQL = {**ORACLE, "portfolio_trades": with_feeds("SELECT * FROM realized", "trades", extra=(_AVG_BUY, _REALIZED))}
+ORACLE["build_all"] = ("WITH " + ",\n".join(f"{name}_ AS MATERIALIZED ({_MART_SQL[name]})" for name in _BUILT)
+                       + "\n" + ORACLE["build_all"])
 ORACLE["stream_dedupe"] = "SELECT event_id, ts, event_type, value FROM events"
