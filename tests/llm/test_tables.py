@@ -317,3 +317,26 @@ def test_pipeline_stages(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_pipeline_stages_with_clashing_columns(spark):
+    """Columns named like internals, a null id, null, blank and repeated texts pass through every stage untouched."""
+    import corpus_pipeline
+
+    names = ["own", "rk", "th", "once", "n", "repeated", "kept", "score", "lang_pred", "contaminated", "__hit", "__items",
+             "__repeated", "items", "ids", "key", "digest", "class", "tokens", "n_words", "curve_range"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    edges = docs.where("doc_id < 3").select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), *docs.columns[1:])
+    blank = docs.where("doc_id < 3").withColumn("text", F.lit(" \n"))
+    none = blank.withColumn("text", F.lit(None).cast("string"))
+    plain = docs.union(docs.where("doc_id < 5")).union(edges).union(blank).union(none)
+    clashing = plain.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce("doc_id", F.lit(-1))).alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, SF)
+        assert out.columns == clashing.columns, name
+        rows = out.collect()
+        assert all(r[c] == f"{c} {-1 if r.doc_id is None else r.doc_id}" for r in rows for c in names), name
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows) == \
+            sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in stage(spark, plain, SF).collect()), name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, clashing, SF).count() == last(spark, plain, SF).count()

@@ -106,7 +106,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
 
 
 RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
-RESULT_NAMES = {f.split()[0] for f in RESULT.split(", ")}
 
 
 def _annotated(documents: DataFrame, benchmark: DataFrame, size: int, block_bytes: int) -> DataFrame:
@@ -148,7 +147,5 @@ def _block_pass(documents: DataFrame, shared, carried: bool, last: bool) -> Data
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without any hit, with their own columns."""
-    names = RESULT_NAMES & set(documents.columns)
-    own = documents.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c in names else c) for c in documents.columns])
-    kept = _annotated(own, benchmark, size, block_bytes).where(~F.col("contaminated"))
-    return kept.select(*[F.col(f"`__own_{c}`" if c in names else f"`{c}`").alias(c) for c in documents.columns])
+    own = documents.select("text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"))
+    return _annotated(own, benchmark, size, block_bytes).where(~F.col("contaminated")).select("own.*")

@@ -297,9 +297,10 @@ def one_per_class(documents: DataFrame, threshold: float = THRESHOLD, block: int
     keep = nodes.where("rep = class_rep").select("rep.rk", "rep.th").withColumn("once", F.lit(True))
     keep = keep.union(docs.where("digest is null").select("rk", "th", F.lit(False).alias("once")).distinct())
     repeated = docs.groupBy("rk", "th").agg(F.count("*").alias("n")).where("n > 1")
-    keep = keep.join(repeated, ["rk", "th"], "left").select(
-        F.col("rk").alias("__rk"), F.col("th").alias("__th"), (F.col("once") & F.col("n").isNotNull()).alias("__repeated"))
-    own = documents.withColumns({"__rk": F.xxhash64("doc_id", "text"), "__th": F.xxhash64("text")})
-    kept = own.join(keep, ["__rk", "__th"])
-    single = kept.where("not __repeated").select(*documents.columns)
-    return single.union(kept.where("__repeated").dropDuplicates(["__rk", "__th"]).select(*documents.columns))
+    keep = keep.join(repeated, ["rk", "th"], "left").select("rk", "th", (F.col("once") & F.col("n").isNotNull()).alias("repeated"))
+    # The documents' own columns travel in a struct, as any of them may have a name used here.
+    own = documents.select(F.xxhash64("doc_id", "text").alias("rk"), F.xxhash64("text").alias("th"),
+                           F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"))
+    kept = own.join(keep, ["rk", "th"])
+    single = kept.where("not repeated").select("own.*")
+    return single.union(kept.where("repeated").dropDuplicates(["rk", "th"]).select("own.*"))
