@@ -232,3 +232,37 @@ def test_scores_equal_brute_force(spark):
         assert r.n_tokens == len(words(t))
         assert math.isclose(r.score, target(t) - background(t), abs_tol=1e-9)
     assert lm_score.score(frame(spark, ODD).limit(0), frame(spark, [])).count() == 0
+
+
+def test_scores_count_exact_bigrams_of_a_large_vocabulary(spark):
+    """More words than WORDS, cut into many chunks and buckets: equal to exact counts."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.zipf(1.2, 500), 10**9)) for _ in range(100)]
+    texts += [" ".join(f"u{i}x{k}" for k in range(2500)) for i in range(60)] + ["", None, texts[0], texts[0]]
+    ids = [*range(len(texts) - 1), None]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(3)
+    targets = spark.createDataFrame([(i,) for i in range(0, 160, 3)] + [(None,)], "doc_id long")
+    got = lm_score.score(docs, targets, chunk_tokens=20_000, bucket_tokens=10_000).collect()
+
+    def model(chosen):
+        single, context, pair = Counter(), Counter(), Counter()
+        for t in chosen:
+            ws = words(t)
+            single.update(ws)
+            context.update([None, *ws][:-1] if ws else [])
+            pair.update(zip([None, *ws], ws, strict=False))
+        total = sum(single.values())
+
+        def loss(t):
+            ws = words(t)
+            out = [-math.log(0.6 * (pair[v, w] / context[v] if context[v] else 0) + 0.4 * (single[w] + 0.1) / (total + 0.1 * lm_score.WORDS))
+                   for v, w in zip([None, *ws], ws, strict=False)]
+            return sum(out) / len(out) if out else 0.0
+        return loss, len(single)
+
+    (target, _), (background, n_words) = model(texts[0:160:3]), model(texts)
+    assert n_words > lm_score.WORDS
+    expected = sorted((-1 if i is None else i, len(words(t)), target(t), background(t)) for i, t in zip(ids, texts, strict=True))
+    found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in got)
+    assert np.allclose(expected, found, atol=1e-9)
+    assert all(math.isclose(r.score, r.target_loss - r.background_loss, abs_tol=1e-9) for r in got)
