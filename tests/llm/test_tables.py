@@ -221,6 +221,29 @@ def test_trees_learn_lexical_signs(spark):
     assert {r.verdict for r in none.collect()} == {"allow"} and none.limit(0).count() == 0
 
 
+def test_suffix_shares_cover_all_labelled_urls_and_no_class_is_left_out(spark):
+    rows = [(f"http://d{i % 6000}.test/{i}", int(i % 6000 < 20)) for i in range(12_000)] + [("http://hot.example/", 0)] * 9000
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    fitted = urlfilter.fit(labelled, size=50)
+    assert fitted.model is not None
+    urls = spark.createDataFrame([(i, u) for i, u in enumerate(sorted({u for u, _ in rows} | {"http://new.domain/", ""}))], "page_id long, url string")
+    got = urlfilter.with_features(urls, fitted.statistics).collect()
+    overall, blocked, n = sum(y for _, y in rows) / len(rows), Counter(), Counter()
+    for u, y in rows:
+        host = u.split("/")[2]
+        for s in (host, (host.split(".")[-1],)):
+            blocked[s] += y
+            n[s] += 1
+    share = {s: (blocked[s] + urlfilter.PRIOR * overall) / (n[s] + urlfilter.PRIOR) for s in n}
+    assert len(got) == urls.count() and len(share) > 4096
+    for r in got:
+        host = r.url.split("/")[2] if r.url else ""
+        assert abs(r.f_suffix1 - share.get((host.split(".")[-1],), -1)) < 1e-12 and abs(r.f_suffix2 - share.get(host, -1)) < 1e-12
+    sample = urlfilter._sample(labelled.withColumn("label", F.col("label").cast("double")), {0.0: 20_960, 1.0: 40}, 50).collect()
+    assert sum(r.label for r in sample) == 40 and 800 < len(sample) - 40 < 1200
+    assert 380 < sum(r.url == "http://hot.example/" for r in sample) < 480
+
+
 def test_entropy_feature(spark):
     row = urlfilter.with_features(spark.createDataFrame([("http://ab/?x=1&y=22",)], "url string"), []).first()
     share = np.array(list(Counter("http://ab/?x=1&y=22").values())) / 19

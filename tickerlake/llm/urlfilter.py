@@ -8,9 +8,11 @@ last one and two labels of the host the smoothed share of blocked urls among
 the labelled ones that have it.
 
 Rules reach the tasks as one map, in blocks of at most ``RULES_PER_BLOCK``
-rules; suffix statistics as arrays of ``BUCKETS`` hashed slots.  So nothing is
-joined: a host that holds a third of all rows costs nothing extra.  The trees
-are fitted on at most about ``SAMPLE`` labelled urls (hash order).
+rules.  Suffix statistics cover all labelled urls and are joined by the suffix
+itself; suffixes of more than 1 in ``SALTS`` urls (fewer than ``SALTS``) are
+spread over that many keys.  Only the trees are fitted on a sample, of about
+``SAMPLE`` labelled urls: each class gives its share, but ``LEAST`` rows if it
+has them.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and is judged by its (empty) features; of equally long rules
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 from tickerlake.llm.common import stored
 
 RULES_PER_BLOCK = 50_000
-BUCKETS = 4096
+SALTS = 128
 SAMPLE = 20_000
+LEAST = 1000
 TREES = 12
 DEPTH = 3
 PRIOR = 20.0  # rows by which a suffix's share is drawn to the overall share
@@ -87,23 +90,37 @@ def with_rules(urls: DataFrame, rules: DataFrame, rules_per_block: int = RULES_P
     return urls
 
 
-def _bucket(host: Column, labels: int) -> Column:
-    return F.pmod(F.xxhash64(F.substring_index(host, ".", -labels)), F.lit(BUCKETS)).cast("int")
+def _suffix(host: Column, labels: int) -> Column:
+    return F.substring_index(host, ".", -labels)
 
 
 def suffix_statistics(labelled: DataFrame) -> list[DataFrame]:
-    """For the last one and two labels: one row with an array of the smoothed share of blocked urls by hashed suffix."""
+    """For the last one and two labels: (suffix, share), the smoothed share of blocked urls among the labelled ones."""
     host, _ = host_and_path(F.col("url"))
     out = []
     for labels in (1, 2):
-        sums = labelled.groupBy(_bucket(host, labels).alias("bucket")).agg(F.sum("label").alias("s"), F.count("*").alias("n"))
+        sums = labelled.groupBy(_suffix(host, labels).alias("suffix")).agg(F.sum("label").alias("s"), F.count("*").alias("n"))
         share = sums.agg((F.sum("s") / F.sum("n")).alias("p")).scalar()
-        known = sums.withColumn("v", (F.col("s") + PRIOR * share) / (F.col("n") + PRIOR))
-        table = known.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m"))
-        out.append(table.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.col("m")[k]).alias("shares")))
+        out.append(sums.select("suffix", ((F.col("s") + PRIOR * share) / (F.col("n") + PRIOR)).alias("share")))
     return out
 
 
+def with_shares(urls: DataFrame, statistics: list[DataFrame]) -> DataFrame:
+    """Add f_suffix1 and f_suffix2 (-1 for a suffix without labelled urls) to rows with a url."""
+    host, _ = host_and_path(F.col("url"))
+    total = urls.count() if statistics else 0
+    for k, s in enumerate(statistics, 1):
+        counts = urls.groupBy(_suffix(host, k).alias("f_key")).count()
+        hot = [r.f_key for r in counts.where(F.col("count") * SALTS > total).collect()]
+        salt = F.when(F.col("f_key").isin(hot), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
+        last = F.when(F.col("suffix").isin(hot), SALTS - 1).otherwise(0)
+        salted = s.select(F.col("suffix").alias("f_key"), F.explode(F.sequence(F.lit(0), last)).alias("f_salt"), F.col("share").alias(f"f_suffix{k}"))
+        # A merge join at every size: the table of suffixes grows with the labelled urls.
+        urls = urls.withColumn("f_key", _suffix(host, k)).withColumn("f_salt", salt).join(salted.hint("merge"), ["f_key", "f_salt"], "left")
+        urls = urls.withColumn(f"f_suffix{k}", F.coalesce(f"f_suffix{k}", F.lit(-1.0))).drop("f_key", "f_salt")
+    return urls
+
+
 def with_features(urls: DataFrame, statistics: list[DataFrame]) -> DataFrame:
     """Add the FEATURES columns to rows with a url."""
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -112,14 +129,13 @@ def with_features(urls: DataFrame, statistics: list[DataFrame]) -> DataFrame:
     counts = F.transform(F.array_distinct(F.split(url, "")), lambda c: (F.length(url) - F.length(F.replace(url, c, F.lit("")))) / size)
     entropy = F.aggregate(counts, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
-    shares = {f"f_suffix{k}": F.coalesce(s.scalar()[_bucket(host, k)], F.lit(-1.0)) for k, s in enumerate(statistics, 1)}
-    return urls.withColumns({
+    return with_shares(urls, statistics).withColumns({
         "f_length": size, "f_host_length": F.length(host).cast("double"),
         "f_depth": F.size(F.filter(F.split(path, "/"), lambda x: x != "")).cast("double"),
         "f_digits": F.length(F.regexp_replace(url, "[^0-9]", "")) / size, "f_entropy": entropy,
         "f_params": F.when(query == "", 0.0).otherwise(F.size(F.split(query, "&")).cast("double")),
         "f_labels": F.size(F.split(host, r"\.")).cast("double"),
-        "f_hyphens": F.length(F.regexp_replace(host, "[^-]", "")).cast("double"), **shares})
+        "f_hyphens": F.length(F.regexp_replace(host, "[^-]", "")).cast("double")})
 
 
 class Filter:
@@ -137,18 +153,27 @@ class Filter:
         return scored.drop(*FEATURES, "f_vector", "f_prediction", "f_raw", "f_probability")
 
 
+def _sample(rows: DataFrame, found: dict[float, int], size: int) -> DataFrame:
+    """About ``size`` of the rows (url, label), each class by its own rate, so that none is left out.
+
+    Of n copies of a row n times the rate stay, rounded up or down by a hash of the row.
+    """
+    total = sum(found.values())
+    rate = {label: min(1.0, max(size * n / total, LEAST) / n) for label, n in found.items()}
+    u = F.pmod(F.xxhash64("url", "label", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = F.floor(F.col("count") * F.when(F.col("label") == 1, rate[1.0]).otherwise(rate[0.0]) + u).cast("int")
+    kept = rows.groupBy("url", "label").count().withColumn("copies", copies).where("copies > 0")
+    return kept.select("url", "label", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+
+
 def fit(labelled: DataFrame, size: int = SAMPLE) -> Filter:
     """Fit on labelled urls: (url, label) with label 1 for block, 0 for allow."""
     rows = labelled.where("url is not null and label in (0, 1)").select("url", F.col("label").cast("double").alias("label"))
     found = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(found) < 2:
         return Filter([], None, "block" if 1.0 in found else "allow")
-    total = sum(found.values())
-    u = F.pmod(F.xxhash64("url", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = stored(rows.where(u < min(1.0, size / total)), "url-labels")
-    if rows.select("label").distinct().count() < 2:
-        return Filter([], None, "block" if found[1.0] > found[0.0] else "allow")
     statistics = [stored(s, "url-suffixes") for s in suffix_statistics(rows)]
+    rows = stored(_sample(rows, found, size), "url-labels")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="f_vector").transform(with_features(rows, statistics)).select("label", "f_vector")
     trees = GBTClassifier(featuresCol="f_vector", labelCol="label", predictionCol="f_prediction", maxIter=TREES, maxDepth=DEPTH, seed=3)
     trees = trees.setRawPredictionCol("f_raw").setProbabilityCol("f_probability")
