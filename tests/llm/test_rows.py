@@ -46,6 +46,23 @@ def test_token_ids_equal_tokenizers():
         assert np.frombuffer(own(t), "<u2").tolist() == public.encode(t, add_special_tokens=False).ids
 
 
+def test_packed_ids_equal_default_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tickerlake.llm import packing
+
+    public = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(4)
+    parts = ["a", "Bc", " ", "  ", "\n", "é", "12", "<|endoftext|>", "<|endoftext", "|>"]
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "<|endoftext|><|endoftext|>x", *("".join(rng.choice(parts, 12)) for _ in range(300))]
+    own = BpeIds(added=True)
+    for t in texts:
+        assert np.frombuffer(own(t), "<u2").tolist() == public.encode(t, add_special_tokens=False).ids
+    piece = packing.pack(frame(spark, texts[:1]), length=64).first()
+    assert np.frombuffer(piece.ids, "<u4").tolist()[:4] == [437, 220, 50256, 286] and piece.doc_tokens == 5
+
+
 # quality
 
 

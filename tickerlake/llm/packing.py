@@ -95,7 +95,7 @@ def tokenised(documents: DataFrame, ranks_path: str | None = None) -> DataFrame:
     end = np.asarray([END_ID], dtype="<u2").tobytes()
 
     def make():
-        encode = loaded(ranks_path)
+        encode = loaded(ranks_path, added=True)
         slots = feature_of_id(1 << 16)
 
         def run(rows):

@@ -1,7 +1,9 @@
 """Exact token ids of a public byte-level BPE vocabulary.
 
-``BpeIds`` gives the ids that ``tokenizers`` gives for the same vocabulary
-(special-token strings are ordinary text).  Texts whose white space is single
+``BpeIds`` gives the ids that ``tokenizers`` gives for the same vocabulary: with
+``added`` as by default there (the string of an added token is that token),
+without it as with ``encode_special_tokens`` (such a string is ordinary text).
+Texts whose white space is single
 spaces and line breaks, not side by side, are split by a pattern without
 look-ahead, which splits such texts alike and is faster; all others by the
 vocabulary's own pattern.
@@ -14,6 +16,8 @@ import re
 import sys
 from array import array
 
+# Added tokens of byte_bpe_50k.json.
+ADDED = {"<|endoftext|>": 50256}
 LOOK_AHEAD = r"|\s+(?!\S)"
 
 _ODD = re.compile(r"[^\S\n ]")
@@ -27,16 +31,18 @@ def plain(text: str) -> bool:
 class BpeIds:
     """Ids as little-endian unsigned 16-bit bytes (the vocabulary has fewer than 65,536 entries)."""
 
-    def __init__(self, ranks_path: str | None = None):
+    def __init__(self, ranks_path: str | None = None, added: bool = False):
         import public_tokenizers
         import tiktoken
 
         path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.size = max(self.ranks.values()) + 1
+        self.added = dict(ADDED) if added else {}
+        self.size = max(*self.ranks.values(), *self.added.values()) + 1
         if self.size > 1 << 16:
             raise ValueError("the vocabulary does not fit 16 bits")
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
         pattern = public_tokenizers.PATTERN
         self.full, self.fast = (
             tiktoken.Encoding(name, pat_str=p, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
@@ -45,7 +51,12 @@ class BpeIds:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        ids = array("H", (self.fast if plain(text) else self.full)(text))
+        ids = array("H")
+        for part in self.cut.split(text) if self.added else (text,):
+            if part in self.added:
+                ids.append(self.added[part])
+            else:
+                ids.extend((self.fast if plain(part) else self.full)(part))
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
@@ -54,8 +65,8 @@ class BpeIds:
 _LOADED: dict = {}
 
 
-def loaded(path: str | None = None) -> BpeIds:
-    """One encoder per Python worker and vocabulary."""
-    if path not in _LOADED:
-        _LOADED[path] = BpeIds(path)
-    return _LOADED[path]
+def loaded(path: str | None = None, added: bool = False) -> BpeIds:
+    """One encoder per Python worker, vocabulary and treatment of added tokens."""
+    if (path, added) not in _LOADED:
+        _LOADED[path, added] = BpeIds(path, added)
+    return _LOADED[path, added]
