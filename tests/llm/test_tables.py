@@ -105,6 +105,16 @@ def test_main_text_rules():
     assert html_template.main_text("", None) == "" and html_template.main_text("<p>a &lt; b <", None) == "a < b <"
 
 
+def test_listed_names_do_not_hide_the_page():
+    body = '<div class="menu">m</div>{}<div class="comments"><article><p>first</p></article></div><div class="sidebar">s</div>'
+    for inner in ('<article class="post no-comments"><p>text</p></article>', '<div class="layout right-sidebar"><main id="main"><p>text</p></main></div>',
+                  '<main class="with-sidebar"><p>text</p><div class="share">x</div></main>'):
+        whole = page(body.format(inner)).replace("<html", '<html class="menu-open"').replace("<body", '<body class="has-sidebar"')
+        assert html_template.main_text(whole, None) == "text"
+    lone = page('<div class="layout right-sidebar"><div class="nav">n</div><article><p>text</p><div class="ad">a</div></article></div>')
+    assert html_template.main_text(lone, None) == "text"
+
+
 def test_template_finds_main_slot_without_article(spark):
     rng = np.random.default_rng(4)
     rows = []

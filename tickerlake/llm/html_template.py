@@ -68,6 +68,8 @@ NOISE_NAMES = frozenset(
     "respond widget toolbar pagination pager search copyright legal skip".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 MAIN_NAMES = frozenset("article main".split())
+PAGE_TAGS = frozenset("html body main article".split())
+NAMED, NOISE = 1, 2
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|noframes|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
@@ -77,37 +79,53 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"[0-9]+")
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool]:
-    """(token name, is boilerplate) of an opening tag."""
-    noise = tag in NOISE_TAGS
+def _describe(tag: str, attributes: str) -> tuple[str, int]:
+    """(token name, NOISE, NAMED or 0) of an opening tag: boilerplate by its tag or state, by a class or id name only, or not.
+
+    Class and id names do not make PAGE_TAGS boilerplate.
+    """
+    noise = NOISE * (tag in NOISE_TAGS)
     name = tag
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 name += "".join(f".{_DIGITS.sub('0', v)}" for v in sorted(value.split()))
-                noise = noise or any(p.lower() in NOISE_NAMES for p in _NAME_PART.findall(value))
+                if tag not in PAGE_TAGS and any(p.lower() in NOISE_NAMES for p in _NAME_PART.findall(value)):
+                    noise = max(noise, NAMED)
             elif key == "role":
                 name += f"[{value}]"
-                noise = noise or value.lower() in NOISE_ROLES
+                noise = max(noise, NOISE * (value.lower() in NOISE_ROLES))
             elif key == "hidden" or key == "style" and "display:none" in value.replace(" ", "").lower():
-                noise = True
+                noise = NOISE
     return name, noise
 
 
 class _Open:
-    """An open container: its tag, path, whether it or an outer one is boilerplate."""
+    """An open container: its tag, path, whether it or an outer one is boilerplate (NOISE, NAMED or 0)."""
 
     __slots__ = ("noise", "path", "tag")
 
-    def __init__(self, tag: str, path: str, noise: bool):
+    def __init__(self, tag: str, path: str, noise: int):
         self.tag, self.path, self.noise = tag, path, noise
 
 
-def events(page: str) -> Iterator[tuple[str, object, object]]:
-    """("open", container, None), ("text", decoded text, (container, is link)) and ("break", None, None) in page order."""
-    stack = [_Open("", "", False)]
-    described: dict[tuple[str, str], tuple[str, bool]] = {}
+def events(page: str) -> list[tuple[str, object, object]]:
+    """("open", container, None), ("text", decoded text, (container, is link)) and ("break", None, None) in page order.
+
+    An article inside containers that are boilerplate by name only is none itself if the page has no other article.
+    """
+    found = list(_events(page, False))
+    opened = [what for kind, what, _ in found if kind == "open"]
+    if any(o.noise == NAMED for o in opened) and not any(not o.noise and is_main(o.path) for o in opened):
+        if any(o.noise == NAMED and is_main(o.path) for o in opened):
+            found = list(_events(page, True))
+    return found
+
+
+def _events(page: str, rescue: bool) -> Iterator[tuple[str, object, object]]:
+    stack = [_Open("", "", 0)]
+    described: dict[tuple[str, str], tuple[str, int]] = {}
     link = False
     at = 0
     for m in _MARKUP.finditer(page):
@@ -137,7 +155,10 @@ def events(page: str) -> Iterator[tuple[str, object, object]]:
             stack.pop()  # an open paragraph ends where the next block starts
         if tag in VOID or m.group(4).endswith("/") or not (tag in CONTAINERS or noise):
             continue
-        top = _Open(tag, f"{stack[-1].path}>{name}", noise or stack[-1].noise)
+        outer = stack[-1].noise
+        if outer == NAMED and (tag == "main" or rescue and is_main(name)):
+            outer = 0  # the outer one holds the main slot
+        top = _Open(tag, f"{stack[-1].path}>{name}", max(noise, outer))
         stack.append(top)
         yield "open", top, None
     if at < len(page):
