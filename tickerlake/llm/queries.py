@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, html_template, langid, lm_score, ngram_join, packing, quality, sharding, urlfilter, warc
+from tickerlake.llm import decontaminate, html_template, langid, lm_score, merkle, ngram_join, packing, quality, sharding, urlfilter, warc
 from tickerlake.llm.common import scratch_path, table
 
 
@@ -75,6 +75,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select("doc_id", "source", merkle.leaf(*fields, F.col("text")).alias("leaf"),
+                         F.when(tampered, merkle.leaf(*fields, F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered_leaf"))
+    proofs = merkle.manifest(leaves, "source", "doc_id")
+    folded = merkle.fold(F.col("path"), F.coalesce("tampered_leaf", "leaf"))
+    return (proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lm_score": op2_lm_score,
@@ -86,6 +98,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op12_merkle": op12_merkle,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -115,4 +128,64 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
 from doc left join hit using (r) left join items using (r)
 """
 
-ORACLE: dict[str, str] = {"op5_decontaminate": OP5_SQL}
+# CRC-32 byte by byte over its table, which the reflected polynomial gives.
+OP12_SQL = """
+with recursive crc(i, k, c) as (
+    select range, 0, range from range(256)
+    union all
+    select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from crc where k < 8
+), crc_table as (
+    select list(c order by i) as t from crc where k = 8
+), doc as (
+    select row_number() over () as r, doc_id, source, lang, n_chars, text from documents
+), tampered as (
+    select r, xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295) % 2 = 0 as yes
+    from doc, crc_table
+), field as (
+    select r, doc_id, source, coalesce(yes, false) as yes, text,
+        concat(coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-'),
+            coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+            coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-')) as head
+    from doc left join tampered using (r)
+), leaf as (
+    select r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as h,
+        sha256(head || coalesce(strlen(if(yes, replace(text, chr(10), ''), text)) || ':' || if(yes, replace(text, chr(10), ''), text), '-')) as shown
+    from field
+), node as (
+    select source, 0 as level, row_number() over (partition by source order by doc_id nulls first, h) - 1 as i, h, count(*) over (partition by source) as n
+    from leaf
+    union all
+    select source, level, i, h, count(*) over (partition by source) from (
+        select source, level + 1 as level, i // 3 as i, sha256(string_agg(h, '' order by i)) as h
+        from node where n > 1 group by source, level, i // 3)
+), subroot as (
+    select source, h, row_number() over (order by source nulls first) - 1 as i from node where n = 1
+), top as (
+    select 0 as level, i, h, count(*) over () as n from subroot
+    union all
+    select level, i, h, count(*) over () from (
+        select level + 1 as level, i // 3 as i, sha256(string_agg(h, '' order by i)) as h from top where n > 1 group by level, i // 3)
+), spot as (
+    select r, doc_id, source, h, shown, row_number() over (partition by source order by doc_id nulls first, h) - 1 as i from leaf
+), step as (
+    select p.r, n.level as step, coalesce(string_agg(n.h, '' order by n.i) filter (n.i < p.i // (3 ** n.level)::bigint), '') as l,
+        coalesce(string_agg(n.h, '' order by n.i) filter (n.i > p.i // (3 ** n.level)::bigint), '') as r2
+    from spot p join node n on n.source is not distinct from p.source and n.n > 1 and n.i // 3 = p.i // (3 ** (n.level + 1))::bigint
+    group by p.r, n.level
+    union all
+    select p.r, 1000 + t.level, coalesce(string_agg(t.h, '' order by t.i) filter (t.i < s.i // (3 ** t.level)::bigint), ''),
+        coalesce(string_agg(t.h, '' order by t.i) filter (t.i > s.i // (3 ** t.level)::bigint), '')
+    from spot p join subroot s on s.source is not distinct from p.source join top t on t.n > 1 and t.i // 3 = s.i // (3 ** (t.level + 1))::bigint
+    group by p.r, t.level
+), path as (
+    select r, list({'l': l, 'r': r2} order by step) as steps, sha256(string_agg(l || r2, '' order by step)) as proof_sha256 from step group by r
+), folded as (
+    select p.doc_id, p.h as leaf, s.h as subroot, (select h from top where n = 1) as root, coalesce(proof_sha256, sha256('')) as proof_sha256,
+        list_reduce(list_prepend({'l': p.shown, 'r': ''}, coalesce(steps, [])), lambda a, x: {'l': sha256(x.l || a.l || x.r), 'r': ''}).l as folded_root
+    from spot p join subroot s on s.source is not distinct from p.source left join path using (r)
+)
+select *, folded_root = root as verified from folded
+"""
+
+ORACLE: dict[str, str] = {"op5_decontaminate": OP5_SQL, "op12_merkle": OP12_SQL}
