@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, html_template, langid, lm_score, merkle, ngram_join, packing, quality, sharding, urlfilter, warc
+from tickerlake.llm import decontaminate, divergence, html_template, langid, lm_score, merkle, ngram_join, packing, quality, sharding, urlfilter, warc
 from tickerlake.llm.common import scratch_path, table
 
 
@@ -87,6 +87,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lm_score": op2_lm_score,
@@ -99,6 +103,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
     "op12_merkle": op12_merkle,
+    "op13_divergence": op13_divergence,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -188,4 +193,38 @@ with recursive crc(i, k, c) as (
 select *, folded_root = root as verified from folded
 """
 
-ORACLE: dict[str, str] = {"op5_decontaminate": OP5_SQL, "op12_merkle": OP12_SQL}
+OP13_SQL = r"""
+with doc as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), term as (
+    select lang, source, r, unnest(w) as term from doc
+), kept as (
+    select lang, term, count(*) as n from term group by lang, term having count(distinct r) >= 10
+), lang_total as (
+    select lang, count(*) as v, sum(n) as total from kept group by lang
+), found as (
+    select lang, source, term, count(*) as n from term semi join kept using (lang, term) group by lang, source, term
+), grp as (
+    select lang, source, coalesce(sum(n), 0) as total from (select distinct lang, source from doc) left join found using (lang, source) group by lang, source
+), p as (
+    select lang, source, k.term, coalesce(f.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(f.n, 0) + 2)) // (g.total + 2 * t.v)::hugeint as p,
+        1 + (1000000000::hugeint * (k.n + 2)) // (t.total + 2 * t.v)::hugeint as q
+    from grp g join lang_total t using (lang) join kept k using (lang) left join found f using (lang, source, term)
+), pair as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), part as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from grp a join grp b on a.lang = b.lang and a.source <> b.source
+    left join pair on pair.lang = a.lang and pair.source = a.source and pair.item = b.source
+    union all
+    select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from p where n > 0 and p > q
+)
+select lang, source, part, item, cast(value as bigint) as value,
+    cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from part qualify part = 'pair' or rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op5_decontaminate": OP5_SQL, "op12_merkle": OP12_SQL, "op13_divergence": OP13_SQL}
