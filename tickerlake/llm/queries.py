@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import decontaminate, divergence, html_template, langid, lm_score, merkle, ngram_join, packing, quality, sharding, urlfilter, warc
+from tickerlake.llm import decontaminate, divergence, fingerprint, html_template, langid, lm_score, merkle, ngram_join, packing, quality, sharding, urlfilter, warc
 from tickerlake.llm.common import scratch_path, table
 
 
@@ -75,6 +75,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return fingerprint.compare_edits(docs, fingerprint.corpus_ranks(docs))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_fingerprint": op11_fingerprint,
     "op12_merkle": op12_merkle,
     "op13_divergence": op13_divergence,
 }
