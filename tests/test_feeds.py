@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_MID
+from tests.conftest import SF_MID, SF_SMALL
+from tickerlake.operators import portfolio as pf
 from tickerlake.operators.staging import stage_board
 from tickerlake.sources.feeds import Feeds
 
@@ -23,5 +24,14 @@ def test_feed_statistics(spark):
                        F.count_distinct("trade_id").alias("ids")).first()
     assert (t.n, t.sells, t.ids) == (60000, 20046, 45832)
     h = f.holdings()
-    assert h.count() == 100 and h.where("status = 'active'").count() == 87
+    assert h.count() == 500 and h.where("status = 'active'").count() == 437
     assert f.tax().select("broker", "period_month").distinct().count() == 397
+
+
+def test_some_holdings_are_priced_at_every_scale(spark):
+    """About as many of the active holdings are on the latest board at each scale, none at none."""
+    for sf in (SF_SMALL, SF_MID):
+        f = Feeds(spark, sf)
+        active = pf.holdings_active(f.holdings()).count()
+        priced = pf.portfolio_snapshot(f.holdings(), stage_board(f.board())).count()
+        assert 0.08 < priced / active < 0.3

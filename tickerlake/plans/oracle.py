@@ -66,11 +66,11 @@ sector_map AS (
 )""",
     "holdings": """
 holdings AS (
-  SELECT 'C' || CAST(s_suppkey AS VARCHAR) AS symbol, n_name AS sector,
-         CAST(s_suppkey % 40 + 1 AS BIGINT) AS qty_held,
-         CAST(abs(s_acctbal) + 100000 AS DECIMAL(18,4)) AS avg_buy_rate,
-         CASE WHEN s_suppkey % 8 = 0 THEN 'sold' ELSE 'active' END AS status
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  SELECT 'C' || CAST(c_custkey AS VARCHAR) AS symbol, n_name AS sector,
+         CAST(c_custkey % 40 + 1 AS BIGINT) AS qty_held,
+         CAST(abs(c_acctbal) + 100000 AS DECIMAL(18,4)) AS avg_buy_rate,
+         CASE WHEN c_custkey % 8 = 0 THEN 'sold' ELSE 'active' END AS status
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 = 0
 )""",
     "trades": """
 trades AS (

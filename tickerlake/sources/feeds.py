@@ -7,7 +7,7 @@ shared test tables so that every mart's work grows with the data:
 * ``bars``       one bar per (nation, order day) and per (event type, day)
 * ``board``      one raw, text-typed board row per order (dirty on purpose)
 * ``sector_map`` customer-key buckets mapped to region names
-* ``holdings``   one position per supplier
+* ``holdings``   one position per third customer
 * ``trades``     one buy/sell per line item
 * ``tax``        one tax line per order
 
@@ -116,14 +116,14 @@ def sector_map_feed(customer: DataFrame, region: DataFrame) -> DataFrame:
                     F.col("r_name").alias("sector")))
 
 
-def holdings_feed(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """One position per supplier; only customers with orders are quoted on the board."""
-    k = F.col("s_suppkey")
-    return (supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+def holdings_feed(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """One position per third customer; those that ordered in the board's last month are quoted there."""
+    k = F.col("c_custkey")
+    return (customer.where(k % 3 == 0).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.concat(F.lit("C"), _s(k)).alias("symbol"),
                     F.col("n_name").alias("sector"),
                     (k % 40 + 1).cast("bigint").alias("qty_held"),
-                    _money(F.abs("s_acctbal") + 100000).alias("avg_buy_rate"),
+                    _money(F.abs("c_acctbal") + 100000).alias("avg_buy_rate"),
                     F.when(k % 8 == 0, F.lit("sold")).otherwise(F.lit("active")).alias("status")))
 
 
@@ -193,7 +193,7 @@ class Feeds:
         return sector_map_feed(self.table("customer"), self.table("region"))
 
     def holdings(self) -> DataFrame:
-        return holdings_feed(self.table("supplier"), self.table("nation"))
+        return holdings_feed(self.table("customer"), self.table("nation"))
 
     def trades(self) -> DataFrame:
         return trades_feed(self.table("lineitem"))
