@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickerlake.operators import portfolio as pf
@@ -79,8 +80,60 @@ def test_summary_totals_equal_snapshot_sums(spark):
     assert abs(w - 100) < D("0.5")
 
 
-def test_hot_pair_in_pnl_join_is_split(spark):
-    """AQE's skew join splits the sells of a pair that holds most of them; nothing is broadcast by hint."""
+def half_up(x, places):
+    return x.quantize(D(1).scaleb(-places), rounding="ROUND_HALF_UP")
+
+
+@pytest.mark.parametrize("bucket_days", [3, 92])
+def test_asof_average_cost_equals_a_loop(spark, bucket_days):
+    """Every sell against a loop over the buys dated up to it: gaps, ties in a day, undated rows, unknown rates."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(260):
+        kind = rng.choice(["buy", "buy", "sell", "dividend"])
+        day = dt.date(2024, 1, 1) + dt.timedelta(days=rng.choice([0, 1, 1, 2, 5, 9, 30, 31, 91, 92, 200]))
+        rows.append((str(i), rng.choice(["A", "A", "A", "B", None]), rng.choice(["X", "X", "Y", None]), kind,
+                     None if i % 29 == 0 else day, None if i % 31 == 0 else rng.randint(1, 9), None if i % 37 == 0 else D(rng.randint(100, 999)) / 100,
+                     D(rng.randint(0, 9)) / 10, None, D("0.02"), None, None, None))
+    got = {r.trade_id: r for r in pf.realized_trades_asof(spark.createDataFrame(rows, TRADES), bucket_days).collect()}
+    assert len(got) == sum(r[3] == "sell" for r in rows)
+    known = 0
+    for t in rows:
+        if t[3] != "sell":
+            continue
+        r = got[t[0]]
+        buys = [b for b in rows if b[3] == "buy" and None not in (*b[1:3], b[4], *t[1:3], t[4]) and b[1:3] == t[1:3] and b[4] <= t[4]]
+        qty = sum(b[5] for b in buys if b[5] is not None)
+        if not qty:
+            assert r.avg_buy_rate is None and r.net_pnl is None
+            continue
+        rate = half_up(sum(b[5] * b[6] for b in buys if None not in b[5:7]) / D(qty), 4)
+        assert r.avg_buy_rate == rate
+        if None in t[5:7]:
+            assert r.net_pnl is None
+            continue
+        known += 1
+        share = half_up(sum((b[7] + b[9] for b in buys), D(0)) * t[5] / D(qty), 12)
+        assert r.cost_basis == t[5] * rate and r.allocated_charges == t[7] + t[9] + share
+        assert r.net_pnl == t[5] * t[6] - t[5] * rate - t[7] - t[9] - share
+    assert known > 15
+
+
+def test_asof_with_only_earlier_buys_equals_the_overall_average(spark):
+    rows = [trade("1", "A", "X", "buy", 1, 10, "10.00", comm="1.00"), trade("2", "A", "X", "sell", 1, 4, "12.00"),
+            trade("3", "A", "X", "buy", 2, 20, "10.05"), trade("4", "A", "X", "sell", 2, 4, "12.00")]
+    df = spark.createDataFrame(rows, TRADES)
+    got = {r.trade_id: r.avg_buy_rate for r in pf.realized_trades_asof(df).collect()}
+    assert got == {"2": D("10.0000"), "4": D("10.0333")}
+    assert {r.avg_buy_rate for r in pf.realized_trades(df).collect()} == {D("10.0333")}
+    assert pf.avg_buy_asof(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("realized", [pf.realized_trades, pf.realized_trades_asof])
+def test_hot_pair_in_pnl_join_is_split(spark, realized):
+    """AQE's skew join splits the sells of a pair (and day) that holds most of them; nothing is broadcast by hint."""
     n = 60_000
     i = F.col("id")
     df = spark.range(0, n, numPartitions=8).select(
@@ -88,11 +141,11 @@ def test_hot_pair_in_pnl_join_is_split(spark):
         F.when(i < n * 9 // 10, "HOT").otherwise(F.concat(F.lit("B"), i % 50)).alias("broker"),
         F.when(i < n * 9 // 10, "X").otherwise(F.concat(F.lit("S"), i % 500)).alias("symbol"),
         F.when(i % 20 == 0, "buy").otherwise("sell").alias("trade_type"),
-        F.date_add(F.lit("2024-01-01"), (i % 28).cast("int")).alias("trade_date"),
+        F.date_add(F.lit("2024-01-01"), F.when(i < n * 9 // 10, 0).otherwise(i % 28).cast("int")).alias("trade_date"),
         (1 + i % 3).alias("qty"), F.lit("10.0000").cast("decimal(18,4)").alias("gross_rate"),
         *[F.lit("0.1000").cast("decimal(18,4)").alias(c) for c in ("comm", "cdc_amt", "lsn", "sst", "net_amount")],
         F.sha2(i.cast("string"), 256).alias("reason"))
-    plain = pf.realized_trades(df).agg(F.count(F.lit(1)), F.sum("net_pnl"), F.sum("sell_qty")).first()
+    plain = realized(df).agg(F.count(F.lit(1)), F.sum("net_pnl"), F.sum("sell_qty")).first()
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -101,7 +154,7 @@ def test_hot_pair_in_pnl_join_is_split(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = pf.realized_trades(df)
+        out = realized(df)
         split = out.agg(F.count(F.lit(1)), F.sum("net_pnl"), F.sum("sell_qty")).first()
         out.write.format("noop").mode("overwrite").save()
         rows = out.collect()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tickerlake.functions.numeric import coalesce0, pct_of, ratio
+from tickerlake.operators.rolling import DEFAULT_BUCKET_DAYS, day_bucket
 
 # Types that keep all 12 places of an allocated charge through the sums below:
 # wider operands would make Spark fall back to 6 fractional digits.
@@ -119,11 +120,19 @@ def realized_trades(trades: DataFrame) -> DataFrame:
     both sides of the join get an exchange of their own and AQE's skew join
     can split the sells of a hot pair (it cannot split next to an aggregate).
     """
-    sells = trades.where(F.col("trade_type") == "sell").select(
+    buys = avg_buy(trades).withColumn("_pair", _pair_key())
+    return _realized(_sells(trades).join(buys, ["broker", "symbol", "_pair"], "left"))
+
+
+def _sells(trades: DataFrame) -> DataFrame:
+    return trades.where(F.col("trade_type") == "sell").select(
         "trade_id", "broker", "symbol", F.col("trade_date").alias("sell_date"),
         F.col("qty").alias("sell_qty"), F.col("gross_rate").alias("sell_rate"),
         _charges().alias("sell_charges"), "reason", _pair_key())
-    j = sells.join(avg_buy(trades).withColumn("_pair", _pair_key()), ["broker", "symbol", "_pair"], "left")
+
+
+def _realized(j: DataFrame) -> DataFrame:
+    """Proceeds, cost, charges and P&L of sells that carry their average buy."""
     q, rate, avg = F.col("sell_qty"), F.col("sell_rate"), F.col("avg_buy_rate")
     proceeds = q * rate
     cost = q * avg
@@ -142,6 +151,53 @@ def realized_trades(trades: DataFrame) -> DataFrame:
     )
 
 
+def avg_buy_asof(trades: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+    """Average buy rate and buy totals of each (broker, symbol) as of each day that it sells on.
+
+    Only buys dated up to and including that day count; undated buys never do.
+    The columns are those of ``avg_buy`` plus ``trade_date``.
+
+    Scale: buys and sells are first summed up by pair and day, so a hot pair
+    is at most one row a calendar day.  Running totals are taken within
+    (pair, bucket of days) and start from what the earlier buckets add up to,
+    a window over one row for each bucket; there is no range join.
+    """
+    pair = ["broker", "symbol"]
+    buy = F.col("trade_type") == "buy"
+    q, r = F.col("qty"), F.col("gross_rate")
+    sums = ("_amount", "_qty", "_charges")
+    daily = (trades.where(F.col("trade_type").isin("buy", "sell")).dropna(subset=[*pair, "trade_date"])
+             .groupBy(*pair, "trade_date").agg(
+                 F.sum(F.when(buy, q * r)).alias("_amount"), F.sum(F.when(buy, q)).alias("_qty"),
+                 F.sum(F.when(buy, _charges())).alias("_charges"), F.max(~buy).alias("_sold"))
+             .withColumn("_bucket", day_bucket("trade_date", bucket_days)))
+    totals = daily.groupBy(*pair, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    before = Window.partitionBy(*pair).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*pair, "_bucket", *[F.sum(c).over(before).alias(f"{c}_before") for c in sums])
+    upto = Window.partitionBy(*pair, "_bucket").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def running(c: str):
+        own, earlier = F.sum(c).over(upto), F.col(f"{c}_before")
+        return F.when(earlier.isNull(), own).when(own.isNull(), earlier).otherwise(own + earlier).alias(c)
+
+    series = daily.join(carried, [*pair, "_bucket"]).select(*pair, "trade_date", "_sold", *[running(c) for c in sums])
+    return series.where("_sold").select(
+        *pair, "trade_date", F.round(ratio(F.col("_amount"), F.col("_qty")), 4).alias("avg_buy_rate"),
+        F.col("_qty").alias("total_buy_qty"), F.col("_charges").alias("total_buy_charges"))
+
+
+def realized_trades_asof(trades: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+    """``realized_trades`` against the average buy as of the day of the sell.
+
+    Later buys neither change a sell's cost nor take part of its charges; a
+    sell with no buy up to its day keeps NULL cost and P&L.  As there, an
+    extra key gives the join exchanges of its own, so that AQE can split a
+    pair that sells a lot on one day.
+    """
+    asof = avg_buy_asof(trades, bucket_days).withColumnRenamed("trade_date", "sell_date").withColumn("_pair", _pair_key())
+    return _realized(_sells(trades).join(asof, ["broker", "symbol", "sell_date", "_pair"], "left"))
+
+
 def realized_totals(trades: DataFrame) -> DataFrame:
     """One row: total net P&L (0 when none) and closed trades, without the per-sell join.
 

@@ -207,6 +207,16 @@ def _realized_pnl(f: Feeds) -> DataFrame:
     return pf.realized_totals(f.trades())
 
 
+@query("avg_buy_asof")
+def _avg_buy_asof(f: Feeds) -> DataFrame:
+    return pf.avg_buy_asof(f.trades())
+
+
+@query("portfolio_trades_asof")
+def _portfolio_trades_asof(f: Feeds) -> DataFrame:
+    return pf.realized_trades_asof(f.trades())
+
+
 @query("tax_summary")
 def _tax_summary(f: Feeds) -> DataFrame:
     return pf.tax_summary(f.tax())

@@ -274,13 +274,32 @@ realized AS (
   WHERE s.trade_type = 'sell'
 )"""
 
-ORACLE["portfolio_trades"] = with_feeds(f"""
+_REALIZED_OUT = f"""
 SELECT trade_id, broker, symbol, sell_date, sell_qty, CAST(sell_rate AS DOUBLE) AS sell_rate,
        CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(gross_proceeds AS DOUBLE) AS gross_proceeds,
        CAST(cost_basis AS DOUBLE) AS cost_basis, CAST(gross_pnl AS DOUBLE) AS gross_pnl,
        {exact('allocated_charges')} AS allocated_charges, {exact('net_pnl')} AS net_pnl,
        CAST(gross_pnl_pct AS DOUBLE) AS gross_pnl_pct, reason
-FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
+FROM realized"""
+ORACLE["portfolio_trades"] = with_feeds(_REALIZED_OUT, "trades", extra=(_AVG_BUY, _REALIZED))
+
+# As of each day: every buy of the pair dated up to it, summed by a range join.
+_AVG_BUY_ASOF = f"""
+avg_buy AS (
+  SELECT s.broker, s.symbol, s.trade_date,
+         {xround('sum(b.qty * b.gross_rate)', 'sum(b.qty)', 4)} AS avg_buy_rate,
+         sum(b.qty) AS total_buy_qty, sum({_CHARGES.replace('coalesce(', 'coalesce(b.')}) FILTER (b.trade_type = 'buy') AS total_buy_charges
+  FROM (SELECT DISTINCT broker, symbol, trade_date FROM trades WHERE trade_type = 'sell') s
+  LEFT JOIN trades b ON b.trade_type = 'buy' AND b.broker = s.broker AND b.symbol = s.symbol AND b.trade_date <= s.trade_date
+  WHERE s.broker IS NOT NULL AND s.symbol IS NOT NULL AND s.trade_date IS NOT NULL
+  GROUP BY s.broker, s.symbol, s.trade_date
+)"""
+ORACLE["avg_buy_asof"] = with_feeds("""
+SELECT broker, symbol, trade_date, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, CAST(total_buy_qty AS BIGINT) AS total_buy_qty,
+       CAST(total_buy_charges AS DOUBLE) AS total_buy_charges
+FROM avg_buy""", "trades", extra=(_AVG_BUY_ASOF,))
+ORACLE["portfolio_trades_asof"] = with_feeds(_REALIZED_OUT, "trades", extra=(
+    _AVG_BUY_ASOF, _REALIZED.replace("s.symbol = b.symbol", "s.symbol = b.symbol AND s.trade_date = b.trade_date")))
 ORACLE["realized_pnl"] = with_feeds(f"""
 SELECT {exact('coalesce(sum(net_pnl), 0)')} AS realized_pnl, count(*) AS closed_trades
 FROM realized""", "trades", extra=(_AVG_BUY, _REALIZED))
