@@ -27,8 +27,6 @@ def test_build_all_and_checks(spark, scratch):
     for name in ("stg_board.id.unique", "stg_bars.symbol_price_date.unique", "snapshot.symbol.in_holdings",
                  "indicators.symbol.unique", "summary.holdings_count.positive"):
         assert rep[name] == 0, name
-    marts["stg_board"].unpersist()
-    marts["portfolio_snapshot"].unpersist()
 
 
 def test_load_trades_seed_parses_month_first_dates(spark, scratch):
@@ -57,7 +55,7 @@ def test_stored_bars_round_trip_and_prune(spark, scratch, capsys):
 def test_register_views_exposes_marts_to_sql(spark):
     from tickerlake.plans.build import register_views
 
-    marts = build_all(_inputs(spark), persist=False)
+    marts = build_all(_inputs(spark), share=None)
     register_views(marts)
     n = spark.sql("SELECT count(*) AS n FROM top_movers WHERE change_pct IS NOT NULL").first().n
     assert n == marts["top_movers"].count() > 0
@@ -86,9 +84,40 @@ def test_tax_seed_pads_short_lines_and_fails_on_bad_values(spark, scratch):
             load(name, line)
 
 
+def test_failed_check_leaves_the_published_version(spark, scratch):
+    """Publish, refuse a build with a failed check, refuse one that dies, publish again: what readers resolve after each."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tickerlake.plans import publish as pub
+
+    good, base = _inputs(spark), f"{scratch}/gold"
+    bad = dict(good, bars=good["bars"].unionByName(good["bars"].where("id % 50 = 0")))
+    with pytest.raises(FileNotFoundError):
+        pub.read_live(spark, base, "stg_bars")
+    with pytest.raises(dq.QualityError, match="stg_bars.symbol_price_date.unique"):
+        pub.publish(bad, base)
+    assert pub.live_version(spark, base) is None
+    first = pub.publish(good, base)
+    n = good["bars"].count()
+    old = pub.read_live(spark, base, "stg_bars")
+    with pytest.raises(dq.QualityError):
+        pub.publish(bad, base)
+    broken = dict(good, tax=good["tax"].withColumn("period_month", F.raise_error(F.lit("lost source")).cast("string")))
+    with pytest.raises(Exception, match="lost source"):
+        pub.publish(broken, base)
+    assert pub.live_version(spark, base) == first and pub.read_live(spark, base, "stg_bars").count() == n
+    second = pub.publish(dict(good, bars=good["bars"].where("id % 50 != 0")), base)
+    assert pub.live_version(spark, base) == second != first
+    assert pub.read_live(spark, base, "stg_bars").count() < n == old.count()  # a resolved reader keeps its version
+    with pytest.raises(Exception, match="already exists"):  # a publisher that took the same number
+        spark.createDataFrame([("x",)], "version string").write.parquet(f"{base}/published/seq=2")
+
+
 def test_build_and_check_leaves_nothing_cached(spark, scratch):
     from tickerlake.plans.build import build_and_check
 
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     assert build_and_check(_inputs(spark), f"{scratch}/gold", raise_on_failure=False).count() == 33
+    assert build_and_check(_inputs(spark)).count() == 33
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

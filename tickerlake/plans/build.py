@@ -3,10 +3,10 @@
 ``build_all`` wires the marts in dependency order and returns them lazily;
 ``materialize`` writes them (full rebuild) and ``build_and_check`` runs the
 33 declared checks on the result.  The silver board feeds four marts and is
-persisted once; it is small (one row per snapshot and symbol) but costly to
+stored once; it is small (one row per snapshot and symbol) but costly to
 derive (a de-duplication over the whole raw board).  The portfolio snapshot
-is persisted for the same reason.  Persisted blocks lost with an executor are
-recomputed from lineage, so persistence never affects results.
+is stored for the same reason.  With an output folder, ``build_and_check`` goes
+through ``publish``: marts go live only when their checks have passed.
 """
 
 from __future__ import annotations
@@ -24,24 +24,22 @@ from tickerlake.session import ensure_checkpoint_dir
 INPUTS = ("board", "bars", "sector_map", "holdings", "trades", "tax")
 
 
-def build_all(inputs: dict[str, DataFrame], persist: bool = True, share: str | None = None) -> dict[str, DataFrame]:
+def build_all(inputs: dict[str, DataFrame], share: str | None = "checkpoint") -> dict[str, DataFrame]:
     """All marts in dependency order.
 
     ``share`` decides how the silver board and the portfolio snapshot (each
-    read by several marts) are shared: ``"persist"`` caches them (the default
-    when ``persist`` is true; the caller unpersists), ``"checkpoint"`` writes
-    them once to the session's shared checkpoint folder (cuts lineage, leaves
-    nothing cached), ``None`` recomputes them per reader.
+    read by several marts) are shared: ``"checkpoint"`` writes them once to
+    the session's shared checkpoint folder (cuts lineage, leaves nothing
+    cached), ``"persist"`` caches them (the caller unpersists), ``None``
+    recomputes them per reader.
     """
     missing = [k for k in INPUTS if k not in inputs]
     if missing:
         raise KeyError(f"missing inputs: {missing}")
-    mode = share if share is not None else ("persist" if persist else None)
-
     def shared(df: DataFrame) -> DataFrame:
-        if mode == "persist":
+        if share == "persist":
             return df.persist(StorageLevel.MEMORY_AND_DISK)
-        if mode == "checkpoint":
+        if share == "checkpoint":
             ensure_checkpoint_dir(df.sparkSession)
             return df.checkpoint(eager=True)
         return df
@@ -107,23 +105,34 @@ def materialize(marts: dict[str, DataFrame], base_path: str, mode: str = "overwr
 
 def build_and_check(inputs: dict[str, DataFrame], base_path: str | None = None,
                     raise_on_failure: bool = True) -> DataFrame:
-    """Build, optionally write, then evaluate the declared checks; raise on failure.
+    """Build and evaluate the declared checks; raise on failure.
 
-    With ``base_path`` the checks read the written tables back, so they
-    neither recompute the marts nor depend on the build's lineage.  Nothing
+    With ``base_path`` the build is written to a version folder below it,
+    checked there, and published only if every check passes (see
+    ``publish``); readers of the version before are not disturbed.  Nothing
     stays cached.
     """
-    tables = dict(build_stored(inputs, base_path) if base_path else build_all(inputs, share="checkpoint"))
-    tables["holdings"] = inputs["holdings"]
-    report = dq.quality_report(dq.standard_checks(), tables)
-    if raise_on_failure:
-        dq.assert_quality(report)
-    return report
+    if base_path is None:
+        tables = dict(build_all(inputs), holdings=inputs["holdings"])
+        report = dq.quality_report(dq.standard_checks(), tables)
+        if raise_on_failure:
+            dq.assert_quality(report)
+        return report
+    from tickerlake.plans import publish as pub
+
+    spark = inputs["board"].sparkSession
+    version = pub.write_checked(inputs, base_path)
+    try:
+        pub.make_live(spark, base_path, version)
+    except dq.QualityError:
+        if raise_on_failure:
+            raise
+    return pub.read_report(spark, base_path, version)
 
 
 def main(argv: list[str]) -> int:
     """``python -m tickerlake.plans.build <sf_dir> <out_dir>``: build from the test-table feeds,
-    write the gold marts, run the 33 checks, print the report rows."""
+    run the 33 checks, publish the marts if all pass, print the report rows."""
     import json
 
     from tickerlake.session import get_session

@@ -21,6 +21,7 @@ from tickerlake.operators import portfolio as pf
 from tickerlake.operators import quality as dq
 from tickerlake.operators import report as rpt
 from tickerlake.operators import staging as stg
+from tickerlake.plans.build import GOLD, build_stored
 from tickerlake.sources import ingest as ing
 from tickerlake.sources.feeds import Feeds
 from tickerlake.streaming import bars as sbars
@@ -305,8 +306,6 @@ def _inputs(f: Feeds) -> dict[str, DataFrame]:
 
 def mart_tables(f: Feeds) -> dict[str, DataFrame]:
     """The datasets under check, stored once and read back."""
-    from tickerlake.plans.build import build_stored
-
     inputs = _inputs(f)
     names = ("portfolio_snapshot", "portfolio_summary", "technical_indicators")
     return {**build_stored(inputs, _landing(f, "checked"), names), "holdings": inputs["holdings"]}
@@ -317,6 +316,34 @@ def _dq_report(f: Feeds) -> DataFrame:
     return dq.quality_report(dq.standard_checks(), mart_tables(f))
 
 
+@query("publish_gate")
+def _publish_gate(f: Feeds) -> DataFrame:
+    """A build that passes its checks and one that does not (some bars twice), and what readers resolve then.
+
+    Attempts 1 and 2: the checks and their failures.  Attempt 0: the rows of each dataset that is live afterwards.
+    """
+    from tickerlake.plans import publish as pub
+
+    base, inputs = _landing(f, "publish"), _inputs(f)
+    twice = inputs["bars"].where(F.col("id") % 50 == 0)
+    first = pub.publish(inputs, base)
+    second = pub.write_checked(dict(inputs, bars=inputs["bars"].unionByName(twice)), base)
+    try:
+        pub.make_live(f.spark, base, second)
+    except dq.QualityError:
+        pass
+    out = None
+    for attempt, version in ((1, first), (2, second)):
+        report = pub.read_report(f.spark, base, version)
+        part = report.select(F.lit(attempt).alias("attempt"), F.col("check_name").alias("item"), F.col("failures").alias("n"), "passed")
+        out = part if out is None else out.unionByName(part)
+    for name in ("stg_board", "stg_bars", *GOLD):
+        live = pub.read_live(f.spark, base, name)
+        out = out.unionByName(live.agg(F.count("*").alias("n")).select(
+            F.lit(0).alias("attempt"), F.lit(name).alias("item"), "n", F.lit(True).alias("passed")))
+    return out
+
+
 # --- report ----------------------------------------------------------------------------------
 
 @query("report_summary")
@@ -452,8 +479,6 @@ def _digest(name: str, df: DataFrame) -> DataFrame:
 @query("build_all")
 def _build_all(f: Feeds) -> DataFrame:
     """The full build: every dataset written to the shared folder, read back and digested by column."""
-    from tickerlake.plans.build import build_stored
-
     parts = [_digest(name, df) for name, df in build_stored(_inputs(f), _landing(f, "build")).items()]
     out = parts[0]
     for p in parts[1:]:
