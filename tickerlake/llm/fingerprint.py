@@ -253,7 +253,8 @@ def with_next(documents: DataFrame, make, schema: str, range_bytes: int = RANGE_
 
     The first ids of the ranges (about one for every ``range_bytes`` of text)
     are ids of the table, found by Spark's approximate percentiles; only they
-    come to the driver.  Texts are compressed for the one shuffle.
+    come to the driver and back to the tasks, 8 bytes for each range.  Texts are
+    compressed for the one shuffle.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -270,7 +271,7 @@ def with_next(documents: DataFrame, make, schema: str, range_bytes: int = RANGE_
     kind = documents.schema["doc_id"].dataType.simpleString()
     order = F.xxhash64("text").alias("h")
     firsts = spark.createDataFrame([(e,) for e in edges.tolist()] + [(None,)], f"edge {kind}")
-    heads = (rows.join(firsts, F.col("doc_id").eqNullSafe(F.col("edge")), "left_semi").groupBy("doc_id")
+    heads = (rows.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("edge")), "left_semi").groupBy("doc_id")
              .agg(F.min(F.struct(order, "text")).alias("x")).select("doc_id", "x.text", "x.h", F.lit(True).alias("head")))
 
     def packed():
@@ -284,7 +285,7 @@ def with_next(documents: DataFrame, make, schema: str, range_bytes: int = RANGE_
 
     dealt = map_rows(rows.select("doc_id", "text", order, F.lit(False).alias("head")).union(heads.select("doc_id", "text", "h", "head")),
                      packed, f"part long, head boolean, doc_id {kind}, h long, packed binary")
-    sorted_ = dealt.repartition("part").sortWithinPartitions("part", "head", F.desc_nulls_last("doc_id"), "h").select("part", "head", "doc_id", "packed")
+    sorted_ = dealt.repartitionById(max(1, ranges), F.col("part").cast("int")).sortWithinPartitions("part", "head", F.desc_nulls_last("doc_id"), "h").select("part", "head", "doc_id", "packed")
 
     def chained():
         unpress, fn, last = zstandard.ZstdDecompressor(), make(), []
