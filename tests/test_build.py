@@ -47,9 +47,15 @@ def test_stored_bars_round_trip_and_prune(spark, scratch, capsys):
     bars = Feeds(spark, "/root/testdata/sf0.001").bars()
     tables.write_bars(bars, f"{scratch}/bars")
     back = tables.read_bars(spark, f"{scratch}/bars")
-    assert back.count() == bars.count()
-    spark.read.parquet(f"{scratch}/bars").where(F.col("price_month") == "2024-01").explain()
+    assert back.count() == bars.count() and back.columns == bars.columns
+    lo, hi = dt.date(1996, 2, 10), dt.date(1997, 3, 20)
+    part = tables.read_bars(spark, f"{scratch}/bars", since=lo, until=hi)
+    day = F.col("price_date")
+    assert part.exceptAll(bars.where(day.between(lo, hi))).isEmpty() and part.count() == bars.where(day.between(lo, hi)).count() > 0
+    part.explain()
     assert "PartitionFilters: [isnotnull(price_month" in capsys.readouterr().out
+    only = tables.read_bars(spark, f"{scratch}/bars", since=hi)
+    assert only.count() == bars.where(day >= hi).count()
 
 
 def test_register_views_exposes_marts_to_sql(spark):

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickerlake.functions.formatting import fmt_int, fmt_money, fmt_ratio, fmt_signed_pct, sign_color
@@ -138,3 +139,66 @@ def test_values_that_do_not_fit_are_quarantined(spark):
     assert [r.symbol for r in good.collect()] == ["ok"] and good.columns == QUOTES.fieldNames()
     assert {r.symbol: r.reason for r in bad.collect()} == {
         "big": "bad value", "nan": "bad value", "vol": "bad value", "none": "missing field"}
+
+
+def test_mark_comes_from_footers(spark, scratch):
+    """The mark of a stored target: pushed into the footers, settings restored, 0 for no table; copies are apart by id."""
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList")
+    source = spark.range(1, 5001).withColumn("x", F.col("id") * 2).repartition(4)
+    assert ing.stored_mark(spark, f"{scratch}/t", source.schema) == 0
+    for top, n in ((1200, 1200), (1200, 0), (3000, 1800), (5000, 2000)):
+        assert ing.copy_new_rows(spark, source.where(F.col("id") <= top), f"{scratch}/t") == n
+        seen = []
+        plain = ing.high_water_mark
+        ing.high_water_mark = lambda df, c, seen=seen: (seen.append(df.agg(F.max(c))._jdf.queryExecution().executedPlan().toString()), plain(df, c))[1]
+        try:
+            assert ing.stored_mark(spark, f"{scratch}/t", source.schema) == top
+        finally:
+            ing.high_water_mark = plain
+        assert "PushedAggregation: [MAX(id)]" in seen[0]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == v1
+    target = spark.read.schema(source.schema).parquet(f"{scratch}/t")
+    assert target.count() == 5000
+    ranges = ing.id_ranges(target)
+    assert ranges.count() >= 3 and ranges.where("not apart").isEmpty()
+
+
+def test_files_that_overlap_are_not_apart(spark, scratch):
+    spark.range(0, 100).coalesce(1).write.parquet(f"{scratch}/t")
+    spark.range(50, 150).coalesce(1).write.mode("append").parquet(f"{scratch}/t")
+    assert ing.id_ranges(spark.read.parquet(f"{scratch}/t")).where("not apart").count() == 1
+
+
+def test_damaged_file_is_reported_once(spark, scratch):
+    """Good files load; a damaged file and one without a record are a row each, whatever stands in their names."""
+    rows = [("ABC.KA", "2025-01-02 00:00:00", 1.0), ("XYZ.KA", "2025-01-03 00:00:00", 2.0)]
+    quotes = spark.createDataFrame(rows, "symbol string, ts string, close double").withColumn("ts", F.to_timestamp("ts")).coalesce(1)
+    for k in (1, 2):
+        quotes.write.parquet(f"{scratch}/in/good {k}+a%20")
+    quotes.limit(0).coalesce(1).write.parquet(f"{scratch}/in/none")
+    with open(f"{scratch}/in/torn %20+b.parquet", "wb") as fh:
+        fh.write(b"PAR1 and then nothing")
+    read = ing.read_quotes(spark, f"{scratch}/in", fmt="parquet", isolate=True)
+    assert read.count() == 4
+    bad = [r.file for r in ing.files_without_records(spark, f"{scratch}/in", read).collect()]
+    assert len(bad) == 2 and any(x.endswith("/torn %20+b.parquet") for x in bad) and any("/none/" in x for x in bad)
+    with pytest.raises(Exception):
+        ing.read_quotes(spark, f"{scratch}/in/*.parquet", fmt="parquet").count()
+
+
+def test_table_by_ddl_and_insert_by_position(spark, scratch):
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.types import StructType
+
+    from tickerlake.plans import build
+
+    schema = StructType.fromDDL("a string, b bigint")
+    ing.ensure_table(spark, "positional_t", schema, f"{scratch}/t")
+    ing.append_positional(spark.createDataFrame([("x", 1)], "b string, a bigint"), "positional_t")
+    ing.ensure_table(spark, "positional_t", schema, f"{scratch}/t")  # exists: rows stay
+    for wrong in ("b string", "a string, b bigint, c int"):
+        frame = spark.createDataFrame([], wrong)
+        with pytest.raises(AnalysisException):
+            ing.append_positional(frame, "positional_t")
+    build.create_view(spark, "positional_v", "SELECT b AS n FROM positional_t WHERE a = 'x'")
+    assert [tuple(r) for r in spark.newSession().sql("SELECT n FROM positional_v").collect()] == [(1,)]

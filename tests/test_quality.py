@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tickerlake.operators import quality as dq
 
 
@@ -59,3 +61,32 @@ def test_relationship_on_unique_key_is_fused_and_counts_rows(spark):
     # Z (2 rows) and Y (1 row) have no parent; NULL keys are not checked
     assert rep == {"sym.unique": 2, "sym.fk": 3, "qty.small": 2}
     assert dq.relationships(child, "sym", parent, "sym").count() == 3
+
+
+def test_hot_orphan_is_split(spark):
+    """Rows of a missing key that holds most of the child are dealt to several tasks by AQE; the rows are those of an anti-join."""
+    n = 60_000
+    i = F.col("id")
+    child = spark.range(0, n, numPartitions=8).select(
+        "id", F.when(i < n * 9 // 10, "HOT").when(i % 100 == 0, None).otherwise(F.concat(F.lit("K"), i % 500)).alias("key"),
+        F.sha2(i.cast("string"), 256).alias("pad"))
+    parent = spark.range(250).select(F.concat(F.lit("K"), "id").alias("name"))
+    parent = parent.union(parent)  # repeated parents do not repeat rows
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = dq.relationships(child, "key", parent, "name")
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan and out.columns == child.columns
+    expected = {x for x in range(n) if x < n * 9 // 10 or (x % 100 and x % 500 >= 250)}
+    assert len(rows) == len(expected) and {r.id for r in rows} == expected
+    assert dq.relationships(child, "key", parent, "name", where="id >= 59000").count() == len([x for x in expected if x >= 59000])

@@ -9,7 +9,7 @@ and everything is unioned into one small (check, failures, passed) table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,11 +38,21 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
                   where=None) -> DataFrame:
-    """Child rows whose non-NULL key is absent from the parent (anti-join)."""
-    c = child if where is None else child.where(_pred(where))
-    keys = parent.select(F.col(parent_column).alias("_parent_key")).distinct()
-    return (c.where(F.col(column).isNotNull())
-            .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
+    """Child rows whose non-NULL key is absent from the parent.
+
+    Scale: the missing keys are found first, from the distinct child keys (a
+    hot key is one row for each task there), and only they are joined back to
+    the rows.  That join carries one more key, a hash of the key, which
+    nothing before it is partitioned by: both sides get an exchange of their
+    own, so AQE can broadcast few missing keys or split a hot orphan.
+    """
+    c = (child if where is None else child.where(_pred(where))).where(F.col(column).isNotNull())
+    keys = c.select(F.col(column).alias("_key")).distinct()
+    parents = parent.select(F.col(parent_column).alias("_parent_key"))
+    missing = keys.join(parents, F.col("_key") == F.col("_parent_key"), "left_anti").withColumn("_hash", F.xxhash64("_key"))
+    rows = c.withColumn("_child_hash", F.xxhash64(column))
+    return (rows.join(missing, (F.col(column) == F.col("_key")) & (F.col("_child_hash") == F.col("_hash")))
+            .select(*[F.col(f"`{x}`") for x in child.columns]))
 
 
 def expression_is_true(df: DataFrame, expression, where=None) -> DataFrame:
@@ -65,7 +75,6 @@ class Check:
     where: str | None = None
     parent: str | None = None
     parent_column: str | None = None
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def row_condition(self) -> Column | None:
         """Per-row failure condition for fusable checks, else None."""

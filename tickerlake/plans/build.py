@@ -12,7 +12,7 @@ through ``publish``: marts go live only when their checks have passed.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tickerlake.operators import indicators as ind
 from tickerlake.operators import market as mkt
@@ -96,6 +96,11 @@ def register_views(marts: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def create_view(spark: SparkSession, name: str, sql: str) -> None:
+    """A persistent view: its text is kept by the catalog and read by name in every session on it."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+
+
 def materialize(marts: dict[str, DataFrame], base_path: str, mode: str = "overwrite") -> None:
     """Write every gold mart (the silver ones stay views)."""
     for name, df in marts.items():

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
+from tickerlake import schemas
 from tickerlake.functions.cleaning import clean_text, strip_token
 from tickerlake.operators import indicators as ind
 from tickerlake.operators import market as mkt
@@ -21,8 +22,10 @@ from tickerlake.operators import portfolio as pf
 from tickerlake.operators import quality as dq
 from tickerlake.operators import report as rpt
 from tickerlake.operators import staging as stg
+from tickerlake.plans import build
 from tickerlake.plans.build import GOLD, build_stored
 from tickerlake.sources import ingest as ing
+from tickerlake.sources import tables
 from tickerlake.sources.feeds import Feeds
 from tickerlake.streaming import bars as sbars
 
@@ -430,8 +433,8 @@ def _ingest_normalize_local(f: Feeds) -> DataFrame:
 
 
 def _parsed_quotes(f: Feeds) -> DataFrame:
-    return landed_quotes(f.table("events")).select("event_id", ing.parse_quotes(F.col("value")).alias("q")) \
-        .select("event_id", "q.*")
+    # a generator: as a plain column the parse would be repeated for every field of it
+    return landed_quotes(f.table("events")).select("event_id", F.inline(F.array(ing.parse_quotes(F.col("value")))))
 
 
 @query("ingest_bars_quarantine")
@@ -556,6 +559,23 @@ def _landed_files_quarantine(f: Feeds) -> DataFrame:
             .unionByName(bad.select("reason"), allowMissingColumns=True))
 
 
+@query("landed_files_isolated")
+def _landed_files_isolated(f: Feeds) -> DataFrame:
+    """Quotes landed as Parquet files next to a damaged one: every bar, and one row for that file."""
+    base = _landing(f, "landed")
+    quotes = _parsed_quotes(f).drop("event_id")
+    # dealt to a few files, so that none of them is without a record
+    quotes.where(F.col(ing.CORRUPT).isNull()).drop(ing.CORRUPT).repartition(4).write.parquet(f"{base}/day=1")
+    f.spark.createDataFrame([("PAR1 cut short",)], "value string").coalesce(1).write.text(f"{base}/day=2")
+    read = ing.read_quotes(f.spark, base, fmt="parquet", isolate=True)
+    good, bad = ing.split_corrupt(read)
+    bars = ing.normalize_quotes(good, ingested_at=F.lit(INGESTED_AT).cast("timestamp_ntz"))
+    files = ing.files_without_records(f.spark, base, read)
+    return (bars.select("symbol", "price_date", "close", F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("reason"), allowMissingColumns=True)
+            .unionByName(files.select("reason"), allowMissingColumns=True))
+
+
 @query("incremental_copy")
 def _incremental_copy(f: Feeds) -> DataFrame:
     """Events above the mark of a target that was last synced on 2024-01-20."""
@@ -564,6 +584,66 @@ def _incremental_copy(f: Feeds) -> DataFrame:
     return ing.incremental_copy(events, target, "event_id")
 
 
+@query("copy_by_id")
+def _copy_by_id(f: Feeds) -> DataFrame:
+    """Events copied in three runs as they come in, each from the mark in the target's footers: the target by id.
+
+    Every 97th event of the first run arrives only after it, below the mark, and is never copied.
+    ``files_apart`` tells that no two files of the target share a range of ids.
+    """
+    base, events, k = _landing(f, "copy"), f.table("events"), F.col("event_id")
+    top = events.agg(F.max("event_id")).first()[0] or 0
+    first = events.where((k <= top * 4 // 10) & (k % 97 != 0))
+    for arrived in (first, events.where(k <= top * 7 // 10), events, events):
+        ing.copy_new_rows(f.spark, arrived, base, "event_id")
+    copied = f.spark.read.schema(events.schema).parquet(base)
+    apart = ing.id_ranges(copied, "event_id").agg(F.coalesce(F.bool_and("apart"), F.lit(True))).scalar()
+    return copied.select("event_id", "ts", "event_type", "value", apart.alias("files_apart"))
+
+
+@query("read_bars_range")
+def _read_bars_range(f: Feeds) -> DataFrame:
+    """A range of days of the stored bars: only the folders of its months are scanned."""
+    import datetime as dt
+
+    path = _landing(f, "bars")
+    tables.write_bars(f.bars(), path)
+    return tables.read_bars(f.spark, path, since=dt.date(1996, 2, 10), until=dt.date(1997, 3, 20))
+
+
+@query("read_board")
+def _read_board(f: Feeds) -> DataFrame:
+    """The raw board stored as it came and read with its declared schema."""
+    path = _landing(f, "board")
+    tables.write_board(f.board(), path)
+    return tables.read_board(f.spark, path)
+
+
+@query("catalog_objects")
+def _catalog_objects(f: Feeds) -> DataFrame:
+    """A table created by DDL if absent (twice), filled by position, and a persistent view over it, read by name.
+
+    An insert with a column too few is refused and adds nothing (``refused``).
+    """
+    import uuid
+
+    from pyspark.errors import AnalysisException
+
+    spark, path, name = f.spark, _landing(f, "ddl"), f"holdings_{uuid.uuid4().hex}"
+    holdings = f.holdings()
+    for _ in range(2):
+        ing.ensure_table(spark, name, schemas.HOLDINGS, path)
+    renamed = holdings.toDF(*[f"c{i}" for i in range(len(holdings.columns))])  # by position, whatever the names
+    ing.append_positional(renamed, name)
+    try:
+        ing.append_positional(renamed.drop("c4"), name)
+        refused = False
+    except AnalysisException:
+        refused = True
+    build.create_view(spark, f"{name}_active", f"SELECT symbol, sector, qty_held, avg_buy_rate FROM {name} WHERE status = 'active'")
+    return spark.table(f"{name}_active").withColumn("refused", F.lit(refused))
+
+
 # --- ticks ---------------------------------------------------------------------------------------
 
 
@@ -648,6 +728,67 @@ def _stream_dedupe(f: Feeds) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+@query("stream_bars_sink")
+def _stream_bars_sink(f: Feeds) -> DataFrame:
+    """Landed bars into the month-partitioned bars table: micro-batches, a restart, late re-fetches and a full replay.
+
+    The table holds the bars before 1998.  The first run brings the bars of even ids and stops.
+    Then all bars land twice more with closes raised by 1 and 2; the second run goes on from the
+    checkpoint, a few files a micro-batch.  A third run with a checkpoint of its own replays
+    everything and adds nothing.  First write wins, so odd ids since 1998 have closes raised by 1.
+    """
+    from tickerlake.streaming import ingest as sing
+
+    spark, base, bars = f.spark, _landing(f, "streams/bars_sink"), f.bars()
+    money = bars.schema["close"].dataType
+
+    def land(n: int, rows: DataFrame) -> None:
+        raised = rows.withColumn("close", (F.col("close") + n).cast(money))
+        raised.withColumn("fetched_at", F.col("fetched_at") + F.expr(f"INTERVAL {n} DAY")).write.parquet(f"{base}/landing/batch={n}")
+
+    def run(checkpoint: str) -> None:
+        stream = (spark.readStream.schema(bars.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 4)
+                  .parquet(f"{base}/landing"))
+        sing.await_available_now(sing.stream_insert_only(
+            stream, f"{base}/target", ["symbol", "price_date"], [F.col("fetched_at"), F.col("id")], f"{base}/{checkpoint}"))
+
+    tables.write_bars(bars.where(F.col("price_date") < F.lit("1998-01-01").cast("date")), f"{base}/target")
+    land(0, bars.where(F.col("id") % 2 == 0))
+    run("ckpt")
+    land(1, bars)
+    land(2, bars)
+    run("ckpt")
+    run("replay")
+    return tables.read_bars(spark, f"{base}/target")
+
+
+@query("stream_dedupe_carried")
+def _stream_dedupe_carried(f: Feeds) -> DataFrame:
+    """Events with copies in later files, de-duplicated over three runs of one checkpoint; ``late_rows`` counts what came too late.
+
+    Copies of the half day before each cut arrive after it and are known from the carried state.
+    Every 50th event before January 5th arrives only after the first cut, and the events of January
+    8th once more after the second, later than the delay of a day allows.
+    """
+    from tickerlake.streaming import ingest as sing
+
+    spark, base, ticks = f.spark, _landing(f, "streams/dedupe_carried"), f.ticks()
+    ts, held = F.col("ts"), (F.col("ts") < "2024-01-05") & (F.col("event_id") % 50 == 0)
+    arrivals = (
+        ticks.where((ts < "2024-01-10") & ~held),
+        ticks.where(((ts >= "2024-01-09 12:00:00") & (ts < "2024-01-20")) | held),
+        ticks.where((ts >= "2024-01-19 12:00:00") | ts.between("2024-01-08", "2024-01-08 23:59:59.999999")),
+    )
+    late = 0
+    for n, rows in enumerate(arrivals):
+        rows.write.parquet(f"{base}/landing/part={n}")
+        stream = spark.readStream.schema(ticks.schema).option("recursiveFileLookup", "true").parquet(f"{base}/landing")
+        run = sing.stream_dedupe(stream, f"{base}/out", ["event_id"], "ts", "1 day", f"{base}/ckpt")
+        sing.await_available_now(run)
+        late += sing.late_rows(run)
+    return spark.read.parquet(f"{base}/out").withColumn("late_rows", F.lit(late).cast("bigint"))
+
+
 @query("stream_daily_bars")
 def _stream_daily_bars(f: Feeds) -> DataFrame:
     """The events file replayed as a stream (1-day watermark, AvailableNow run): the emitted bars.

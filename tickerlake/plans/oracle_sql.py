@@ -571,6 +571,31 @@ ORACLE["build_all"] = "\nUNION ALL\n".join(
 _MART_SQL = {**ORACLE, "portfolio_trades": with_feeds("SELECT * FROM realized", "trades", extra=(_AVG_BUY, _REALIZED))}
 ORACLE["build_all"] = ("WITH " + ",\n".join(f"{name}_ AS MATERIALIZED ({_MART_SQL[name]})" for name in _BUILT)
                        + "\n" + ORACLE["build_all"])
+ORACLE["landed_files_isolated"] = f"""
+SELECT upper(event_type) AS symbol, CAST(timezone('UTC', timezone('Asia/Karachi', ts)) AS DATE) AS price_date,
+       CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS close, NULL::VARCHAR AS reason
+FROM events WHERE NOT ({_BROKEN} OR {_NO_CLOSE})
+UNION ALL SELECT NULL, NULL, NULL, 'missing field' FROM events WHERE {_NO_CLOSE} AND NOT ({_BROKEN})
+UNION ALL SELECT NULL, NULL, NULL, 'no readable record'"""
+ORACLE["copy_by_id"] = """
+SELECT event_id, ts, event_type, value, true AS files_apart FROM events
+WHERE event_id > 0 AND NOT (event_id <= (SELECT max(event_id) * 4 // 10 FROM events) AND event_id % 97 = 0)"""
+ORACLE["read_bars_range"] = (f"SELECT * FROM ({ORACLE['stg_bars']}) b "
+                             "WHERE price_date BETWEEN DATE '1996-02-10' AND DATE '1997-03-20'")
+ORACLE["read_board"] = ORACLE["scan_board"]
+ORACLE["catalog_objects"] = with_feeds("""
+SELECT symbol, sector, qty_held, CAST(avg_buy_rate AS DOUBLE) AS avg_buy_rate, true AS refused
+FROM holdings WHERE status = 'active'""", "holdings")
+ORACLE["stream_bars_sink"] = with_feeds("""
+SELECT id, symbol, price_date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
+       CAST(close + raised AS DOUBLE) AS close, volume, CAST(dividends AS DOUBLE) AS dividends,
+       CAST(stock_splits AS DOUBLE) AS stock_splits, fetched_at + to_days(raised) AS fetched_at
+FROM (SELECT *, CASE WHEN price_date >= DATE '1998-01-01' AND id % 2 <> 0 THEN 1 ELSE 0 END AS raised FROM bars) b""", "bars")
+_HELD = "ts < TIMESTAMP '2024-01-05' AND event_id % 50 = 0"
+ORACLE["stream_dedupe_carried"] = f"""
+SELECT event_id, ts, event_type, value,
+       (SELECT count(*) FROM events WHERE {_HELD} OR CAST(ts AS DATE) = DATE '2024-01-08') AS late_rows
+FROM events WHERE NOT ({_HELD})"""
 # The second attempt repeats every fiftieth bar and fails that one check; the first attempt's datasets stay live.
 ORACLE["publish_gate"] = f"""
 WITH report AS MATERIALIZED ({ORACLE["dq_report"]}), twice AS (

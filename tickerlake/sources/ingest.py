@@ -20,6 +20,7 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from tickerlake.functions.cleaning import strip_token
 from tickerlake.schemas import QUOTES
+from tickerlake.sources.tables import month_of
 
 MONEY = DecimalType(18, 4)
 CORRUPT = "_corrupt_record"
@@ -31,11 +32,39 @@ EXCHANGE_TZ = "Asia/Karachi"
 REQUIRED = ("symbol", "ts", "close")
 
 
-def read_quotes(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Read landed quote files with the declared schema plus a corrupt-record column."""
+def read_quotes(spark: SparkSession, path: str, fmt: str = "json", isolate: bool = False) -> DataFrame:
+    """Read landed quote files with the declared schema plus a corrupt-record column.
+
+    A file that cannot be opened or decoded fails the read; with ``isolate``
+    such a file is left out (what was decoded before the damage stays) and
+    ``files_without_records`` names it.
+    """
     schema = StructType(QUOTES.fields + [StructField(CORRUPT, StringType())])
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).format(fmt).load(path))
+    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    if isolate:
+        reader = reader.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+    return reader.format(fmt).load(path)
+
+
+def files_without_records(spark: SparkSession, path: str, quotes: DataFrame) -> DataFrame:
+    """(file, length, reason) of the landed files that gave no record to ``quotes`` (read with ``isolate``).
+
+    That is a damaged file, or one that holds no record.  Files are listed,
+    not read (only a file's path and length are asked for); files of no bytes
+    are not listed.
+    """
+    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(F.col("path").alias("file"), "length"))
+    seen = quotes.select(F.col("_metadata.file_path").alias("seen")).distinct()
+    reason = F.lit("no readable record")
+    # row metadata writes a file's path as a URL, the listing as it is; both differ in the slashes behind the scheme
+    opened = F.url_decode(F.regexp_replace("seen", r"\+", "%2B"))
+    same = _one_slash(F.col("file")) == _one_slash(opened)
+    return landed.join(seen, same, "left_anti").withColumn("reason", reason)
+
+
+def _one_slash(path: Column) -> Column:
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
 
 def parse_quotes(text: Column) -> Column:
@@ -126,10 +155,6 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _month(c: str):
-    return F.date_format(c, "yyyy-MM")
-
-
 def _by_month(spark: SparkSession, path: str) -> bool:
     """True if the table at ``path`` is laid out by ``price_month`` (see ``tables.write_bars``)."""
     try:
@@ -143,7 +168,7 @@ def _append_counted(df: DataFrame, path: str, by_month: bool = False) -> int:
     obs = Observation("appended")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if by_month:
-        df.withColumn("price_month", _month("price_date")).write.mode("append").partitionBy("price_month").parquet(path)
+        df.withColumn("price_month", month_of("price_date")).write.mode("append").partitionBy("price_month").parquet(path)
     else:
         df.write.mode("append").parquet(path)
     return int(obs.get.get("rows", 0))
@@ -163,7 +188,7 @@ def append_insert_only(spark: SparkSession, target_path: str, batch: DataFrame,
     schema = StructType([*batch.schema.fields, StructField("price_month", StringType())]) if by_month else batch.schema
     target = _read_or_empty(spark, target_path, schema)
     if by_month and "price_date" in keys:
-        lo, hi = batch.agg(F.min(_month("price_date")), F.max(_month("price_date"))).first()
+        lo, hi = batch.agg(F.min(month_of("price_date")), F.max(month_of("price_date"))).first()
         if lo is not None:
             target = target.where(F.col("price_month").between(lo, hi))
     return _append_counted(insert_only(target, batch, keys, order, prune_on), target_path, by_month)
@@ -174,6 +199,25 @@ def high_water_mark(target: DataFrame, id_col: str = "id") -> int:
     return target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
 
 
+def stored_mark(spark: SparkSession, path: str, schema: StructType, id_col: str = "id") -> int:
+    """The high-water mark of a Parquet table from its files' footers: no row of it is read.
+
+    Spark pushes a maximum into Parquet only on its newer reader, which the
+    two settings choose; they hold for this one aggregate.
+    """
+    v1 = "spark.sql.sources.useV1SourceList"
+    wanted = {v1: ",".join(s for s in spark.conf.get(v1).split(",") if s != "parquet"),
+              "spark.sql.parquet.aggregatePushdown": "true"}
+    old = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        return high_water_mark(_read_or_empty(spark, path, schema), id_col)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def incremental_copy(source: DataFrame, target: DataFrame, id_col: str = "id") -> DataFrame:
     """Source rows above the target's high-water mark.
 
@@ -181,14 +225,31 @@ def incremental_copy(source: DataFrame, target: DataFrame, id_col: str = "id") -
     literal that Parquet row-group statistics can prune on.  Late rows with
     ids below the mark are never copied (as specified).
     """
-    mark = high_water_mark(target, id_col)
+    return above_mark(source, high_water_mark(target, id_col), id_col)
+
+
+def above_mark(source: DataFrame, mark: int, id_col: str = "id") -> DataFrame:
     return source.where(F.col(id_col) > F.lit(mark))
 
 
 def copy_new_rows(spark: SparkSession, source: DataFrame, target_path: str, id_col: str = "id") -> int:
-    """Append the rows above the high-water mark to ``target_path``; returns the count."""
-    target = _read_or_empty(spark, target_path, source.schema)
-    return _append_counted(incremental_copy(source, target, id_col), target_path)
+    """Append the rows above the high-water mark to ``target_path``, by id; returns the count.
+
+    The new rows are dealt by range of the id and sorted, so files (and the
+    row groups in them) hold ranges that do not overlap, in one copy or in
+    several: a reader's ``id > x`` skips all files but a few.
+    """
+    mark = stored_mark(spark, target_path, source.schema, id_col)
+    new = above_mark(source, mark, id_col).repartitionByRange(id_col).sortWithinPartitions(id_col)
+    return _append_counted(new, target_path)
+
+
+def id_ranges(table: DataFrame, id_col: str = "id") -> DataFrame:
+    """(file, low, high, n, apart) of each file of a stored table; ``apart``: its ids lie above all of the file before it."""
+    files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(id_col).alias("low"), F.max(id_col).alias("high"), F.count("*").alias("n"))
+    before = F.lag("high").over(Window.partitionBy(F.lit(0)).orderBy("low", "high"))  # one row for each file
+    return files.withColumn("apart", before.isNull() | (before < F.col("low")))
 
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
@@ -201,11 +262,3 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str |
 def append_positional(df: DataFrame, name: str) -> None:
     """Append by column position (``insertInto``), as a VALUES-style insert does."""
     df.write.insertInto(name, overwrite=False)
-
-
-def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
-    """Materialise a mart: a catalog table, or Parquet files at ``path``."""
-    if path:
-        df.write.mode(mode).parquet(path)
-    else:
-        df.write.mode(mode).saveAsTable(name)

@@ -62,6 +62,27 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -
             .drop("_et"))
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a finished run dropped as later than the watermark allows, by its progress reports.
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
+    reports of a run; a run with more batches than that is refused.
+    """
+    reports = query.recentProgress
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(reports) >= kept:
+        raise ValueError(f"the run has {kept} or more progress reports: raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(op["numRowsDroppedByWatermark"] for r in reports for op in r["stateOperators"])
+
+
+def stream_dedupe(stream: DataFrame, target_path: str, keys: Sequence[str], ts: str, delay: str,
+                  checkpoint: str | None = None, available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+    """Write the stream without repeated keys; the state that knows them is carried by the checkpoint over restarts."""
+    w = (dedupe_stream(stream, keys, ts, delay).writeStream.format("parquet").option("path", target_path)
+         .option("checkpointLocation", stream_checkpoint(stream, "dedupe", checkpoint)).outputMode("append"))
+    return _trigger(w, available_now, interval).start()
+
+
 def stream_copy(stream: DataFrame, target_path: str, checkpoint: str | None = None, available_now: bool = True,
                 interval: str | None = None) -> StreamingQuery:
     """Incremental copy: the file source's checkpoint plays the high-water mark."""
