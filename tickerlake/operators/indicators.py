@@ -73,8 +73,8 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def technical_indicators(bars: DataFrame) -> DataFrame:
-    """One row per symbol: indicators on the symbol's latest trading day."""
+def technical_indicators(bars: DataFrame, ordered: bool = False) -> DataFrame:
+    """One row per symbol: indicators on the symbol's latest trading day; ``ordered`` by symbol."""
     desc = Window.partitionBy("symbol").orderBy(F.col("price_date").desc())
     # The filter must stand alone above row_number so Catalyst plans a
     # pre-shuffle WindowGroupLimit; lead() is evaluated in a later window.
@@ -100,7 +100,8 @@ def technical_indicators(bars: DataFrame) -> DataFrame:
         F.sum(F.when(in_rsi & (chg < 0), -chg).otherwise(F.lit(0))).alias("loss"),
         F.count(F.when(in_rsi, chg)).alias("nchg"),
     )
-    return _finish(stats)
+    out = _finish(stats)
+    return out.orderBy("symbol") if ordered else out
 
 
 def price_changes(bars: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:

@@ -50,16 +50,21 @@ def build_all(inputs: dict[str, DataFrame], share: str | None = "checkpoint") ->
     return {"stg_board": board, "stg_bars": bars, **_gold(inputs, bars, board, snapshot)}
 
 
-def _gold(inputs: dict[str, DataFrame], bars: DataFrame, board: DataFrame, snapshot: DataFrame) -> dict[str, DataFrame]:
-    """The gold marts, by name, from the silver tables and the snapshot."""
+def _gold(inputs: dict[str, DataFrame], bars: DataFrame, board: DataFrame, snapshot: DataFrame,
+          ordered: bool = False) -> dict[str, DataFrame]:
+    """The gold marts, by name, from the silver tables and the snapshot.
+
+    ``ordered``: by their declared sort keys, for marts that are written; the sort deals rows
+    out by range, so the files of a mart hold ranges that do not overlap.
+    """
     return {
-        "top_movers": mkt.top_movers(board, ordered=False),
-        "sector_summary": mkt.sector_summary(board, inputs["sector_map"], ordered=False),
-        "technical_indicators": ind.technical_indicators(bars),
+        "top_movers": mkt.top_movers(board, ordered=ordered),
+        "sector_summary": mkt.sector_summary(board, inputs["sector_map"], ordered=ordered),
+        "technical_indicators": ind.technical_indicators(bars, ordered=ordered),
         "portfolio_snapshot": snapshot,
         "portfolio_summary": pf.portfolio_summary(snapshot),
         "portfolio_trades": pf.realized_trades(inputs["trades"]),
-        "tax_summary": pf.tax_summary(inputs["tax"], ordered=False),
+        "tax_summary": pf.tax_summary(inputs["tax"], ordered=ordered),
     }
 
 
@@ -83,7 +88,7 @@ def build_stored(inputs: dict[str, DataFrame], base_path: str,
     silver = dict(inputs, bars=stored("stg_bars", stg.stage_bars(inputs["bars"])))
     board = stored("stg_board", stg.stage_board(inputs["board"]))
     snapshot = stored("portfolio_snapshot", pf.portfolio_snapshot(inputs["holdings"], board))
-    marts = _gold(silver, silver["bars"], board, snapshot)
+    marts = _gold(silver, silver["bars"], board, snapshot, ordered=True)
     out = {"stg_board": board, "stg_bars": silver["bars"]}
     for name in names:
         out[name] = snapshot if name == "portfolio_snapshot" else stored(name, marts[name])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from tickerlake import schemas
-from tickerlake.functions.cleaning import clean_text, strip_token
+from tickerlake.functions.cleaning import clean_numeric, clean_text, strip_token
 from tickerlake.operators import indicators as ind
 from tickerlake.operators import market as mkt
 from tickerlake.operators import payload as pl
@@ -103,6 +103,28 @@ def _stg_board_dedupe(f: Feeds) -> DataFrame:
     return stg.stage_board(f.board(), exclusions=(), grain="day")
 
 
+@query("stg_board_intraday")
+def _stg_board_intraday(f: Feeds) -> DataFrame:
+    """Several snapshots a day, kept to the latest row of each symbol and day."""
+    hours = F.make_dt_interval(hours=(F.col("id") % 24).cast("int"))
+    return stg.stage_board(f.board().withColumn("fetched_at", F.col("fetched_at") + hours), exclusions=(), grain="day")
+
+
+@query("clean_strict")
+def _clean_strict(f: Feeds) -> DataFrame:
+    """Board fields cast strictly: index weights always cast; ``refused`` tells that the dash of an unknown market cap raises."""
+    from pyspark.errors import PySparkException
+
+    board = f.board()
+    try:
+        board.select(clean_numeric("market_cap_m", mode="strict")).write.format("noop").mode("overwrite").save()
+        refused = False
+    except PySparkException:
+        refused = True
+    return board.select("id", clean_numeric("idx_wtg", ("%", ","), mode="strict").alias("idx_weight"),
+                        clean_numeric("volume", mode="strict").alias("volume"), F.lit(refused).alias("refused"))
+
+
 # Exclusion entries built by rule: every 7th symbol with blank ldcp and
 # current text.  They hit rows whose fields are both blank (dropped: TRUE)
 # and rows whose ldcp is NULL with a blank current (dropped: NULL).
@@ -450,6 +472,15 @@ def _ingest_normalize(f: Feeds) -> DataFrame:
     return ing.normalize_quotes(good, ingested_at=stamp, keep=("event_id",))
 
 
+@query("ingest_default_stamp")
+def _ingest_default_stamp(f: Feeds) -> DataFrame:
+    """Quotes stamped with the current UTC time: each within an hour of the engine's own clock, whatever the session zone."""
+    good, _ = ing.split_corrupt(_parsed_quotes(f))
+    now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    age = F.timestamp_diff("MINUTE", F.col("fetched_at").cast("timestamp"), now.cast("timestamp"))
+    return ing.normalize_quotes(good, keep=("event_id",)).select("event_id", age.between(-60, 60).alias("stamped_now"))
+
+
 @query("upsert_insert_only")
 def _upsert_insert_only(f: Feeds) -> DataFrame:
     """A re-fetch that overlaps history: first write per key wins, existing keys are skipped."""
@@ -489,6 +520,20 @@ def _build_all(f: Feeds) -> DataFrame:
     return out
 
 
+@query("marts_in_order")
+def _marts_in_order(f: Feeds) -> DataFrame:
+    """Marts written by their sort key: rows, and whether their files hold ranges of the first key that do not overlap."""
+    names = {"technical_indicators": "symbol", "tax_summary": "broker"}
+    stored = build_stored(_inputs(f), _landing(f, "ordered"), tuple(names))
+    out = None
+    for name, key in names.items():
+        files = ing.id_ranges(stored[name], key)  # equal keys of neighbouring files may meet at their ends
+        part = files.agg(F.sum("n").alias("n_rows"), F.coalesce(F.bool_and("in_order"), F.lit(True)).alias("in_order"))
+        part = part.select(F.lit(name).alias("dataset"), "n_rows", "in_order")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _landing(f: Feeds, kind: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     import uuid

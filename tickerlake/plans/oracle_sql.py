@@ -116,6 +116,13 @@ ORACLE["stg_board"] = with_feeds(f"SELECT {_BOARD_OUT} FROM stg_board", "board",
 ORACLE["stg_board_dedupe"] = with_feeds(
     f"SELECT {_BOARD_OUT} FROM stg_board", "board",
     extra=(stg_board_cte((), partition="CAST(fetched_at AS DATE)"),))
+ORACLE["stg_board_intraday"] = with_feeds(
+    f"SELECT {_BOARD_OUT} FROM stg_board", "board",
+    extra=("hourly AS (SELECT * REPLACE (fetched_at + to_hours(CAST(id % 24 AS INT)) AS fetched_at) FROM board)",
+           stg_board_cte((), partition="CAST(fetched_at AS DATE)").replace("FROM board)", "FROM hourly)")))
+ORACLE["clean_strict"] = with_feeds("""
+SELECT id, CAST(replace(replace(trim(idx_wtg), '%', ''), ',', '') AS DOUBLE) AS idx_weight,
+       CAST(replace(trim(volume), ',', '') AS DOUBLE) AS volume, true AS refused FROM board""", "board")
 ORACLE["stg_board_exclusions"] = with_feeds(
     f"SELECT {_BOARD_OUT} FROM stg_board", "board", extra=(stg_board_cte(_DEFAULT_EXCL + _TEST_EXCL),))
 
@@ -355,29 +362,47 @@ SELECT id, symbol, CAST(change_amount AS DOUBLE) AS change_amount FROM stg_board
 WHERE change_amount IS NOT NULL AND NOT (change_amount >= 0)""")
 
 
-def _check_sql(c) -> str:
-    head = f"SELECT '{c.name}' AS check_name, '{c.table}' AS \"table\", count(*) AS failures FROM "
-    where = f"({c.where})" if c.where else "TRUE"
-    if c.kind == "not_null":
-        return head + f"{c.table} WHERE {c.column} IS NULL"
-    if c.kind == "unique":
-        return head + (f"(SELECT {c.column} FROM {c.table} WHERE {c.column} IS NOT NULL "
-                       f"GROUP BY {c.column} HAVING count(*) > 1) x")
-    if c.kind == "unique_combination":
-        cols = ", ".join(c.columns)
-        return head + f"(SELECT {cols} FROM {c.table} GROUP BY {cols} HAVING count(*) > 1) x"
-    if c.kind == "relationships":
-        return head + (f"{c.table} c WHERE {where} AND c.{c.column} IS NOT NULL AND NOT EXISTS "
-                       f"(SELECT 1 FROM {c.parent} p WHERE p.{c.parent_column} = c.{c.column})")
-    if c.kind == "expression_is_true":
-        return head + f"{c.table} WHERE {where} AND NOT ({c.expression})"
-    raise ValueError(c.kind)
+# Name, dataset and failing rows (or keys) of each declared check, written out apart from the library's list.
+_CHECKS = (
+    ("stg_board.id.unique", "stg_board", "(SELECT id FROM stg_board WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+    ("stg_board.id.not_null", "stg_board", "stg_board WHERE id IS NULL"),
+    ("stg_board.symbol.not_null", "stg_board", "stg_board WHERE symbol IS NULL"),
+    ("stg_board.fetched_at.not_null", "stg_board", "stg_board WHERE fetched_at IS NULL"),
+    ("stg_board.current_price.positive", "stg_board", "stg_board WHERE current_price <= 0"),
+    ("stg_board.change_pct.range", "stg_board", "stg_board WHERE change_pct < -50 OR change_pct > 50"),
+    ("stg_board.volume.non_negative", "stg_board", "stg_board WHERE volume < 0"),
+    ("stg_bars.symbol.not_null", "stg_bars", "stg_bars WHERE symbol IS NULL"),
+    ("stg_bars.price_date.not_null", "stg_bars", "stg_bars WHERE price_date IS NULL"),
+    ("stg_bars.close.not_null", "stg_bars", "stg_bars WHERE close IS NULL"),
+    ("stg_bars.volume.non_negative", "stg_bars", "stg_bars WHERE volume < 0"),
+    ("stg_bars.symbol_price_date.unique", "stg_bars", "(SELECT symbol FROM stg_bars GROUP BY symbol, price_date HAVING count(*) > 1)"),
+    ("snapshot.symbol.unique", "portfolio_snapshot", "(SELECT symbol FROM portfolio_snapshot WHERE symbol IS NOT NULL GROUP BY symbol HAVING count(*) > 1)"),
+    ("snapshot.symbol.not_null", "portfolio_snapshot", "portfolio_snapshot WHERE symbol IS NULL"),
+    ("snapshot.symbol.in_holdings", "portfolio_snapshot", "portfolio_snapshot WHERE symbol NOT IN (SELECT symbol FROM holdings WHERE symbol IS NOT NULL)"),
+    ("snapshot.qty_held.not_null", "portfolio_snapshot", "portfolio_snapshot WHERE qty_held IS NULL"),
+    ("snapshot.qty_held.positive", "portfolio_snapshot", "portfolio_snapshot WHERE qty_held <= 0"),
+    ("snapshot.avg_buy_rate.not_null", "portfolio_snapshot", "portfolio_snapshot WHERE avg_buy_rate IS NULL"),
+    ("snapshot.avg_buy_rate.positive", "portfolio_snapshot", "portfolio_snapshot WHERE avg_buy_rate <= 0"),
+    ("snapshot.total_cost.not_null", "portfolio_snapshot", "portfolio_snapshot WHERE total_cost IS NULL"),
+    ("snapshot.total_cost.positive", "portfolio_snapshot", "portfolio_snapshot WHERE total_cost <= 0"),
+    ("snapshot.unrealized_pct.range", "portfolio_snapshot", "portfolio_snapshot WHERE unrealized_pct < -100 OR unrealized_pct > 1000"),
+    ("summary.price_date.unique", "portfolio_summary", "(SELECT price_date FROM portfolio_summary WHERE price_date IS NOT NULL GROUP BY price_date HAVING count(*) > 1)"),
+    ("summary.price_date.not_null", "portfolio_summary", "portfolio_summary WHERE price_date IS NULL"),
+    ("summary.total_invested.not_null", "portfolio_summary", "portfolio_summary WHERE total_invested IS NULL"),
+    ("summary.total_invested.positive", "portfolio_summary", "portfolio_summary WHERE total_invested <= 0"),
+    ("summary.total_current_value.not_null", "portfolio_summary", "portfolio_summary WHERE total_current_value IS NULL"),
+    ("summary.total_current_value.positive", "portfolio_summary", "portfolio_summary WHERE total_current_value <= 0"),
+    ("summary.holdings_count.not_null", "portfolio_summary", "portfolio_summary WHERE holdings_count IS NULL"),
+    ("summary.holdings_count.positive", "portfolio_summary", "portfolio_summary WHERE holdings_count <= 0"),
+    ("indicators.symbol.unique", "technical_indicators", "(SELECT symbol FROM technical_indicators WHERE symbol IS NOT NULL GROUP BY symbol HAVING count(*) > 1)"),
+    ("indicators.symbol.not_null", "technical_indicators", "technical_indicators WHERE symbol IS NULL"),
+    ("indicators.close.not_null", "technical_indicators", "technical_indicators WHERE close IS NULL"),
+)
 
 
 def _dq_report_sql() -> str:
-    from tickerlake.operators.quality import standard_checks
-
-    body = "\nUNION ALL\n".join(_check_sql(c) for c in standard_checks())
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS check_name, '{table}' AS \"table\", count(*) AS failures FROM {bad}" for name, table, bad in _CHECKS)
     marts = (
         "stg_bars AS (SELECT * FROM bars)",
         _LATEST, _SNAPSHOT, _SUMMARY,
@@ -571,6 +596,10 @@ ORACLE["build_all"] = "\nUNION ALL\n".join(
 _MART_SQL = {**ORACLE, "portfolio_trades": with_feeds("SELECT * FROM realized", "trades", extra=(_AVG_BUY, _REALIZED))}
 ORACLE["build_all"] = ("WITH " + ",\n".join(f"{name}_ AS MATERIALIZED ({_MART_SQL[name]})" for name in _BUILT)
                        + "\n" + ORACLE["build_all"])
+ORACLE["ingest_default_stamp"] = f"SELECT event_id, true AS stamped_now FROM events WHERE NOT ({_BROKEN} OR {_NO_CLOSE})"
+ORACLE["marts_in_order"] = with_feeds("""
+SELECT 'technical_indicators' AS dataset, count(DISTINCT symbol) AS n_rows, true AS in_order FROM bars WHERE close IS NOT NULL
+UNION ALL SELECT 'tax_summary', count(DISTINCT (broker, period_month)), true FROM tax""", "bars", "tax")
 ORACLE["landed_files_isolated"] = f"""
 SELECT upper(event_type) AS symbol, CAST(timezone('UTC', timezone('Asia/Karachi', ts)) AS DATE) AS price_date,
        CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS close, NULL::VARCHAR AS reason

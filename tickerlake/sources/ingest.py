@@ -245,11 +245,15 @@ def copy_new_rows(spark: SparkSession, source: DataFrame, target_path: str, id_c
 
 
 def id_ranges(table: DataFrame, id_col: str = "id") -> DataFrame:
-    """(file, low, high, n, apart) of each file of a stored table; ``apart``: its ids lie above all of the file before it."""
+    """(file, low, high, n, apart, in_order) of each file of a stored table.
+
+    ``apart``: its ids lie above all of the file before it; ``in_order``: or begin with the last of them.
+    """
     files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(id_col).alias("low"), F.max(id_col).alias("high"), F.count("*").alias("n"))
     before = F.lag("high").over(Window.partitionBy(F.lit(0)).orderBy("low", "high"))  # one row for each file
-    return files.withColumn("apart", before.isNull() | (before < F.col("low")))
+    return files.withColumn("apart", before.isNull() | (before < F.col("low"))).withColumn(
+        "in_order", before.isNull() | (before <= F.col("low")))
 
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
