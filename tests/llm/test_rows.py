@@ -210,41 +210,50 @@ def test_language_without_labels(spark):
     assert {r.lang_pred for r in langid.annotate_language(docs, None).collect()} == {"und"}
 
 
+def test_many_languages_are_all_learned(spark):
+    """No label is left out of the sample, the rarest of 250 neither; the model grows with the labels and learns the last."""
+    rng = np.random.default_rng(4)
+    letters = [chr(0x4E00 + 40 * k) + chr(0x4E07 + 40 * k) + chr(0x4E0F + 40 * k) for k in range(250)]
+
+    def text(k, n=60):
+        return "".join(rng.choice(list(letters[k]), n))
+
+    rows = [(text(k), f"l{k:03}") for k in range(250) for _ in range(8 if k < 249 else 2)]
+    assert Counter(langid.sample(spark.createDataFrame(rows, "text string, lang string"))[1]) == Counter(r[1] for r in rows)
+    few = spark.createDataFrame([r for r in rows if r[1] < "l016"], "text string, lang string")
+    model = langid.fit(few)
+    assert len(model.labels) == 16 and model.out.shape[0] > 2 * langid.HIDDEN
+    fresh = spark.createDataFrame([(k, text(k, 80)) for k in range(16)], "k int, text string")
+    right = [r.lang_pred == f"l{r.k:03}" for r in langid.annotate_language(fresh, model).orderBy("k").collect()]
+    assert np.mean(right) > 0.9 and right[15]
+
+
 # LM scoring
 
 
-def test_scores_equal_brute_force(spark):
-    import xxhash
+def brute_loss(chosen):
+    """Mean loss of a text under the interpolated bigram model of the chosen texts, by exact counts; and the number of words."""
+    single, context, pair = Counter(), Counter(), Counter()
+    for t in chosen:
+        ws = words(t)
+        single.update(ws)
+        context.update([None, *ws][:-1] if ws else [])
+        pair.update(zip([None, *ws], ws, strict=False))
+    total = sum(single.values())
+
+    def loss(t):
+        ws = words(t)
+        out = [-math.log(0.6 * (pair[v, w] / context[v] if context[v] else 0) + 0.4 * (single[w] + 0.1) / (total + 0.1 * lm_score.WORDS))
+               for v, w in zip([None, *ws], ws, strict=False)]
+        return sum(out) / len(out) if out else 0.0
+    return loss, len(single)
+
 
+def test_scores_equal_brute_force(spark):
     texts = [*ODD, "the dog and the fox", "the fox and the dog"]
     targets = [6, 7, 11, 99, None]
     got = lm_score.score(frame(spark, texts), spark.createDataFrame([(t, 1) for t in targets + [6]], "doc_id long, text int")).orderBy("doc_id").collect()
-
-    def slot(w):
-        return xxhash.xxh64_intdigest(w) % (lm_score.WORDS - 1) + 1
-
-    def bigrams(t):
-        ids = [0, *map(slot, words(t))]
-        return [(v, w, ((v * lm_score.WORDS + w) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - 19)) for v, w in zip(ids, ids[1:], strict=False)]
-
-    def model(chosen):
-        single, context, pair = Counter(), Counter(), Counter()
-        for t in chosen:
-            for v, w, p in bigrams(t):
-                single[w] += 1
-                context[v] += 1
-                pair[p] += 1
-        total = sum(single.values())
-
-        def loss(t):
-            out = []
-            for v, w, p in bigrams(t):
-                two = pair[p] / context[v] if context[v] else 0
-                out.append(-math.log(0.6 * two + 0.4 * (single[w] + 0.1) / (total + 0.1 * lm_score.WORDS)))
-            return sum(out) / len(out) if out else 0
-        return loss
-
-    target, background = model([texts[i] for i in (6, 7, 11)]), model(texts)
+    (target, _), (background, _) = brute_loss([texts[i] for i in (6, 7, 11)]), brute_loss(texts)
     for t, r in zip(texts, got, strict=True):
         assert r.n_tokens == len(words(t))
         assert math.isclose(r.score, target(t) - background(t), abs_tol=1e-9)
@@ -261,23 +270,7 @@ def test_scores_count_exact_bigrams_of_a_large_vocabulary(spark):
     targets = spark.createDataFrame([(i,) for i in range(0, 160, 3)] + [(None,)], "doc_id long")
     got = lm_score.score(docs, targets, chunk_tokens=20_000, bucket_tokens=10_000).collect()
 
-    def model(chosen):
-        single, context, pair = Counter(), Counter(), Counter()
-        for t in chosen:
-            ws = words(t)
-            single.update(ws)
-            context.update([None, *ws][:-1] if ws else [])
-            pair.update(zip([None, *ws], ws, strict=False))
-        total = sum(single.values())
-
-        def loss(t):
-            ws = words(t)
-            out = [-math.log(0.6 * (pair[v, w] / context[v] if context[v] else 0) + 0.4 * (single[w] + 0.1) / (total + 0.1 * lm_score.WORDS))
-                   for v, w in zip([None, *ws], ws, strict=False)]
-            return sum(out) / len(out) if out else 0.0
-        return loss, len(single)
-
-    (target, _), (background, n_words) = model(texts[0:160:3]), model(texts)
+    (target, _), (background, n_words) = brute_loss(texts[0:160:3]), brute_loss(texts)
     assert n_words > lm_score.WORDS
     expected = sorted((-1 if i is None else i, len(words(t)), target(t), background(t)) for i, t in zip(ids, texts, strict=True))
     found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in got)

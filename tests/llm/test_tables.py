@@ -373,3 +373,26 @@ def test_pipeline_stages_with_clashing_columns(spark):
             sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in stage(spark, plain, SF).collect()), name
     last = corpus_pipeline.STAGES[-1][1]
     assert last(spark, clashing, SF).count() == last(spark, plain, SF).count()
+
+
+def test_components_end_with_stars(spark):
+    """Paths, a hot star, two nodes that hang on several others, many lone pairs: labels of a plain search."""
+    from tickerlake.llm.components import components
+
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 800)] + [(5000 - i, 5000 - i - 1) for i in range(60)]
+    edges += [(2000 + 2 * i, 2001 + 2 * i) for i in range(200)] + [(9000, 9100), (9001, 9100), (9002, 9100), (9002, 9101), (9003, 9101), (9, 9)]
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        if u != v:
+            a, b = sorted((root(u), root(v)))
+            parent[b] = a
+    got = components(spark.createDataFrame(edges + edges[:50], "u long, v long")).collect()
+    assert sorted((r.node, r.label) for r in got) == sorted((x, root(x)) for x in parent)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0

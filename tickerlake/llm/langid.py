@@ -9,9 +9,11 @@ Prediction reads every byte of the text: it is cut into windows of ``WINDOW``
 bytes, each read by both layers from a fresh state, many windows at a time, so
 memory is bounded whatever the length.
 
-Training rows are a bounded sample (``SAMPLE`` documents, shared evenly among
-the languages by weighted hash order; ``SAMPLE_CHARS`` characters of each, from
-a hashed place).  Only text and label are used; prediction sees the text alone.
+Training rows are a bounded sample (``SAMPLE`` documents, or ``LABEL_ROWS`` for
+each label if that is more, shared evenly among the languages by weighted hash
+order; ``SAMPLE_CHARS`` characters of each, from a hashed place).  Every label is
+learned; hidden units and training steps grow with their number.  Only text
+and label are used; prediction sees the text alone.
 
 Defined results: ``und`` with score 0 for a null, empty or letterless text and
 where no labelled row exists; a null or unknown label is not learned; ties go
@@ -34,7 +36,8 @@ HIDDEN = 8
 WINDOW = 256
 SAMPLE = 1600
 SAMPLE_CHARS = 1500
-MOST_LABELS = 200
+LABEL_ROWS = 16
+FEW_LABELS = 8
 TRAIN_WINDOW = 64
 BATCH = 384
 STEPS = 200
@@ -257,11 +260,15 @@ def held_out(doc_id) -> F.Column:
 
 
 def sample(labelled: DataFrame, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
-    """A bounded sample of (text, lang): weighted hash order gives each language about the same share."""
+    """A bounded sample of (text, lang): weighted hash order gives each language about the same share.
+
+    The labels are the model's outputs, so their counts, one row for each, come to the driver.
+    """
     rows = labelled.where("text is not null and lang is not null").withColumn("h", F.xxhash64(*[F.col(f"`{c}`") for c in labelled.columns]))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LABELS).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return [], []
+    size = max(size, LABEL_ROWS * len(counts))
     n = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, float(r.n))])
     u = (F.pmod(F.xxhash64("h"), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
     # About x rows of each language lie below x, so the first filter leaves a few times ``size`` rows in all.
@@ -299,4 +306,7 @@ def annotate_language(documents: DataFrame, model: Model | None) -> DataFrame:
 def fit(labelled: DataFrame, size: int = SAMPLE) -> Model | None:
     """Train on a bounded sample of labelled rows (text, lang); None without any."""
     texts, langs = sample(labelled, size)
-    return train(texts, langs) if texts else None
+    if not texts:
+        return None
+    more = max(0, len(set(langs)) - FEW_LABELS)
+    return train(texts, langs, HIDDEN + more // 8, STEPS + 2 * more)

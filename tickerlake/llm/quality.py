@@ -10,8 +10,8 @@ windows.  The method measures how public vocabularies cut the words of a text:
 * the share of tokens without any letter or digit.
 
 Each measure has a band of accepted values for the dominant script of the
-text; a text outside one is rejected.  Texts of fewer than ``SHORT_WORDS`` words
-vary more and get wider bands.
+text; a text outside one is rejected.  Texts of up to ``SHORT_WORDS`` words
+vary more and get wider bands, an allowance that fades out beyond that length.
 
 Defined results: a null, empty or blank text has no words, all counts of words
 0, its measures null, and fails the base rule; ties do not arise; repeated rows
@@ -163,7 +163,7 @@ class Fertility:
 
 def accepted(script: str, n_words: int, m: Measures, bands: dict[str, Band]) -> bool:
     band = bands[script]
-    short = n_words < SHORT_WORDS
+    short = min(1.0, (SHORT_WORDS / max(1, n_words)) ** 4)  # fades out beyond SHORT_WORDS words
     return (band.least_chars <= m.chars_per_token <= band.most_chars
             and m.byte_fallback_share <= band.most_fallback
             and m.symbol_token_share <= band.most_symbols + SHORT_SYMBOLS * short
