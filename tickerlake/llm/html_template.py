@@ -1,23 +1,29 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-Tokens are the markup containers of a page, each named by its path (tags with
-their classes, digits masked).  Pages of one host are compared:
+Tokens are the markup containers of a page, each in its role: its path of
+tags (with classes and ids, digits masked), what it begins with, and its number among
+its like neighbours.  Pages of one host are compared:
 
 1. For every host and token the occurrence vector over the host's pages is
-   summed up as (pages, least and greatest count, two sums of page hashes
-   weighted by the count), so tokens with equal vectors have equal sums.  Tasks
-   add up their pages before the shuffle; a host that holds a third of all
-   pages sends no more rows than any other.
+   summed up as (pages, two sums of page hashes weighted by the count), so
+   tokens with equal vectors have equal sums; and the text inside every token
+   is summed up by its hash, as characters, characters in links and number of
+   different texts.  Tasks add up their pages before the shuffle; a host that
+   holds a third of all pages sends no more token rows than any other.
 2. Tokens with equal vectors form a class.  A class is valid if it occurs on
    at least ``SUPPORT`` of the host's pages and its tokens lie in tokens of
    valid classes; valid classes nest into the template of the host.
-3. Between template tokens lie slots.  A slot is boilerplate if its path names
-   a menu, header, footer, sidebar, notice, advert, form, script or comments;
-   it is main if its path names an article; where a host names none, the slots
-   with most running text and few links are.
-4. Each page is read again with its host's template: text outside the
-   template's tokens belongs to the slot around it, and the main slots, without
-   boilerplate inside them, make the text.
+3. The template parts a page into slots, one in each token.  A slot weighs as
+   much as its text outside links, times the share of different texts among
+   the host's pages: what repeats or links weighs little.  From the page down,
+   the main slot is the token that holds ``DOMINANT`` of the weight around it,
+   as long as one does.  Names only tip the scales: navigation, forms
+   and the like and listed class names count less, ``main`` and ``article`` more.
+4. Each page is read again with its host's template, and the main slot's text
+   is its text, without elements inside it that HTML itself sets apart
+   (``nav``, ``aside``, ``form`` ...) and without template tokens of a listed name
+   that hold less than ``MINOR`` of the slot.  A page without the main slot of
+   its host (another layout) is parted by its own tokens.
 
 Templates reach the pages by a broadcast join while they are below
 ``BROADCAST_BYTES`` together, and by a shuffle join with salted hosts beyond.
@@ -27,10 +33,10 @@ space, blocks are trimmed and joined by one line break.  Block ends are block
 tags and ``br``.
 
 Defined results: a null or empty html has no text; a null url belongs to the
-empty host; hosts of fewer than ``LEAST_PAGES`` pages take every token of the
-page as template; repeated rows each get their text; ties between slots keep
-all of them; very long pages are read whole; an empty table gives an empty
-result; other columns are ignored.
+empty host; a host's only page is its own template; repeated rows each get
+their text; of slots of equal weight the first in the page's order of names is
+taken; a page without containers is one slot; very long pages are read whole; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,7 +55,8 @@ from tickerlake.llm.common import map_rows, ship, stored
 from tickerlake.llm.urlfilter import host_and_path
 
 SUPPORT = 0.5
-LEAST_PAGES = 3
+DOMINANT = 0.5
+MINOR = 0.3
 BROADCAST_BYTES = 16_000_000
 SALTS = 16
 MOST_LINKED = 0.5
@@ -67,10 +74,13 @@ NOISE_NAMES = frozenset(
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus replies "
     "respond widget toolbar pagination pager search copyright legal skip".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-MAIN_NAMES = frozenset("article main".split())
 PAGE_TAGS = frozenset("html body main article".split())
 NAMED, NOISE = 1, 2
 
+# What a token's name makes of its weight.
+WEIGHT = {0: 1.0, NAMED: 0.5, NOISE: 0.1}
+MAIN_WEIGHT, ARTICLE_WEIGHT = 4.0, 2.0
+
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|noframes|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
@@ -101,36 +111,36 @@ def _describe(tag: str, attributes: str) -> tuple[str, int]:
     return name, noise
 
 
-class _Open:
-    """An open container: its tag, path, whether it or an outer one is boilerplate (NOISE, NAMED or 0)."""
-
-    __slots__ = ("noise", "path", "tag")
-
-    def __init__(self, tag: str, path: str, noise: int):
-        self.tag, self.path, self.noise = tag, path, noise
+class Container:
+    """An open element: its tag, name, own NOISE, NAMED or 0, the one around it, its role and the text inside it."""
 
+    __slots__ = ("around", "begins", "chars", "linked", "mark", "name", "noise", "numbers", "role", "tag")
 
-def events(page: str) -> list[tuple[str, object, object]]:
-    """("open", container, None), ("text", decoded text, (container, is link)) and ("break", None, None) in page order.
+    def __init__(self, tag: str, name: str, noise: int, around: "Container | None"):
+        self.tag, self.name, self.noise, self.around = tag, name, noise, around
+        self.begins, self.role, self.numbers = "", "", {}
+        self.chars = self.linked = self.mark = 0
 
-    An article inside containers that are boilerplate by name only is none itself if the page has no other article.
-    """
-    found = list(_events(page, False))
-    opened = [what for kind, what, _ in found if kind == "open"]
-    if any(o.noise == NAMED for o in opened) and not any(not o.noise and is_main(o.path) for o in opened):
-        if any(o.noise == NAMED and is_main(o.path) for o in opened):
-            found = list(_events(page, True))
-    return found
+    def begin(self, what: str) -> None:
+        self.begins = self.begins or what
 
 
-def _events(page: str, rescue: bool) -> Iterator[tuple[str, object, object]]:
-    stack = [_Open("", "", 0)]
+def events(page: str) -> tuple[list[tuple[Container | None, str, bool]], list[Container]]:
+    """(container, decoded text, is link) or (None, "", False) at a block's end, in page order; and the containers as they open."""
+    root = Container("", "", 0, None)
+    stack, opened, found = [root], [], []
     described: dict[tuple[str, str], tuple[str, int]] = {}
     link = False
     at = 0
+
+    def text(raw: str) -> None:
+        found.append((stack[-1], entities.unescape(raw), link))
+        if not raw.isspace():
+            stack[-1].begin("#")
+
     for m in _MARKUP.finditer(page):
         if m.start() > at:
-            yield "text", entities.unescape(page[at:m.start()]), (stack[-1], link)
+            text(page[at:m.start()])
         at = m.end()
         if m.group(3) is None:
             continue
@@ -138,7 +148,7 @@ def _events(page: str, rescue: bool) -> Iterator[tuple[str, object, object]]:
         if tag == "a":
             link = not m.group(2)
         if tag in BLOCKS:
-            yield "break", None, None
+            found.append((None, "", False))
         if m.group(2):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
@@ -153,92 +163,95 @@ def _events(page: str, rescue: bool) -> Iterator[tuple[str, object, object]]:
             del stack[1:]
         if tag in BLOCKS and stack[-1].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
             stack.pop()  # an open paragraph ends where the next block starts
+        stack[-1].begin(tag)
         if tag in VOID or m.group(4).endswith("/") or not (tag in CONTAINERS or noise):
             continue
-        outer = stack[-1].noise
-        if outer == NAMED and (tag == "main" or rescue and is_main(name)):
-            outer = 0  # the outer one holds the main slot
-        top = _Open(tag, f"{stack[-1].path}>{name}", max(noise, outer))
-        stack.append(top)
-        yield "open", top, None
+        stack.append(Container(tag, name, noise, stack[-1]))
+        opened.append(stack[-1])
     if at < len(page):
-        yield "text", entities.unescape(page[at:]), (stack[-1], link)
+        text(page[at:])
+    for c in opened:
+        role = f"{c.name}/{c.begins}"
+        n = c.around.numbers[role] = c.around.numbers.get(role, 0) + 1
+        c.role = f"{c.around.role}>{role}:{n}" if n > 1 else f"{c.around.role}>{role}"
+    return found, [root, *opened]
 
 
-def is_main(path: str) -> bool:
-    """True if an element of the path names an article."""
-    return any(set(re.split(r"[.\[\]_-]", e)) & MAIN_NAMES for e in path.split(">"))
+def weighed(page: str) -> list[Container]:
+    """The containers with the characters, linked characters and hash of all text inside them."""
+    found, opened = events(page)
+    for c, text, link in found:
+        if c is not None and (n := len(text.strip())):
+            c.chars += n
+            c.linked += n * link
+            c.mark = zlib.crc32(text.encode("utf-8", "replace"), c.mark)
+    for c in reversed(opened[1:]):  # inner ones open later
+        c.around.chars += c.chars
+        c.around.linked += c.linked
+        c.around.mark = zlib.crc32(c.mark.to_bytes(4, "little"), c.around.mark)
+    return opened
 
 
-def page_tokens(page: str) -> tuple[dict[str, int], dict[str, list[int]]]:
-    """Occurrences of each token, and (characters, characters in links) of text directly in each path without boilerplate."""
-    count: dict[str, int] = defaultdict(int)
-    text: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for kind, what, where in events(page):
-        if kind == "open":
-            count[what.path] += 1
-        elif kind == "text" and not where[0].noise:
-            n = len(what.strip())
-            slot = text[where[0].path]
-            slot[0] += n
-            slot[1] += n * where[1]
-    return count, text
-
-
-TOKEN = "host string, token string, pages long, least long, most long, sum1 long, sum2 long, chars long, linked long"
+TOKEN = "host string, token string, variant long, pages long, noise long, sum1 long, sum2 long, chars long, linked long"
 
 
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """TOKEN rows per host and token (token '' counts the pages); pages has host, key and html."""
+    """TOKEN rows: per host and token its occurrence vector (variant 0; token '' counts the pages), and per text inside it how often
+    (pages) it is there, its characters and linked characters (variant: its hash, from 1).  ``pages`` has host, key and html."""
     ship(pages.sparkSession)
     names = [f.split()[0] for f in TOKEN.split(", ")]
     schema = pa.schema([(n, pa.string() if n in ("host", "token") else pa.int64()) for n in names])
 
     def count(it):
-        sums: dict[tuple[str, str], list[int]] = {}
+        sums: dict[tuple[str, str, int], list[int]] = {}
+
+        def add(key: tuple[str, str, int], noise: int, *values: int) -> None:
+            s = sums.get(key)
+            if s is None:
+                s = sums[key] = [0] * 6
+            s[1] = max(s[1], noise)
+            for k, v in zip((0, 2, 3, 4, 5), values, strict=True):
+                s[k] += v
 
         def flush():
-            rows = [(h, t, *v) for (h, t), v in sums.items()]
+            rows = [(*k, *v) for k, v in sums.items()]
             sums.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in it:
             for host, key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found, text = page_tokens(page or "")
-                found[""] = 1
-                for token in found.keys() | text.keys():
-                    n = found.get(token, 0)
+                seen: dict[str, list[int]] = {}
+                for c in weighed(page or ""):
+                    own = seen.setdefault(c.role, [0, c.noise])
+                    own[0] += 1
+                    own[1] = max(own[1], c.noise)
+                    if c.chars:
+                        add((host, c.role, 1 + c.mark), 0, 1, 0, 0, c.chars, c.linked)
+                for role, (n, noise) in seen.items():
                     mark = b"%d:%d" % (key, n)
-                    chars, linked = text.get(token, (0, 0))
-                    s = sums.get((host, token))
-                    if s is None:
-                        s = sums[host, token] = [0, n, n, 0, 0, 0, 0]
-                    s[0] += n > 0
-                    s[1], s[2] = min(s[1], n), max(s[2], n)
-                    s[3] += zlib.crc32(mark)
-                    s[4] += zlib.adler32(mark[::-1]) * (n > 0)
-                    s[5] += chars
-                    s[6] += linked
+                    add((host, role, 0), noise, 1, zlib.crc32(mark), zlib.adler32(mark[::-1]), 0, 0)
                 if len(sums) > 100_000:
                     yield flush()
         if sums:
             yield flush()
 
     parts = pages.select("host", "key", "html").mapInArrow(count, TOKEN)
-    least, most = F.min("least").alias("least"), F.max("most").alias("most")
-    return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), least, most, *[F.sum(c).alias(c) for c in names[5:]])
+    return parts.groupBy("host", "token", "variant").agg(
+        F.sum("pages").alias("pages"), F.max("noise").alias("noise"), *[F.sum(c).alias(c) for c in names[5:]])
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """One row per host with enough pages: host, tokens (token, class, main) - the nested valid classes and the main slots.
+    """One row per host: host, tokens (token, class, main, drop) - the nested valid classes with the main slot.
 
     ``tokens`` are host_tokens; at most 1 / SUPPORT times a page's tokens are left per host.
     """
-    size = tokens.where("token = ''").select("host", F.col("pages").alias("host_pages"))
-    often = tokens.where("token != ''").join(size, "host").where(
-        (F.col("host_pages") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("host_pages")))
-    grouped = often.groupBy("host").agg(F.collect_list(F.struct(
-        "token", "pages", "least", "most", "sum1", "sum2", "chars", "linked")).alias("found"))
+    vectors = tokens.where("variant = 0").drop("variant", "chars", "linked")
+    texts = tokens.where("variant != 0").groupBy("host", "token").agg(
+        F.count("*").alias("variants"), F.sum("pages").alias("texts"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    size = vectors.where("token = ''").select("host", F.col("pages").alias("host_pages"))
+    often = vectors.join(size, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
+    grouped = often.join(texts, ["host", "token"], "left").groupBy("host").agg(F.collect_list(F.struct(
+        "token", "pages", "noise", "sum1", "sum2", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("variants", "texts", "chars", "linked")])).alias("found"))
 
     def make():
         def run(rows):
@@ -246,73 +259,107 @@ def templates(tokens: DataFrame) -> DataFrame:
                 yield host, deduced([tuple(f.values()) for f in found])
         return run
 
-    return map_rows(grouped, make, "host string, tokens array<struct<token: string, class: int, main: boolean>>")
+    return map_rows(grouped, make, "host string, tokens array<struct<token: string, class: int, main: boolean, drop: boolean>>")
+
+
+def own_tokens(page: str) -> list[tuple]:
+    """The tokens of a page as those of a host that has no other."""
+    seen: dict[str, list[int]] = {}
+    for c in weighed(page):
+        t = seen.setdefault(c.role, [0, 0, 0, 0, 0])
+        t[0] += 1
+        t[1] = max(t[1], c.noise)
+        t[2] += bool(c.chars)
+        t[3] += c.chars
+        t[4] += c.linked
+    return [(role, 1, noise, n, n, texts, texts, chars, linked) for role, (n, noise, texts, chars, linked) in seen.items()]
 
 
 def deduced(found: list[tuple]) -> list[dict]:
-    """Template of one host from its frequent tokens: (token, pages, least, most, sum1, sum2, chars, linked)."""
+    """Template of one host from its frequent tokens: (token, pages, noise, sum1, sum2, variants, texts, chars, linked)."""
     by_vector: dict[tuple, list[str]] = defaultdict(list)
-    for token, pages, _, _, sum1, sum2, _, _ in found:
-        by_vector[pages, sum1, sum2].append(token)
+    for token, pages, _, sum1, sum2, *_ in found:
+        if token:
+            by_vector[pages, sum1, sum2].append(token)
     classes = sorted(by_vector.values(), key=lambda c: (min(t.count(">") for t in c), sorted(c)))
     valid: dict[str, int] = {"": 0}
     for number, tokens in enumerate(classes, 1):
         own = set(tokens)
-        if all((parent := t.rpartition(">")[0]) in valid or parent in own for t in tokens):
+        if all((outer := t.rpartition(">")[0]) in valid or outer in own for t in tokens):
             valid.update(dict.fromkeys(tokens, number))
-    text = {f[0]: (f[6], f[7]) for f in found}
-    slots = [t for t in valid if t]
-    main = {t for t in slots if is_main(t)}
-    if not main:
-        mass = {t: text[t][0] - text[t][1] for t in slots if text[t][0] and text[t][1] <= MOST_LINKED * text[t][0]}
-        most = max(mass.values(), default=0)
-        main = {t for t, n in mass.items() if 2 * n >= most > 0}
-    return [{"token": t, "class": valid[t], "main": t in main} for t in sorted(slots)]
-
-
-def main_text(page: str, template: list[tuple[str, bool]] | None) -> str:
-    """Main text of a page with its host's template: (token, main) pairs, or None to take the page's own tokens."""
+    noise = {f[0]: f[2] for f in found}
+    mass = {t: (chars - linked) * variants / texts if linked <= MOST_LINKED * chars and texts else 0.0
+            for t, _, _, _, _, variants, texts, chars, linked in found}
+    plain = {f[0]: f[7] - f[8] for f in found}
+    inner: dict[str, list[str]] = defaultdict(list)
+    for t in sorted(valid):
+        if t:
+            inner[t.rpartition(">")[0]].append(t)
+    main = ""
+    while inner[main]:
+        weight = {t: mass[t] * WEIGHT[noise[t]] * _named_weight(t, valid) for t in inner[main]}
+        best = max(inner[main], key=lambda t: weight[t])
+        rest = max(0, plain.get(main, 0) - sum(plain[t] for t in inner[main]))  # text outside the inner ones
+        if not weight[best] or weight[best] < DOMINANT * (sum(weight.values()) + rest):
+            break
+        if _tag(main) in ("main", "article") and _named_weight(best, valid) == 1.0:
+            break  # an article is not narrowed to a part of it
+        main = best
+    return [{"token": t, "class": valid[t], "main": t == main,
+             "drop": t.startswith(f"{main}>") and noise[t] == NAMED and mass[t] < MINOR * mass[main]} for t in sorted(valid) if t]
+
+
+def _tag(token: str) -> str:
+    """The tag of a token's last element."""
+    return token.rpartition(">")[2].split("/")[0].split(".")[0].split("[")[0]
+
+
+def _named_weight(token: str, valid: dict[str, int]) -> float:
+    """More for a token that is, or holds, a ``main`` or ``article`` element."""
+    tags = {_tag(t) for t in valid if t == token or t.startswith(f"{token}>")}
+    return MAIN_WEIGHT if "main" in tags else ARTICLE_WEIGHT if "article" in tags else 1.0
+
+
+def main_text(page: str, template: list[tuple[str, bool, bool]] | None) -> str:
+    """Main text of a page with its host's template: (token, main, drop), or None to take the page's own tokens."""
     if not page:
         return ""
-    slots = None if template is None else dict(template)
-    main: dict[str, bool] = {}
-    blocks: list[tuple[bool, bool, str]] = []  # in a main slot, mostly links, text
+    found, opened = events(page)
+    if template is None or any(main for _, main, _ in template) and not any(
+            main and c.role == token for c in opened for token, main, _ in template if main):
+        template = [(t["token"], t["main"], t["drop"]) for t in deduced(own_tokens(page))]
+    main = {token for token, is_main, _ in template if is_main}
+    drop = {token for token, _, is_dropped in template if is_dropped}
+    taken: dict[int, bool] = {}  # whether text directly in a container is main text
+    inside: dict[int, bool] = {}
+    for c in opened:
+        within = c.around is not None and inside[id(c.around)]
+        inside[id(c)] = within or c.role in main or not main
+        apart = within and (c.noise == NOISE or c.role in drop)
+        taken[id(c)] = inside[id(c)] and not apart and (not within or taken[id(c.around)])
+    blocks: list[str] = []
     parts: list[str] = []
-    chars = linked = 0
-    inside = False
-
-    def slot_is_main(path: str) -> bool:
-        if path not in main:
-            if slots is None or is_main(path):
-                main[path] = is_main(path)
-            elif path in slots:
-                main[path] = slots[path] or (bool(path) and slot_is_main(path.rpartition(">")[0]))
-            else:
-                main[path] = bool(path) and slot_is_main(path.rpartition(">")[0])
-        return main[path]
 
     def close() -> None:
-        nonlocal parts, chars, linked
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append((inside, linked > MOST_LINKED * chars, text))
-        parts, chars, linked = [], 0, 0
+            blocks.append(text)
+        parts.clear()
 
-    for kind, what, where in events(page):
-        if kind != "text":
+    before = None
+    for c, text, _ in found:
+        if c is None:
             close()
-        elif not where[0].noise:
-            here = slot_is_main(where[0].path)
-            if here != inside:
+        elif taken[id(c)]:
+            if before is not None and taken[id(before)] != taken[id(c)]:
+                close()
+            parts.append(text)
+        if c is not None:
+            if before is not None and not taken[id(c)] and taken[id(before)]:
                 close()
-                inside = here
-            parts.append(what)
-            n = len(what.strip())
-            chars += n
-            linked += n * where[1]
+            before = c
     close()
-    chosen = [b for b in blocks if b[0]] or [b for b in blocks if not b[1]]
-    return "\n".join(b[2] for b in chosen)
+    return "\n".join(blocks)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -320,7 +367,7 @@ def extract(pages: DataFrame) -> DataFrame:
     host, _ = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url").alias("key"))
     tokens = stored(host_tokens(rows), "html-tokens")
-    found = stored(templates(tokens).select("host", F.expr("transform(tokens, t -> struct(t.token, t.main))").alias("template")), "html-templates")
+    found = stored(templates(tokens).select("host", F.expr("transform(filter(tokens, t -> t.main or t.drop), t -> struct(t.token, t.main, t.drop))").alias("template")), "html-templates")
     weight = found.agg(F.sum(F.expr("aggregate(template, 0L, (a, t) -> a + length(t.token) + 16)"))).first()[0] or 0
     rows = rows.select("page_id", "url", "html", "host", "key")
     if weight <= BROADCAST_BYTES:
