@@ -30,14 +30,13 @@ def top_movers(board: DataFrame, k: int | None = None, per: str | None = "fetche
         return movers.orderBy(F.col("change_pct").desc(), F.col("symbol").asc(),
                               F.col("fetched_at").asc()).limit(k)
     if k is not None:
-        w = (Window.partitionBy(per) if per else Window.partitionBy()).orderBy(
-            F.col("change_pct").desc(), F.col("symbol").asc())
+        w = Window.partitionBy(per).orderBy(F.col("change_pct").desc(), F.col("symbol").asc())
         movers = (movers.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                   .withColumn("rank", F.col("rank").cast("bigint")))
     if ordered:
         # A total order (snapshot and symbol break ties) lets the range
         # partitioner of the global sort split even a very frequent change value.
-        lead = [F.col(per).asc()] if (k is not None and per) else []
+        lead = [F.col(per).asc()] if k is not None else []
         movers = movers.orderBy(*lead, F.col("change_pct").desc_nulls_first(), F.col("symbol").asc(),
                                 F.col("fetched_at").asc())
     return movers
